@@ -1,0 +1,52 @@
+"""Every registered query against its SQL, on whole tables."""
+
+from __future__ import annotations
+
+from collections import Counter
+from datetime import datetime
+from decimal import Decimal
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from verification.erp_views import BASE_TABLES
+
+FOLDER = "/root/testdata/sf0.01"
+QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in BASE_TABLES:
+        connection.execute(f"create view {name} as select * from '{FOLDER}/{name}.parquet'")
+    return connection
+
+
+def plain(value):
+    if isinstance(value, datetime):
+        return value.replace(tzinfo=None).isoformat()
+    return str(value) if isinstance(value, Decimal) else value
+
+
+def counted(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(plain(row[i]) for i in order) for row in rows)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_oracle(spark, duck, name):
+    df = QUERIES[name](spark, FOLDER)
+    cursor = duck.execute(ORACLES[name])
+    columns = [d[0] for d in cursor.description]
+    expected = cursor.fetchall()
+    assert sorted(df.columns) == sorted(columns)
+    found = counted(df.columns, [tuple(r) for r in df.collect()])
+    wanted = counted(columns, expected)
+    assert found == wanted, (list((found - wanted).items())[:2], list((wanted - found).items())[:2])
+    assert found
