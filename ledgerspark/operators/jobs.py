@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark import functions as fn
 from ledgerspark.settings import RunContext, Settings
 
+WHOLE_TYPES = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
+# Digits, perhaps with a sign or blanks around them; wider than what the cast accepts, never narrower.
+WHOLE_NUMBER = r"^[^0-9A-Za-z]*[0-9]+[^A-Za-z]*$"
+
 
 def with_key(df: DataFrame, name: str, parts) -> DataFrame:
     """Add the surrogate key over id columns (names) or ready text expressions."""
@@ -27,7 +32,16 @@ def safe_cast_columns(df: DataFrame, casts: dict[str, tuple]) -> DataFrame:
 
     ``casts`` maps a column to ``(type,)`` or ``(type, default)``; a default of 0 counts as a default.
     """
-    return df.withColumns({name: fn.safe_cast(F.col(name), *spec) for name, spec in casts.items()})
+    texts = {f.name.lower() for f in df.schema if isinstance(f.dataType, T.StringType)}
+
+    def cast(name: str, kind: str, default=None) -> Column:
+        column = F.col(name)
+        if name.lower() in texts and kind.lower() in WHOLE_TYPES:
+            # A failed parse costs an exception per row, so text without the shape of a number is left out first.
+            column = F.when(column.rlike(WHOLE_NUMBER), column)
+        return fn.safe_cast(column, kind, default)
+
+    return df.withColumns({name: cast(name, *spec) for name, spec in casts.items()})
 
 
 def normalize_amounts(df: DataFrame, amounts, rate: Column | str | None = None) -> DataFrame:

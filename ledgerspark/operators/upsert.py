@@ -1,6 +1,7 @@
 """Keyed merge: matched rows take the update, unmatched updates are inserted, new columns are appended.
 
-``upsert`` is a pure function from two tables to one; writing is the target's business (``sources.targets``).
+``upsert`` is a pure function from two tables to one. ``sources.targets`` writes; it stages the updates first and
+so uses the steps below one by one.
 """
 
 from __future__ import annotations
@@ -54,27 +55,39 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, on_duplicate: str =
     * Columns only the target has keep their value on a matched row and are null on an inserted one.
     * ``latest`` and ``error`` leave one row per updated key. ``keep_all`` is for targets loaded with repeated
       keys: every target row of a key takes the update, and several updates of a matched key are an error.
+    """
+    settled = settle(updates, key, on_duplicate, modified)
+    if on_duplicate == "keep_all":
+        return update_every_row(target, settled, key)
+    return replace_rows(target, settled, updates.select(key).distinct(), key)
+
 
-    The target is only filtered (``left_anti``): without target-only columns or ``keep_all`` it is read once. If
-    it is bucketed by the key, only the updates are shuffled.
+def replace_rows(target: DataFrame, updates: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Target rows whose key is not among ``keys``, and all ``updates`` (one per key).
+
+    The target is only filtered. If it is bucketed by the key it is not shuffled, and it is read once unless it
+    has columns that the updates lack.
     """
-    updates = settle(updates, key, on_duplicate, modified)
+    target_only = _missing(target, updates)
+    if target_only:
+        updates = updates.join(target.select(key, *target_only), key, "left")
+    return target.join(keys, key, "left_anti").unionByName(updates, allowMissingColumns=True)
+
+
+def update_every_row(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """The merge for a target with repeated keys: each of its rows of an updated key takes the update's values."""
+    known = target.select(key).distinct()
+    require_unique(updates.join(known, key, "left_semi"), key)
+    changed = target.select(key, *_missing(target, updates)).join(updates, key)
+    kept = target.join(updates.select(key).distinct(), key, "left_anti")
+    added = updates.join(known, key, "left_anti")
+    return kept.unionByName(changed, allowMissingColumns=True).unionByName(added, allowMissingColumns=True)
+
+
+def _missing(target: DataFrame, updates: DataFrame) -> list[str]:
+    """The target's columns that the updates lack; names ignore case."""
     names = {c.lower() for c in updates.columns}
-    target_only = [c for c in target.columns if c.lower() not in names]
-    kept = target.join(updates.select(key), key, "left_anti")
-    if on_duplicate == "keep_all":
-        known = target.select(key).distinct()
-        require_unique(updates.join(known, key, "left_semi"), key)
-        changed = target.select(key, *target_only).join(updates, key, "inner")
-        parts = [changed, updates.join(known, key, "left_anti")]
-    elif target_only:
-        parts = [updates.join(target.select(key, *target_only), key, "left")]
-    else:
-        parts = [updates]
-    result = kept
-    for part in parts:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
+    return [c for c in target.columns if c.lower() not in names]
 
 
 def merge_into(table: str, updates: DataFrame, key: str, on_duplicate: str = "latest",

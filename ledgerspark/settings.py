@@ -42,3 +42,14 @@ class RunContext:
     def start(cls) -> RunContext:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         return cls(run_ts=now, run_id=str(uuid.uuid4()), as_of_date=now.date())
+
+
+# What the jobs expect of a session; sizes such as shuffle partitions are the cluster's to choose.
+SESSION_OPTIONS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Bucketed writes keep a few files open instead of sorting their rows by bucket.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+}

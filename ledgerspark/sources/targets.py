@@ -2,8 +2,8 @@
 
 A ``TableTarget`` is a stable view over the newest version of a table. A version is written completely and then
 the view is repointed, so readers see either the old or the new state, a failed run leaves the old one, and a
-table is never overwritten while it is read. Versions are bucketed and sorted by the key: the next merge
-shuffles its updates, not the target.
+table is never overwritten while it is read. Versions are bucketed by the key: the next merge shuffles its
+updates, not the target.
 
 Keys are hashes, so even a small batch touches nearly every file; a plain table is therefore rewritten whole.
 Where the catalog offers row-level updates, use ``operators.merge_into`` instead.
@@ -16,9 +16,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.operators.upsert import settle, upsert
+from ledgerspark.operators.upsert import replace_rows, settle, update_every_row
 from ledgerspark.operators.watermark import MODIFIED
 
+# About 50 MB of keys per task; keys are unique hashes, so buckets are even.
+HASHED_KEYS_PER_BUCKET = 500_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one in local mode only."""
@@ -45,8 +48,9 @@ def full_refresh(df: DataFrame, target: TableTarget) -> DataFrame:
 class TableTarget:
     """A merge target held as versioned, key-bucketed Parquet tables behind a view.
 
-    ``buckets`` defaults to the session's shuffle partitions: a merge result is then already laid out in buckets
-    when it is written. ``folder`` makes the versions external tables below it; otherwise they are managed.
+    ``buckets`` defaults to the session's shuffle partitions: rows with one row per key then leave their last
+    shuffle already split by bucket, and each task writes few files. ``folder`` makes the versions external
+    tables below it; otherwise they are managed.
     """
 
     def __init__(self, spark: SparkSession, name: str, key: str, buckets: int | None = None,
@@ -66,15 +70,9 @@ class TableTarget:
     def replace(self, df: DataFrame, bucketed: bool = True) -> DataFrame:
         """Write ``df`` as the next version and point the view at it.
 
-        Repeated keys are written unbucketed, since a bucket cannot split a hot key.
+        Tables with repeated keys are written unbucketed, since a bucket cannot split a hot key.
         """
-        version = f"{self.name}__{uuid.uuid4().hex}"
-        writer = df.write.format("parquet")
-        if bucketed:
-            writer = writer.bucketBy(self.buckets, self.key).sortBy(self.key)
-        if self.folder:
-            writer = writer.option("path", f"{self.folder}/{version}")
-        writer.saveAsTable(version)
+        version = self._write(df, bucketed)
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {version}")
         return self.read()
 
@@ -83,20 +81,44 @@ class TableTarget:
         return self.replace(settle(df, self.key, on_duplicate, modified), bucketed=on_duplicate != "keep_all")
 
     def merge(self, updates: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
-        """Merge a batch into the newest version."""
-        merged = upsert(self.read(), updates, self.key, on_duplicate, modified)
-        return self.replace(merged, bucketed=on_duplicate != "keep_all")
+        """Merge a batch into the newest version.
+
+        The batch is computed, settled and written once, in the target's buckets; the merge then joins bucket to
+        bucket without a shuffle, and a lost executor costs a re-read instead of the batch's whole lineage.
+        """
+        if on_duplicate == "keep_all":
+            staged = self._write(updates, bucketed=False)
+            result = self.replace(update_every_row(self.read(), self.spark.table(staged), self.key), bucketed=False)
+        else:
+            staged = self._write(settle(updates, self.key, on_duplicate, modified), bucketed=True)
+            batch = self.spark.table(staged)
+            result = self.replace(replace_rows(self.read(), batch, self._keys_to_match(batch), self.key))
+        self.spark.sql(f"DROP TABLE {staged}")
+        return result
 
     def drop_old_versions(self) -> list[str]:
         """Drop every version but the newest; call it when no reader uses the older ones any more."""
-        live = set(self._versions_read())
+        definition = self.spark.sql(f"SHOW CREATE TABLE {self.name}").first()[0]
         namespace, _, short = self.name.rpartition(".")
-        listed = self.spark.sql(f"SHOW TABLES {'IN ' + namespace if namespace else ''} LIKE '{short}__*'").collect()
-        old = [row["tableName"] for row in listed if row["tableName"] not in live]
+        prefix = f"{namespace}." if namespace else ""
+        listed = self.spark.sql(f"SHOW TABLES {f'IN {namespace} ' if namespace else ''}LIKE '{short}__*'").collect()
+        old = [row["tableName"] for row in listed if row["tableName"] not in definition]
         for table in old:
-            self.spark.sql(f"DROP TABLE {namespace + '.' if namespace else ''}{table}")
+            self.spark.sql(f"DROP TABLE {prefix}{table}")
         return old
 
-    def _versions_read(self) -> list[str]:
-        text = self.spark.sql(f"SHOW CREATE TABLE {self.name}").first()[0]
-        return [text.split("FROM")[-1].strip().rpartition(".")[2].strip("`")]
+    def _write(self, df: DataFrame, bucketed: bool) -> str:
+        """Write ``df`` as a new table and return its name."""
+        name = f"{self.name}__{uuid.uuid4().hex}"
+        writer = df.write.format("parquet")
+        if bucketed:
+            writer = writer.bucketBy(self.buckets, self.key)
+        if self.folder:
+            writer = writer.option("path", f"{self.folder}/{name}")
+        writer.saveAsTable(name)
+        return name
+
+    def _keys_to_match(self, batch: DataFrame) -> DataFrame:
+        """The batch's keys; as a hash table per bucket where their number allows, which spares sorting the target."""
+        keys = batch.select(self.key)
+        return keys.hint("shuffle_hash") if batch.count() <= self.buckets * HASHED_KEYS_PER_BUCKET else keys

@@ -15,7 +15,7 @@ from ledgerspark import operators as op
 from ledgerspark.plans import MODELS, build, run
 from ledgerspark.settings import RunContext
 from ledgerspark.sources import TableTarget, shared_folder
-from verification.erp_views import ErpViews
+from verification.erp_views import ErpViews, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,10 +24,6 @@ BATCH_ONE_UNTIL = datetime(1998, 12, 31)
 TRANSACTIONS = MODELS["fact_transactions"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def scan_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of every source table."""
     views = ErpViews(spark, sf_dir)
@@ -74,13 +70,13 @@ def incremental_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts")
     return op.recent_rows(events, "ts", datetime(2024, 1, 31))
 
 
 def soft_delete_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.col("o_orderstatus")
-    orders = table(spark, sf_dir, "orders").select(
+    orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", F.when(status == "F", True).when(status == "O", False).alias("is_deleted")
     )
     return op.drop_soft_deleted(orders).drop("is_deleted")
@@ -88,7 +84,7 @@ def soft_delete_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A merge whose updates bring one new column and lack one old column."""
-    nation = table(spark, sf_dir, "nation")
+    nation = read_table(spark, sf_dir, "nation")
     updates = nation.where(F.col("n_nationkey") % 2 == 0).select("n_nationkey", "n_regionkey")
     merged = op.upsert(nation.select("n_nationkey", "n_name"), updates, "n_nationkey")
     return merged.select("n_nationkey", "n_name", "n_regionkey")
@@ -97,7 +93,7 @@ def schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers seen twice: some gone, some changed, some new the second time."""
     key = F.col("key")
-    first = table(spark, sf_dir, "customer").select(
+    first = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("key"),
         F.col("c_name").alias("name"),
         F.expr("dateadd(DAY, cast(c_custkey % 1000 as int), timestamp_ntz'1995-01-01')").alias("updated_at"),
@@ -126,13 +122,13 @@ def effective_dated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.union_relations({
-        "customer": table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
-        "supplier": table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")),
+        "customer": read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
+        "supplier": read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")),
     })
 
 
 def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     customers = op.with_key(customers, "key_1", [F.lit("SAGE"), "c_custkey"])
     some_null = F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).cast("string")
     return op.with_key(customers, "key_2", [some_null, "c_name"]).drop("c_name")
@@ -147,14 +143,14 @@ def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
+    orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("priority"), F.col("o_orderstatus").alias("status")
     )
     return op.safe_cast_columns(orders, {"priority": ("int",), "status": ("int", -1)})
 
 
 def normalize_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.col("l_extendedprice").cast("decimal(18,4)").alias("amount"),
         F.when(F.col("l_linenumber") != 1, (1 + F.col("l_tax")).cast("decimal(10,4)")).alias("rate"),
@@ -165,11 +161,11 @@ def normalize_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fill_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.when(F.col("n_regionkey") != 0, F.substring("n_name", 1, 3))
-    return op.fill_currency(table(spark, sf_dir, "nation").select("n_nationkey", known.alias("currency")), "currency")
+    return op.fill_currency(read_table(spark, sf_dir, "nation").select("n_nationkey", known.alias("currency")), "currency")
 
 
 def standardize_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = table(spark, sf_dir, "supplier").select(
+    suppliers = read_table(spark, sf_dir, "supplier").select(
         "s_suppkey",
         F.concat(F.lit("+1 ("), F.col("s_nationkey") + 100, F.lit(") "), F.col("s_suppkey") + 5550000).alias("phone"),
         F.concat(F.lit("  "), "s_name", F.lit("@Example.COM ")).alias("email"),
@@ -178,7 +174,7 @@ def standardize_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assign_fiscal_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
+    orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", F.explode(F.array(F.lit(1), F.lit(4), F.lit(7))).alias("start_month")
     )
     return op.assign_fiscal_period(orders, "o_orderdate", F.col("start_month")).drop("o_orderdate")
