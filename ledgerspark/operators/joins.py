@@ -26,7 +26,8 @@ def effective_dated_join(
     ``values`` maps mapping columns to output names. Ranges that overlap on the day give one row each.
 
     The day filter and the column list reach the mapping scan. No broadcast is forced: Spark broadcasts the
-    mapping when its size allows and else sorts and merges, where adaptive execution splits hot row groups.
+    mapping when its size allows. Matched and unmatched rows come from two joins, because beyond that size
+    adaptive execution splits a hot group on either side of an inner join but only on the left of an outer one.
     """
     day = F.lit(as_of.isoformat()).cast("date")
     valid = mapping.where(day.between(F.col(valid_from), F.col(valid_to))).select(
@@ -35,7 +36,9 @@ def effective_dated_join(
         *[F.col(name).alias(out) for name, out in values.items()],
     )
     same = (F.col(id_column) == F.col("_mapped_id")) & (F.upper(system_column) == F.col("_mapped_system"))
-    return rows.join(valid, same, "left").drop("_mapped_id", "_mapped_system")
+    mapped = valid.select("_mapped_id", "_mapped_system").distinct()
+    matched = rows.join(valid, same).drop("_mapped_id", "_mapped_system")
+    return matched.unionByName(rows.join(mapped, same, "left_anti"), allowMissingColumns=True)
 
 
 def repeat_per_match(rows: DataFrame, other: DataFrame, row_id: Column, other_id: str) -> DataFrame:

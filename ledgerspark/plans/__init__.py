@@ -1,3 +1,3 @@
-from ledgerspark.plans.build import MODELS, build, run, select_models
+from ledgerspark.plans.build import MODELS, build, run, run_all, run_snapshot, select_models, target_of
 
-__all__ = ["MODELS", "build", "run", "select_models"]
+__all__ = ["MODELS", "build", "run", "run_all", "run_snapshot", "select_models", "target_of"]

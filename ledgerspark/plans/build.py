@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.contracts import require_contract
@@ -12,13 +12,14 @@ from ledgerspark.functions import surrogate_key
 from ledgerspark.operators.conform import Feed, conform
 from ledgerspark.operators.jobs import with_audit
 from ledgerspark.operators.joins import repeat_per_match
+from ledgerspark.operators.snapshot import snapshot_scd2
 from ledgerspark.operators.union import union_rows
 from ledgerspark.operators.watermark import high_watermark, high_watermarks, newer_than, within_lookback
 from ledgerspark.plans.dims import DIMENSIONS
 from ledgerspark.plans.facts import FACTS
 from ledgerspark.plans.model import Model
-from ledgerspark.settings import RunContext
-from ledgerspark.sources.catalog import SourceCatalog
+from ledgerspark.settings import RunContext, Settings
+from ledgerspark.sources.catalog import SourceCatalog, target_namespace
 from ledgerspark.sources.targets import TableTarget
 
 MODELS: dict[str, Model] = {model.name: model for model in DIMENSIONS + FACTS}
@@ -65,6 +66,31 @@ def run(model: Model, sources: SourceCatalog, ctx: RunContext, target: TableTarg
     return target.merge(updates, on_duplicate)
 
 
+def target_of(spark: SparkSession, model: Model, settings: Settings = Settings(),
+              default_schema: str = "default") -> TableTarget:
+    """Where a model is kept: the reporting schema, or the default one when none is configured."""
+    schema = target_namespace(settings.reporting_schema, default_schema)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    return TableTarget(spark, f"{schema}.{model.name}", model.key)
+
+
+def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, tags=(), settings: Settings = Settings(),
+            on_duplicate: str = "latest") -> dict[str, DataFrame]:
+    """Run every model that carries the tags. Models do not depend on each other, so their order is free."""
+    return {
+        model.name: run(model, sources, ctx, target_of(spark, model, settings), on_duplicate)
+        for model in select_models(*tags)
+    }
+
+
+def run_snapshot(target: TableTarget, current: DataFrame, updated_at: str, ctx: RunContext,
+                 close_deleted: bool = True) -> DataFrame:
+    """Bring a history table up to date with the current rows. A key has many versions, so it is not bucketed."""
+    history = target.read() if target.exists() else None
+    versions = snapshot_scd2(history, current, target.key, updated_at, ctx.run_ts, close_deleted)
+    return target.replace(versions, bucketed=False)
+
+
 def _feed_rows(model: Model, feed: Feed, sources: SourceCatalog, since, lookback, repeat_rows: bool) -> DataFrame:
     df = sources.resolve(feed.source, feed.table)
     if feed.keep is not None:

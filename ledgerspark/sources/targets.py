@@ -72,27 +72,27 @@ class TableTarget:
 
         Tables with repeated keys are written unbucketed, since a bucket cannot split a hot key.
         """
-        version = self._write(df, bucketed)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {version}")
-        return self.read()
+        if bucketed:
+            df = df.repartition(self.buckets, self.key)
+        return self._publish(self._write(df, bucketed))
 
     def load(self, df: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
         """First load under a duplicate policy."""
-        return self.replace(settle(df, self.key, on_duplicate, modified), bucketed=on_duplicate != "keep_all")
+        return self._publish(self._settled(df, on_duplicate, modified))
 
     def merge(self, updates: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
-        """Merge a batch into the newest version.
+        """Merge a batch into the newest version. A target has one writer at a time.
 
         The batch is computed, settled and written once, in the target's buckets; the merge then joins bucket to
         bucket without a shuffle, and a lost executor costs a re-read instead of the batch's whole lineage.
         """
+        staged = self._settled(updates, on_duplicate, modified)
+        batch = self.spark.table(staged)
         if on_duplicate == "keep_all":
-            staged = self._write(updates, bucketed=False)
-            result = self.replace(update_every_row(self.read(), self.spark.table(staged), self.key), bucketed=False)
+            version = self._write(update_every_row(self.read(), batch, self.key), bucketed=False)
         else:
-            staged = self._write(settle(updates, self.key, on_duplicate, modified), bucketed=True)
-            batch = self.spark.table(staged)
-            result = self.replace(replace_rows(self.read(), batch, self._keys_to_match(batch), self.key))
+            version = self._write(replace_rows(self.read(), batch, self._keys_to_match(batch), self.key), bucketed=True)
+        result = self._publish(version)
         self.spark.sql(f"DROP TABLE {staged}")
         return result
 
@@ -107,6 +107,18 @@ class TableTarget:
             self.spark.sql(f"DROP TABLE {prefix}{table}")
         return old
 
+    def _settled(self, df: DataFrame, on_duplicate: str, modified: str) -> str:
+        """Apply the duplicate policy and write the rows, bucketed unless keys repeat; return the table's name."""
+        df = settle(df, self.key, on_duplicate, modified)
+        by_bucket = on_duplicate == "latest" and self.buckets == int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if on_duplicate != "keep_all" and not by_bucket:
+            df = df.repartition(self.buckets, self.key)
+        return self._write(df, bucketed=on_duplicate != "keep_all")
+
+    def _publish(self, version: str) -> DataFrame:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {version}")
+        return self.read()
+
     def _write(self, df: DataFrame, bucketed: bool) -> str:
         """Write ``df`` as a new table and return its name."""
         name = f"{self.name}__{uuid.uuid4().hex}"

@@ -1,0 +1,141 @@
+"""Hand-made edge rows for the expression library and its table jobs."""
+
+from __future__ import annotations
+
+import hashlib
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from ledgerspark import functions as fn
+from ledgerspark import operators as op
+from ledgerspark.contracts import ContractError
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first()["x"]
+
+
+def column_of(df, name="x"):
+    return [row[name] for row in df.collect()]
+
+
+def test_key_of_nulls(spark):
+    null = F.lit(None).cast("string")
+    assert one(spark, fn.surrogate_key(null)) == "d41d8cd98f00b204e9800998ecf8427e"
+    assert one(spark, fn.surrogate_key(null, null)) == md5("-")
+    assert one(spark, fn.surrogate_key(F.lit("SAGE"), null)) == "d629d0eaba90988dab9b562880cc96a9"
+
+
+def test_key_collisions_are_kept(spark):
+    a = one(spark, fn.surrogate_key(F.lit("a-b"), F.lit("c")))
+    assert a == one(spark, fn.surrogate_key(F.lit("a"), F.lit("b-c"))) == md5("a-b-c")
+    assert one(spark, fn.surrogate_key(F.lit(""))) == one(spark, fn.surrogate_key(F.lit(None).cast("string")))
+
+
+@pytest.mark.parametrize("kind, text", [("int", "5"), ("bigint", "10000000"), ("decimal(38,0)", "7"), ("string", "A1")])
+def test_ids_keep_one_text_form(spark, kind, text):
+    df = spark.sql(f"select cast('{text}' as {kind}) as id")
+    assert column_of(op.with_key(df, "x", ["id"])) == [md5(text)]
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(10,2)", "boolean", "date"])
+def test_other_types_cannot_be_ids(spark, kind):
+    df = spark.sql(f"select cast(null as {kind}) as id")
+    with pytest.raises(ContractError, match="cannot be an id"):
+        op.with_key(df, "x", ["id"])
+
+
+def test_clean_number(spark):
+    df = spark.createDataFrame([("NULL",), (None,), ("12.5",), ("1e3",)], "t string")
+    assert column_of(df.select(fn.clean_number(F.col("t")).alias("x"))) == [0.0, 0.0, 12.5, 1000.0]
+
+
+@pytest.mark.parametrize("bad", ["abc", "", "null"])
+def test_clean_number_fails_on_other_text(spark, bad):
+    df = spark.createDataFrame([(bad,)], "t string")
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        df.select(fn.clean_number(F.col("t"))).collect()
+
+
+def test_safe_cast_defaults(spark):
+    df = spark.createDataFrame([("x", "x", "x"), ("7", "8", "9")], "a string, b string, c string")
+    rows = op.safe_cast_columns(df, {"a": ("int",), "b": ("int", -1), "c": ("int", 0)}).collect()
+    assert [tuple(r) for r in rows] == [(None, -1, 0), (7, 8, 9)]
+
+
+def test_safe_cast_prefilter_changes_nothing(spark):
+    texts = ["", " ", "7", " 7 ", "\t-7\n", "+7", "7.5", "7.", "--7", "+-7", "7 8", "1e3", "x7", "7x", "٣", "9" * 30,
+             "2147483648", "-2147483648", "0x1F", "7L", "7d", "NaN", "Infinity", " 7", "- 7", "007", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in ("tinyint", "smallint", "int", "bigint"):
+        direct = column_of(df.select(F.col("t").try_cast(kind).alias("x")))
+        assert column_of(op.safe_cast_columns(df, {"t": (kind,)}), "t") == direct
+
+
+def test_safe_cast_of_other_types(spark):
+    df = spark.createDataFrame([("1.5", "2020-02-30", 3.7)], "a string, b string, c double")
+    row = op.safe_cast_columns(df, {"a": ("double",), "b": ("date",), "c": ("int",)}).first()
+    assert tuple(row) == (1.5, None, 3)
+
+
+def test_normalize_amounts(spark):
+    df = spark.createDataFrame(
+        [(Decimal("10.005"), None), (Decimal("10.005"), Decimal("2.0000")), (None, Decimal("1.0000")),
+         (Decimal("-0.125"), None)],
+        "amount decimal(18,4), rate decimal(10,4)")
+    assert column_of(op.normalize_amounts(df, ["amount"], "rate"), "amount") == [
+        Decimal("10.01"), Decimal("20.01"), None, Decimal("-0.13")]
+    assert column_of(op.normalize_amounts(df, ["amount"]), "amount")[1] == Decimal("10.01")
+
+
+def test_fill_currency(spark):
+    df = spark.createDataFrame([("EUR",), (None,), ("",)], "c string")
+    assert column_of(op.fill_currency(df, "c"), "c") == ["EUR", "USD", ""]
+    assert column_of(op.fill_currency(df, "c", "GBP"), "c") == ["EUR", "GBP", ""]
+
+
+def test_contacts(spark):
+    df = spark.createDataFrame(
+        [("+1 (415) 555-0100", "  A@B.Com "), ("14155550100", "\tx@Y.z "), ("1155", ""), ("", None), (None, "a")],
+        "phone string, mail string")
+    rows = [tuple(r) for r in op.standardize_contacts(df, ["phone"], ["mail"]).collect()]
+    assert rows == [("4155550100", "a@b.com"), ("4155550100", "\tx@y.z"), ("155", ""), ("", None), (None, "a")]
+
+
+@pytest.mark.parametrize("start", range(1, 13))
+def test_fiscal_period_of_every_month(spark, start):
+    days = [date(2020, month, 28) for month in range(1, 13)]
+    df = spark.createDataFrame([(d,) for d in days] + [(None,)], "d date")
+    rows = [tuple(r) for r in op.assign_fiscal_period(df, "d", start).collect()]
+    expected = []
+    for d in days:
+        months_in = d.month - start if d.month >= start else 12 - start + d.month
+        expected.append((d, d.year if d.month >= start else d.year - 1, months_in // 3 + 1))
+    assert rows == expected + [(None, None, None)]
+
+
+def test_soft_deletes(spark):
+    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, is_deleted boolean")
+    assert column_of(op.drop_soft_deleted(df), "id") == [2, 3]
+    assert column_of(op.drop_soft_deleted(df, enabled=False), "id") == [1, 2, 3]
+    renamed = df.withColumnRenamed("is_deleted", "gone")
+    assert column_of(op.drop_soft_deleted(renamed, flag="gone"), "id") == [2, 3]
+
+
+def test_union_relations_tags_in_upper_case(spark):
+    one_row = spark.createDataFrame([(1,)], "id int")
+    rows = op.union_relations({"alpha": one_row, "Beta": one_row}, tag="origin").collect()
+    assert [tuple(r) for r in rows] == [(1, "ALPHA"), (1, "BETA")]
+
+
+def test_union_refuses_differing_types(spark):
+    with pytest.raises(ContractError):
+        op.union_rows(spark.sql("select 1 as a"), spark.sql("select 'x' as a"))
