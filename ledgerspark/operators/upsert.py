@@ -95,7 +95,7 @@ def merge_into(table: str, updates: DataFrame, key: str, on_duplicate: str = "la
     """The same merge run by a catalog that has row-level updates; it then rewrites only what it must."""
     settled = settle(updates, key, on_duplicate, modified).alias("u")
     (
-        settled.mergeInto(table, F.col(f"{table}.{key}") == F.col(f"u.{key}"))
+        settled.mergeInto(table, F.col(f"{table.rpartition('.')[2]}.{key}") == F.col(f"u.{key}"))
         .withSchemaEvolution()
         .whenMatched().updateAll()
         .whenNotMatched().insertAll()

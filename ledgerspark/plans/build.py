@@ -20,7 +20,7 @@ from ledgerspark.plans.facts import FACTS
 from ledgerspark.plans.model import Model
 from ledgerspark.settings import RunContext, Settings
 from ledgerspark.sources.catalog import SourceCatalog, target_namespace
-from ledgerspark.sources.targets import TableTarget
+from ledgerspark.sources.targets import RowLevelTarget, TableTarget
 
 MODELS: dict[str, Model] = {model.name: model for model in DIMENSIONS + FACTS}
 
@@ -47,15 +47,17 @@ def build(model: Model, sources: SourceCatalog, ctx: RunContext, since: dict[str
     return require_contract(rows, model.contract)
 
 
-def run(model: Model, sources: SourceCatalog, ctx: RunContext, target: TableTarget, on_duplicate: str = "latest",
-        lookback_days: int | None = None, refresh: bool = False) -> DataFrame:
+def run(model: Model, sources: SourceCatalog, ctx: RunContext, target: TableTarget | RowLevelTarget,
+        on_duplicate: str = "latest", lookback_days: int | None = None, refresh: bool = False,
+        reload: bool = False) -> DataFrame:
     """Run a model into its target: load it when it does not exist, else merge what changed since.
 
     Watermarks come from the target, per source system. With ``lookback_days`` the window instead reaches that
     many days behind the newest row of the whole target. ``refresh`` merges all source rows, as is needed after
-    a change that their modification times do not show (a new mapping, another as-of date).
+    a change that their modification times do not show (a new mapping, another as-of date). ``reload`` builds
+    the target anew.
     """
-    if not target.exists():
+    if reload or not target.exists():
         return target.load(build(model, sources, ctx, repeat_rows=on_duplicate == "keep_all"), on_duplicate)
     since = lookback = None
     if lookback_days is not None:

@@ -1,4 +1,4 @@
-"""The twelve dimensions. Unmentioned contract columns are typed nulls; behaviour is kept as the sources have it.
+"""The twelve dimensions. Unmentioned contract columns are typed nulls.
 
 Most keys hash the natural id alone, so one id used by both systems gives one key and the later merge wins.
 """
@@ -26,6 +26,7 @@ def _dimension(subject: str, key: str, key_parts: tuple[str, ...], *feeds: Feed,
     return Model(f"dim_{subject}", key, key_parts, ("cdm", "dimension", options.pop("tag", subject)), feeds, **options)
 
 
+# Fixed values, here and in every feed below: which source column fills which output column.
 LOCATION = _dimension(
     "location", "location_key", ("location_id",),
     _netsuite("dim_locations", {

@@ -14,6 +14,7 @@ def _fact_feed(system: str, fields: dict) -> Feed:
     return Feed(system, f"gold_{system.lower()}", "fact_transaction", fields)
 
 
+# Fixed values, here and in every feed below: which source column fills which output column.
 _DATES = {
     "transactiondate": "tran_date",
     "postingperioddate": "start_date",

@@ -1,5 +1,5 @@
 from ledgerspark.sources.catalog import SourceCatalog, table_name, target_namespace
-from ledgerspark.sources.targets import TableTarget, full_refresh, shared_folder, write_table
+from ledgerspark.sources.targets import RowLevelTarget, TableTarget, full_refresh, shared_folder, write_table
 
-__all__ = ["SourceCatalog", "TableTarget", "full_refresh", "shared_folder", "table_name", "target_namespace",
-           "write_table"]
+__all__ = ["RowLevelTarget", "SourceCatalog", "TableTarget", "full_refresh", "shared_folder", "table_name",
+           "target_namespace", "write_table"]

@@ -6,7 +6,7 @@ table is never overwritten while it is read. Versions are bucketed by the key: t
 updates, not the target.
 
 Keys are hashes, so even a small batch touches nearly every file; a plain table is therefore rewritten whole.
-Where the catalog offers row-level updates, use ``operators.merge_into`` instead.
+Where the catalog has row-level updates, use a ``RowLevelTarget``, which leaves the rewriting to the catalog.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.operators.upsert import replace_rows, settle, update_every_row
+from ledgerspark.operators.upsert import merge_into, replace_rows, settle, update_every_row
 from ledgerspark.operators.watermark import MODIFIED
 
 # About 50 MB of keys per task; keys are unique hashes, so buckets are even.
@@ -134,3 +134,26 @@ class TableTarget:
         """The batch's keys; as a hash table per bucket where their number allows, which spares sorting the target."""
         keys = batch.select(self.key)
         return keys.hint("shuffle_hash") if batch.count() <= self.buckets * HASHED_KEYS_PER_BUCKET else keys
+
+
+class RowLevelTarget:
+    """A merge target in a catalog that runs MERGE itself."""
+
+    def __init__(self, spark: SparkSession, name: str, key: str):
+        self.spark = spark
+        self.name = name
+        self.key = key
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def load(self, df: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
+        settle(df, self.key, on_duplicate, modified).writeTo(self.name).createOrReplace()
+        return self.read()
+
+    def merge(self, updates: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
+        merge_into(self.name, updates, self.key, on_duplicate, modified)
+        return self.read()

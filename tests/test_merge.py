@@ -15,7 +15,7 @@ from pyspark.errors import PySparkException
 from ledgerspark import operators as op
 from ledgerspark.plans import MODELS, run, run_all, run_snapshot
 from ledgerspark.settings import EPOCH, RunContext
-from ledgerspark.sources import TableTarget, full_refresh, shared_folder, write_table
+from ledgerspark.sources import RowLevelTarget, TableTarget, full_refresh, shared_folder, write_table
 from tests.test_models import catalog
 
 SCHEMA = "k string, v string, last_modified_date timestamp_ntz"
@@ -144,10 +144,13 @@ def test_full_refresh_keeps_duplicates_and_plain_tables(spark):
 
 
 def test_row_level_merge_needs_a_catalog_that_has_it(spark):
-    table = target(spark)
-    table.load(frame(spark, [("a", "x", 1)]))
-    with pytest.raises(PySparkException):
-        op.merge_into(table.name, frame(spark, [("a", "y", 2)]), "k")
+    """No such catalog is installed; the statement must be complete up to that point."""
+    name = f"plain_{uuid.uuid4().hex}"
+    write_table(frame(spark, [("a", "x", 1)]), name)
+    table = RowLevelTarget(spark, f"default.{name}", "k")
+    assert table.exists() and table.read().count() == 1
+    with pytest.raises(PySparkException, match="does not support MERGE INTO"):
+        table.merge(frame(spark, [("a", "y", 2)]))
 
 
 def test_watermarks(spark):
@@ -193,6 +196,7 @@ def test_two_ordered_batches_equal_one_load(spark):
     assert bag(two.read()) == unchanged
     ran_again = run(spec, late, run_context(2), two, refresh=True)
     assert {r["_dbt_run_id"] for r in ran_again.collect()} == {"run 2"}
+    assert run(spec, early, run_context(3), two, reload=True).count() == 20
 
 
 def test_null_times_load_once_and_lookback_reads_back(spark):
