@@ -11,6 +11,7 @@ Where the catalog has row-level updates, use a ``RowLevelTarget``, which leaves
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -90,21 +91,24 @@ class TableTarget:
         batch = self.spark.table(staged)
         if on_duplicate == "keep_all":
             version = self._write(update_every_row(self.read(), batch, self.key), bucketed=False)
-        else:
+        elif self._live_buckets() == self.buckets:
             version = self._write(replace_rows(self.read(), batch, self._keys_to_match(batch), self.key), bucketed=True)
+        else:
+            merged = replace_rows(self.read(), batch, batch.select(self.key), self.key)
+            version = self._write(merged.repartition(self.buckets, self.key), bucketed=True)
         result = self._publish(version)
         self.spark.sql(f"DROP TABLE {staged}")
         return result
 
     def drop_old_versions(self) -> list[str]:
         """Drop every version but the newest; call it when no reader uses the older ones any more."""
-        definition = self.spark.sql(f"SHOW CREATE TABLE {self.name}").first()[0]
         namespace, _, short = self.name.rpartition(".")
-        prefix = f"{namespace}." if namespace else ""
+        live = self._live_version()
         listed = self.spark.sql(f"SHOW TABLES {f'IN {namespace} ' if namespace else ''}LIKE '{short}__*'").collect()
-        old = [row["tableName"] for row in listed if row["tableName"] not in definition]
+        tables = [f"{namespace}.{row['tableName']}" if namespace else row["tableName"] for row in listed]
+        old = [table for table in tables if table != live]
         for table in old:
-            self.spark.sql(f"DROP TABLE {prefix}{table}")
+            self.spark.sql(f"DROP TABLE {table}")
         return old
 
     def _settled(self, df: DataFrame, on_duplicate: str, modified: str) -> str:
@@ -119,6 +123,18 @@ class TableTarget:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {version}")
         return self.read()
 
+    def _live_version(self) -> str:
+        """The table the view points at."""
+        namespace, _, short = self.name.rpartition(".")
+        definition = self.spark.sql(f"SHOW CREATE TABLE {self.name}").first()[0]
+        version = re.search(rf"{re.escape(short)}__[0-9a-f]{{32}}", definition, re.IGNORECASE).group()
+        return f"{namespace}.{version}" if namespace else version
+
+    def _live_buckets(self) -> int | None:
+        """How many buckets the newest version has; another number than wanted means it must be split anew."""
+        described = self.spark.sql(f"DESCRIBE EXTENDED {self._live_version()}").where("col_name = 'Num Buckets'").first()
+        return int(described["data_type"]) if described else None
+
     def _write(self, df: DataFrame, bucketed: bool) -> str:
         """Write ``df`` as a new table and return its name."""
         name = f"{self.name}__{uuid.uuid4().hex}"

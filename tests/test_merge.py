@@ -125,6 +125,21 @@ def test_target_appends_columns_and_drops_old_versions(spark):
     assert table.read().count() == 2
 
 
+@pytest.mark.parametrize("first_buckets", [None, 3, 5])
+def test_buckets_can_change(spark, first_buckets):
+    rows = [(f"k{i}", "x", 1) for i in range(500)]
+    table = target(spark, buckets=first_buckets)
+    if first_buckets is None:
+        full_refresh(frame(spark, rows), table)
+    else:
+        table.load(frame(spark, rows))
+    wider = TableTarget(spark, table.name, "k", buckets=5, folder=table.folder)
+    merged = wider.merge(frame(spark, [(f"k{i}", "y", 2) for i in range(400, 600)]))
+    assert Counter(r["v"] for r in merged.collect()) == {"x": 400, "y": 200}
+    assert wider._live_buckets() == 5
+    assert len(spark.table(wider._live_version()).inputFiles()) <= 10
+
+
 def test_a_failed_merge_leaves_the_old_state(spark):
     table = target(spark)
     table.load(frame(spark, [("a", "x", 1)]))
