@@ -38,6 +38,8 @@ def build(model: Model, sources: SourceCatalog, ctx: RunContext, since: dict[str
     neither, the sources are read whole. ``repeat_rows=False`` leaves out copies that a join would make of a row,
     for callers that keep one row per key anyway.
     """
+    if sources.spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled: without it bad numbers and dates would become null unnoticed")
     parts = [_feed_rows(model, feed, sources, since, lookback, repeat_rows) for feed in model.feeds]
     rows = union_rows(*parts)
     rows = rows.withColumns({name: make() for name, make in model.derived.items()})

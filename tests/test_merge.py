@@ -230,6 +230,38 @@ def test_null_times_load_once_and_lookback_reads_back(spark):
         "none": "run 0", "old": "run 0", "late": "run 2"}
 
 
+def test_a_new_mapping_needs_a_refresh(spark):
+    accounts = [{"account_id": "1", "account_number": "9", "last_modified_date": at(1)}]
+
+    def sources(name):
+        mapping = [{"account_id": "1", "source_system": "sage", "effective_from": date(2019, 1, 1),
+                    "effective_to": date(2021, 1, 1), "debt_mapping": name}]
+        return catalog(spark, sage_dim_chartofaccounts=accounts, mapping_map_coa_reporting=mapping)
+
+    spec = MODELS["dim_chart_of_accounts"]
+    table = target(spark, spec.key)
+
+    def mapped(df):
+        return [r["debtmapping"] for r in df.collect()]
+
+    assert mapped(run(spec, sources("first"), run_context(), table)) == ["first"]
+    assert mapped(run(spec, sources("second"), run_context(1), table)) == ["first"]
+    assert mapped(run(spec, sources("second"), run_context(2), table, refresh=True)) == ["second"]
+
+
+def test_shared_keys_move_the_other_watermark_back(spark):
+    """Both systems use id 1: the second takes the row over, so the first system's newest time is lost."""
+    tables = dict(netsuite_dim_locations=[{"location_id": "1", "last_modified_date": at(5)},
+                                          {"location_id": "2", "last_modified_date": at(1)}],
+                  sage_dim_location=[{"location_id": "1", "last_modified_date": at(9)}])
+    spec = MODELS["dim_location"]
+    table = target(spark, spec.key)
+    loaded = run(spec, catalog(spark, **tables), run_context(), table)
+    assert op.high_watermarks(loaded, ["NETSUITE", "SAGE"]) == {"NETSUITE": at(1), "SAGE": at(9)}
+    again = run(spec, catalog(spark, **tables), run_context(1), table)
+    assert {r["location_id"]: r["source_system"] for r in again.collect()} == {"1": "NETSUITE", "2": "NETSUITE"}
+
+
 def test_run_all_of_a_tag(spark):
     rows = [{"class_id": "1", "last_modified_date": at(1)}]
     done = run_all(spark, catalog(spark, sage_dim_classification=rows), run_context(), tags=["class"])

@@ -168,6 +168,15 @@ def test_contract_check(spark):
             require_contract(spark.sql(wrong), wanted)
 
 
+def test_strict_casts_need_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="ansi"):
+            build(MODELS["dim_item"], catalog(spark), CONTEXT)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_models_by_tag():
     assert len(MODELS) == 15 == len(select_models("cdm"))
     assert len(select_models("dimension")) == 12
