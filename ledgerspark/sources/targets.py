@@ -101,7 +101,10 @@ class TableTarget:
         return result
 
     def drop_old_versions(self) -> list[str]:
-        """Drop every version but the newest; call it when no reader uses the older ones any more."""
+        """Drop every version but the newest; call it when no reader uses the older ones any more.
+
+        With ``folder`` the tables are external, and their files are the folder owner's to remove.
+        """
         namespace, _, short = self.name.rpartition(".")
         live = self._live_version()
         listed = self.spark.sql(f"SHOW TABLES {f'IN {namespace} ' if namespace else ''}LIKE '{short}__*'").collect()

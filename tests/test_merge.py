@@ -14,9 +14,11 @@ from pyspark.errors import PySparkException
 
 from ledgerspark import operators as op
 from ledgerspark.plans import MODELS, run, run_all, run_snapshot
-from ledgerspark.settings import EPOCH, RunContext
+from ledgerspark.settings import EPOCH, RunContext, Settings
 from ledgerspark.sources import RowLevelTarget, TableTarget, full_refresh, shared_folder, write_table
 from tests.test_models import catalog
+from verification.erp_views import ErpViews
+from verification.queries import BATCH_ONE_UNTIL
 
 SCHEMA = "k string, v string, last_modified_date timestamp_ntz"
 DAY = datetime(2020, 1, 1)
@@ -269,6 +271,19 @@ def test_run_all_of_a_tag(spark):
     assert spark.table("CDM_FINANCE.dim_class").count() == 1
 
 
+def test_run_all_models_twice(spark):
+    """Every model into a namespace of its own, first batch then everything; keys stay unique."""
+    options = Settings(reporting_schema=f"space_{uuid.uuid4().hex}")
+    folder = "/root/testdata/sf0.001"
+    first = run_all(spark, ErpViews(spark, folder, until=BATCH_ONE_UNTIL).catalog(), run_context(), settings=options)
+    before = {name: df.count() for name, df in first.items()}
+    second = run_all(spark, ErpViews(spark, folder).catalog(), run_context(1), settings=options)
+    assert set(second) == set(MODELS)
+    for name, df in second.items():
+        rows, keys = df.count(), df.select(MODELS[name].key).distinct().count()
+        assert rows == keys >= before[name] > 0
+
+
 def test_history(spark):
     def now(*rows):
         return spark.createDataFrame([(k, v, at(n)) for k, v, n in rows], "k int, v string, u timestamp_ntz")
