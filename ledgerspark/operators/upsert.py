@@ -68,26 +68,46 @@ def replace_rows(target: DataFrame, updates: DataFrame, keys: DataFrame, key: st
     The target is only filtered. If it is bucketed by the key it is not shuffled, and it is read once unless it
     has columns that the updates lack.
     """
-    target_only = _missing(target, updates)
+    updates = _in_types_of(target, updates)
+    names = {c.lower() for c in updates.columns}
+    target_only = [c for c in target.columns if c.lower() not in names]
     if target_only:
         updates = updates.join(target.select(key, *target_only), key, "left")
     return target.join(keys, key, "left_anti").unionByName(updates, allowMissingColumns=True)
 
 
 def update_every_row(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """The merge for a target with repeated keys: each of its rows of an updated key takes the update's values."""
-    known = target.select(key).distinct()
+    """The merge for a target with repeated keys: each of its rows of an updated key takes the update's values.
+
+    One left join, whose hot groups are on the side that can be split; a second scan of the target reads its keys.
+    """
+    updates = _in_types_of(target, updates)
+    known = updates.select(key).distinct().join(target.select(key).distinct(), key, "left_semi")
     require_unique(updates.join(known, key, "left_semi"), key)
-    changed = target.select(key, *_missing(target, updates)).join(updates, key)
-    kept = target.join(updates.select(key).distinct(), key, "left_anti")
     added = updates.join(known, key, "left_anti")
-    return kept.unionByName(changed, allowMissingColumns=True).unionByName(added, allowMissingColumns=True)
 
-
-def _missing(target: DataFrame, updates: DataFrame) -> list[str]:
-    """The target's columns that the updates lack; names ignore case."""
-    names = {c.lower() for c in updates.columns}
-    return [c for c in target.columns if c.lower() not in names]
+    values = {c.lower(): c for c in updates.columns if c.lower() != key.lower()}
+    joined = target.join(updates.select(key, F.struct(*values.values()).alias("_new")), key, "left")
+    columns = []
+    for name in target.columns:
+        value = F.col(name)
+        if name.lower() in values:
+            value = F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(value)
+        columns.append(value.alias(name))
+    present = {c.lower() for c in target.columns}
+    columns += [F.col(f"_new.{name}").alias(name) for lower, name in values.items() if lower not in present]
+    return joined.select(*columns).unionByName(added, allowMissingColumns=True)
+
+
+def _in_types_of(target: DataFrame, updates: DataFrame) -> DataFrame:
+    """The updates with shared columns cast to the target's types, which a merge never changes."""
+    wanted = {f.name.lower(): f.dataType for f in target.schema}
+    casts = {
+        f.name: F.col(f.name).cast(wanted[f.name.lower()])
+        for f in updates.schema
+        if wanted.get(f.name.lower(), f.dataType) != f.dataType
+    }
+    return updates.withColumns(casts) if casts else updates
 
 
 def merge_into(table: str, updates: DataFrame, key: str, on_duplicate: str = "latest",

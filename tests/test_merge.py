@@ -117,6 +117,15 @@ def test_written_merge_equals_pure_merge(spark, buckets, policy):
     assert bag(table.merge(frame(spark, second), policy)) == bag(op.upsert(before, frame(spark, second), "k", policy))
 
 
+@pytest.mark.parametrize("policy", ["latest", "keep_all"])
+def test_types_of_the_target_stay(spark, policy):
+    old = spark.createDataFrame([("a", 1.5, "x")], "k string, v double, t string")
+    new = spark.createDataFrame([("a", 2, 7), ("b", 3, None)], "k string, v int, t int")
+    merged = op.upsert(old, new, "k", policy)
+    assert merged.dtypes == old.dtypes
+    assert bag(merged) == Counter([("a", 2.0, "7"), ("b", 3.0, None)])
+
+
 def test_target_appends_columns_and_drops_old_versions(spark):
     table = target(spark)
     table.load(frame(spark, [("a", "x", 1)]))
