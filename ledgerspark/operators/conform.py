@@ -98,7 +98,7 @@ def conform(df: DataFrame, feed: Feed, contract: T.StructType) -> DataFrame:
             value = (plain(given) if isinstance(given, str) else given)(types)
         else:
             value = F.lit(None)
-        columns.append(value.cast(out.dataType).alias(out.name))
+        columns.append(value.cast(out.dataType.simpleString()).alias(out.name))
     return df.select(*columns)
 
 

@@ -1,3 +1,12 @@
-from ledgerspark.plans.build import MODELS, build, run, run_all, run_snapshot, select_models, target_of
+from ledgerspark.plans.build import (
+    MODELS,
+    build,
+    run,
+    run_all,
+    run_snapshot,
+    select_models,
+    snapshot_target,
+    target_of,
+)
 
-__all__ = ["MODELS", "build", "run", "run_all", "run_snapshot", "select_models", "target_of"]
+__all__ = ["MODELS", "build", "run", "run_all", "run_snapshot", "select_models", "snapshot_target", "target_of"]

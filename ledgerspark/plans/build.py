@@ -74,9 +74,17 @@ def run(model: Model, sources: SourceCatalog, ctx: RunContext, target: TableTarg
 def target_of(spark: SparkSession, model: Model, settings: Settings = Settings(),
               default_schema: str = "default") -> TableTarget:
     """Where a model is kept: the reporting schema, or the default one when none is configured."""
-    schema = target_namespace(settings.reporting_schema, default_schema)
+    return _target(spark, target_namespace(settings.reporting_schema, default_schema), model.name, model.key)
+
+
+def snapshot_target(spark: SparkSession, name: str, key: str, settings: Settings = Settings()) -> TableTarget:
+    """Where a history table is kept."""
+    return _target(spark, settings.snapshot_schema, name, key)
+
+
+def _target(spark: SparkSession, schema: str, name: str, key: str) -> TableTarget:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    return TableTarget(spark, f"{schema}.{model.name}", model.key)
+    return TableTarget(spark, f"{schema}.{name}", key)
 
 
 def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, tags=(), settings: Settings = Settings(),

@@ -52,4 +52,6 @@ SESSION_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Bucketed writes keep a few files open instead of sorting their rows by bucket.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # Models have many columns; looking up the Python line of each one takes a third of the planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

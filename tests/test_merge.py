@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
 from ledgerspark import operators as op
-from ledgerspark.plans import MODELS, run, run_all, run_snapshot
+from ledgerspark.plans import MODELS, run, run_all, run_snapshot, snapshot_target
 from ledgerspark.settings import EPOCH, RunContext, Settings
 from ledgerspark.sources import RowLevelTarget, TableTarget, full_refresh, shared_folder, write_table
 from tests.test_models import catalog
@@ -297,7 +297,7 @@ def test_history(spark):
     def now(*rows):
         return spark.createDataFrame([(k, v, at(n)) for k, v, n in rows], "k int, v string, u timestamp_ntz")
 
-    table = target(spark)
+    table = snapshot_target(spark, f"history_{uuid.uuid4().hex}", "k")
     first = run_snapshot(table, now((1, "a", 1), (2, "b", 1), (3, "c", 1)), "u", run_context())
     assert bag(first) == Counter([(1, "a", at(1), at(1), None), (2, "b", at(1), at(1), None), (3, "c", at(1), at(1), None)])
     second = run_snapshot(table, now((1, "a2", 2), (2, "changed, same time", 1), (4, "d", 2)), "u", run_context(1))

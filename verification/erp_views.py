@@ -252,6 +252,8 @@ class ErpViews:
         self.spark = spark
         self.until = until
         self._sql = view_sql(spark_day)
+        # The default; the models refuse sessions that turn bad values into nulls.
+        spark.conf.set("spark.sql.ansi.enabled", "true")
         self._folder = sf_dir
 
     def names(self) -> list[str]:
