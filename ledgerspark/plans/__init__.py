@@ -1,6 +1,7 @@
 from ledgerspark.plans.build import (
     MODELS,
     build,
+    default_buckets,
     run,
     run_all,
     run_snapshot,
@@ -9,4 +10,5 @@ from ledgerspark.plans.build import (
     target_of,
 )
 
-__all__ = ["MODELS", "build", "run", "run_all", "run_snapshot", "select_models", "snapshot_target", "target_of"]
+__all__ = ["MODELS", "build", "default_buckets", "run", "run_all", "run_snapshot", "select_models",
+           "snapshot_target", "target_of"]

@@ -71,20 +71,23 @@ def run(model: Model, sources: SourceCatalog, ctx: RunContext, target: TableTarg
     return target.merge(updates, on_duplicate)
 
 
+def default_buckets(spark: SparkSession, model: Model) -> int | None:
+    """Facts are bucketed like the session's shuffles; dimensions are small next to them and are not."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions")) if "fact" in model.tags else None
+
+
 def target_of(spark: SparkSession, model: Model, settings: Settings = Settings(),
               default_schema: str = "default") -> TableTarget:
     """Where a model is kept: the reporting schema, or the default one when none is configured."""
-    return _target(spark, target_namespace(settings.reporting_schema, default_schema), model.name, model.key)
+    schema = target_namespace(settings.reporting_schema, default_schema)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    return TableTarget(spark, f"{schema}.{model.name}", model.key, default_buckets(spark, model))
 
 
 def snapshot_target(spark: SparkSession, name: str, key: str, settings: Settings = Settings()) -> TableTarget:
-    """Where a history table is kept."""
-    return _target(spark, settings.snapshot_schema, name, key)
-
-
-def _target(spark: SparkSession, schema: str, name: str, key: str) -> TableTarget:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    return TableTarget(spark, f"{schema}.{name}", key)
+    """Where a history table is kept; its keys repeat, so it has no buckets."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {settings.snapshot_schema}")
+    return TableTarget(spark, f"{settings.snapshot_schema}.{name}", key)
 
 
 def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, tags=(), settings: Settings = Settings(),
@@ -102,10 +105,10 @@ def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, tags=(
 
 def run_snapshot(target: TableTarget, current: DataFrame, updated_at: str, ctx: RunContext,
                  close_deleted: bool = True) -> DataFrame:
-    """Bring a history table up to date with the current rows. A key has many versions, so it is not bucketed."""
+    """Bring a history table up to date with the current rows."""
     history = target.read() if target.exists() else None
     versions = snapshot_scd2(history, current, target.key, updated_at, ctx.run_ts, close_deleted)
-    return target.replace(versions, bucketed=False)
+    return target.replace(versions)
 
 
 def _feed_rows(model: Model, feed: Feed, sources: SourceCatalog, since, lookback, repeat_rows: bool) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A ``TableTarget`` is a stable view over the newest version of a table. A version is written completely and then
 the view is repointed, so readers see either the old or the new state, a failed run leaves the old one, and a
-table is never overwritten while it is read. Versions are bucketed by the key: the next merge shuffles its
+table is never overwritten while it is read. Large targets are bucketed by the key: a merge then shuffles its
 updates, not the target.
 
 Keys are hashes, so even a small batch touches nearly every file; a plain table is therefore rewritten whole.
@@ -43,15 +43,15 @@ def write_table(df: DataFrame, table: str) -> None:
 
 def full_refresh(df: DataFrame, target: TableTarget) -> DataFrame:
     """First load or reload: the rows as they are, without removing duplicates."""
-    return target.replace(df, bucketed=False)
+    return target.replace(df)
 
 
 class TableTarget:
-    """A merge target held as versioned, key-bucketed Parquet tables behind a view.
+    """A merge target held as versioned Parquet tables behind a view.
 
-    ``buckets`` defaults to the session's shuffle partitions: rows with one row per key then leave their last
-    shuffle already split by bucket, and each task writes few files. ``folder`` makes the versions external
-    tables below it; otherwise they are managed.
+    Give large targets ``buckets``, so many that one bucket suits one task; with the number of shuffle partitions,
+    rows settled by key are already split by bucket when they are written. Small ones need none. ``folder`` makes
+    the versions external tables below it; otherwise they are managed. A target has one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, name: str, key: str, buckets: int | None = None,
@@ -59,7 +59,7 @@ class TableTarget:
         self.spark = spark
         self.name = name
         self.key = key
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets
         self.folder = folder
 
     def exists(self) -> bool:
@@ -68,35 +68,31 @@ class TableTarget:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def replace(self, df: DataFrame, bucketed: bool = True) -> DataFrame:
-        """Write ``df`` as the next version and point the view at it.
-
-        Tables with repeated keys are written unbucketed, since a bucket cannot split a hot key.
-        """
-        if bucketed:
-            df = df.repartition(self.buckets, self.key)
-        return self._publish(self._write(df, bucketed))
+    def replace(self, df: DataFrame) -> DataFrame:
+        """Write the rows as they are, repeated keys included, as the next version."""
+        return self._publish(self._write(df, None))
 
     def load(self, df: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
         """First load under a duplicate policy."""
         return self._publish(self._settled(df, on_duplicate, modified))
 
     def merge(self, updates: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
-        """Merge a batch into the newest version. A target has one writer at a time.
+        """Merge a batch into the newest version.
 
         The batch is computed, settled and written once, in the target's buckets; the merge then joins bucket to
         bucket without a shuffle, and a lost executor costs a re-read instead of the batch's whole lineage.
         """
+        buckets = self._buckets_under(on_duplicate)
         staged = self._settled(updates, on_duplicate, modified)
         batch = self.spark.table(staged)
         if on_duplicate == "keep_all":
-            version = self._write(update_every_row(self.read(), batch, self.key), bucketed=False)
-        elif self._live_buckets() == self.buckets:
-            version = self._write(replace_rows(self.read(), batch, self._keys_to_match(batch), self.key), bucketed=True)
+            merged = update_every_row(self.read(), batch, self.key)
+        elif buckets and buckets == self._live_buckets():
+            merged = replace_rows(self.read(), batch, self._keys_to_match(batch), self.key)
         else:
             merged = replace_rows(self.read(), batch, batch.select(self.key), self.key)
-            version = self._write(merged.repartition(self.buckets, self.key), bucketed=True)
-        result = self._publish(version)
+            merged = merged.repartition(buckets, self.key) if buckets else merged
+        result = self._publish(self._write(merged, buckets))
         self.spark.sql(f"DROP TABLE {staged}")
         return result
 
@@ -114,13 +110,18 @@ class TableTarget:
             self.spark.sql(f"DROP TABLE {table}")
         return old
 
+    def _buckets_under(self, on_duplicate: str) -> int | None:
+        """Repeated keys are kept unbucketed, since a bucket cannot split a hot key."""
+        return None if on_duplicate == "keep_all" else self.buckets
+
     def _settled(self, df: DataFrame, on_duplicate: str, modified: str) -> str:
-        """Apply the duplicate policy and write the rows, bucketed unless keys repeat; return the table's name."""
+        """Apply the duplicate policy and write the rows; return the table's name."""
         df = settle(df, self.key, on_duplicate, modified)
-        by_bucket = on_duplicate == "latest" and self.buckets == int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        if on_duplicate != "keep_all" and not by_bucket:
-            df = df.repartition(self.buckets, self.key)
-        return self._write(df, bucketed=on_duplicate != "keep_all")
+        buckets = self._buckets_under(on_duplicate)
+        split = on_duplicate == "latest" and buckets == int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if buckets and not split:
+            df = df.repartition(buckets, self.key)
+        return self._write(df, buckets)
 
     def _publish(self, version: str) -> DataFrame:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {version}")
@@ -138,12 +139,12 @@ class TableTarget:
         described = self.spark.sql(f"DESCRIBE EXTENDED {self._live_version()}").where("col_name = 'Num Buckets'").first()
         return int(described["data_type"]) if described else None
 
-    def _write(self, df: DataFrame, bucketed: bool) -> str:
+    def _write(self, df: DataFrame, buckets: int | None) -> str:
         """Write ``df`` as a new table and return its name."""
         name = f"{self.name}__{uuid.uuid4().hex}"
         writer = df.write.format("parquet")
-        if bucketed:
-            writer = writer.bucketBy(self.buckets, self.key)
+        if buckets:
+            writer = writer.bucketBy(buckets, self.key)
         if self.folder:
             writer = writer.option("path", f"{self.folder}/{name}")
         writer.saveAsTable(name)

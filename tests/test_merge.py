@@ -100,7 +100,7 @@ def test_merge_against_a_dictionary(spark, first, second):
     assert bag(op.upsert(once, frame(spark, second), "k")) == Counter(wanted.values())
 
 
-@pytest.mark.parametrize("buckets", [8, 3])
+@pytest.mark.parametrize("buckets", [None, 8, 3])
 @pytest.mark.parametrize("policy", ["latest", "error", "keep_all"])
 def test_written_merge_equals_pure_merge(spark, buckets, policy):
     rng = random.Random(2)

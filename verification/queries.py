@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark import functions as fn
 from ledgerspark import operators as op
-from ledgerspark.plans import MODELS, build, run
+from ledgerspark.plans import MODELS, build, default_buckets, run
 from ledgerspark.settings import RunContext
 from ledgerspark.sources import TableTarget, shared_folder
 from verification.erp_views import ErpViews, read_table
@@ -42,7 +42,9 @@ def model(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of a model into a table under the policy ``latest``: batch 1, then what is newer."""
     spec = MODELS[name]
-    target = TableTarget(spark, f"{name}_{uuid.uuid4().hex}", spec.key, folder=shared_folder(spark))
+    target = TableTarget(
+        spark, f"{name}_{uuid.uuid4().hex}", spec.key, default_buckets(spark, spec), shared_folder(spark)
+    )
     run(spec, ErpViews(spark, sf_dir, until=BATCH_ONE_UNTIL).catalog(), CONTEXT, target)
     return run(spec, ErpViews(spark, sf_dir).catalog(), CONTEXT, target)
 
