@@ -10,6 +10,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerspark.operators import DuplicateKeyError
+from verification import queries
 from verification.erp_views import BASE_TABLES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -39,6 +41,12 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+@pytest.mark.parametrize("name", ["fact_budget", "fact_ebitda_adjs"])
+def test_keeping_repeated_keys_refuses_the_planning_facts(spark, name):
+    with pytest.raises(DuplicateKeyError):
+        queries.two_runs(name, "keep_all", spark, FOLDER)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)

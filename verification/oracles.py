@@ -67,6 +67,9 @@ _MAPPED = cols(gaapmappingl1="gaap_mapping_l1", gaapmappingl2="gaap_mapping_l2",
                cashflowl3="cashflow_l3", pandlmultiplier="pandl_multiplier", budgetmultiplier="budget_multiplier",
                debtmapping="debt_mapping")
 
+# Their keys repeat within a batch, so a merge that keeps repeated keys must refuse them.
+PLANNING_FACTS = {"fact_budget", "fact_ebitda_adjs"}
+
 # model -> (columns made after the union, rows of the first system, rows of the second)
 SHAPES: dict[str, tuple[str, str, str]] = {
     "dim_location": (
@@ -212,17 +215,34 @@ def newer(system: str, target: str) -> str:
         from {target} where source_system = '{system}')"""
 
 
-def upsert_sql(name: str) -> str:
-    """Two runs of a model: batch 1, then everything newer than what run 1 left in the target."""
+def second_run(name: str) -> str:
+    """The model over what is newer than ``run_1``, per system."""
     first_where = "true" if name == "dim_subsidiary" else newer("NETSUITE", "run_1")
-    second = model_body(name, first_where, newer("SAGE", "run_1"))
+    return model_body(name, first_where, newer("SAGE", "run_1"))
+
+
+def upsert_sql(name: str) -> str:
+    """Two runs of a model with one row per key: batch 1, then everything newer than what run 1 left."""
     key_name = CONTRACTS[name].fieldNames()[0]
-    runs = f"run_1 as ({one_per_key(batch_one(name), name)}), run_2 as ({one_per_key(second, name)})"
+    runs = f"run_1 as ({one_per_key(batch_one(name), name)}), run_2 as ({one_per_key(second_run(name), name)})"
     text = f"""select * from run_1 where {key_name} not in (select {key_name} from run_2)
         union all select * from run_2"""
     return with_views(text, runs)
 
 
+def merge_sql(name: str) -> str:
+    """The same two runs with repeated keys left in: every target row of an updated key takes the update."""
+    k = CONTRACTS[name].fieldNames()[0]
+    # In batch 1 the transactions that repeat a customer are those of batch 1.
+    early = batch_one(name).replace(
+        "join ns_fact_transaction t", f"join (select * from ns_fact_transaction where last_modified_date <= {CUT}) t"
+    )
+    text = f"""select * from run_1 where {k} not in (select {k} from run_2)
+        union all select run_2.* from run_1 join run_2 on run_1.{k} = run_2.{k}
+        union all select * from run_2 where {k} not in (select {k} from run_1)"""
+    return with_views(text, f"run_1 as ({early}), run_2 as ({second_run(name)})")
+
+
 _SELECTED = "select source_system, transactionuniqueid, last_modified_date from"
 _TARGET = f"target as ({batch_one('fact_transactions')})"
 
@@ -232,6 +252,7 @@ _PARTS = " union all ".join(f"select '{view}' as source_table, count(*) as n_row
 def oracle_sql() -> dict[str, str]:
     texts = {f"model_{name}": with_views(model_body(name)) for name in SHAPES}
     texts |= {f"upsert_{name}": upsert_sql(name) for name in SHAPES}
+    texts |= {f"merge_{name}": merge_sql(name) for name in SHAPES if name not in PLANNING_FACTS}
     texts |= {
         "scan_sources": with_views(_PARTS),
         "watermarks_by_source": with_views(
