@@ -30,14 +30,23 @@ def latest_per_key(df: DataFrame, key: str, modified: str = MODIFIED) -> DataFra
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys that occur more than once; rows are counted per task before the shuffle."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+
+
 def require_unique(df: DataFrame, key: str) -> DataFrame:
-    """Return ``df`` unchanged, or raise when a key occurs twice. Runs one job that combines map-side."""
-    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(3)
-    if repeated:
-        raise DuplicateKeyError(f"{key} is not unique, for example {[r[key] for r in repeated]}")
+    """Return ``df`` unchanged, or raise when a key occurs twice."""
+    _raise_if_any(repeated_keys(df, key), key)
     return df
 
 
+def _raise_if_any(repeated: DataFrame, key: str) -> None:
+    examples = [row[key] for row in repeated.take(3)]
+    if examples:
+        raise DuplicateKeyError(f"{key} is not unique, for example {examples}")
+
+
 def settle(updates: DataFrame, key: str, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
     """Apply the policy for several updates of one key."""
     if on_duplicate not in POLICIES:
@@ -82,9 +91,9 @@ def update_every_row(target: DataFrame, updates: DataFrame, key: str) -> DataFra
     One left join, whose hot groups are on the side that can be split; a second scan of the target reads its keys.
     """
     updates = _in_types_of(target, updates)
-    known = updates.select(key).distinct().join(target.select(key).distinct(), key, "left_semi")
-    require_unique(updates.join(known, key, "left_semi"), key)
-    added = updates.join(known, key, "left_anti")
+    present_keys = target.select(key).distinct()
+    _raise_if_any(repeated_keys(updates, key).join(present_keys, key, "left_semi"), key)
+    added = updates.join(present_keys, key, "left_anti")
 
     values = {c.lower(): c for c in updates.columns if c.lower() != key.lower()}
     joined = target.join(updates.select(key, F.struct(*values.values()).alias("_new")), key, "left")
