@@ -15,7 +15,7 @@ from ledgerspark.operators.jobs import with_audit
 from ledgerspark.operators.joins import repeat_per_match
 from ledgerspark.operators.snapshot import snapshot_scd2
 from ledgerspark.operators.union import union_rows
-from ledgerspark.operators.watermark import high_watermark, high_watermarks, newer_than, within_lookback
+from ledgerspark.operators.watermark import newer_than, within_lookback
 from ledgerspark.plans.dims import DIMENSIONS
 from ledgerspark.plans.facts import FACTS
 from ledgerspark.plans.model import Model
@@ -64,9 +64,9 @@ def run(model: Model, sources: SourceCatalog, ctx: RunContext, target: TableTarg
         return target.load(build(model, sources, ctx, repeat_rows=on_duplicate == "keep_all"), on_duplicate)
     since = lookback = None
     if lookback_days is not None:
-        lookback = (high_watermark(target.read()), lookback_days)
+        lookback = (target.newest(), lookback_days)
     elif not refresh:
-        since = high_watermarks(target.read(), [feed.system for feed in model.feeds])
+        since = target.watermarks(model.systems)
     updates = build(model, sources, ctx, since, lookback, repeat_rows=on_duplicate == "keep_all")
     return target.merge(updates, on_duplicate)
 
@@ -81,7 +81,9 @@ def target_of(spark: SparkSession, model: Model, settings: Settings = Settings()
     """Where a model is kept: the reporting schema, or the default one when none is configured."""
     schema = target_namespace(settings.reporting_schema, default_schema)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    return TableTarget(spark, f"{schema}.{model.name}", model.key, default_buckets(spark, model))
+    return TableTarget(
+        spark, f"{schema}.{model.name}", model.key, default_buckets(spark, model), systems=model.systems
+    )
 
 
 def snapshot_target(spark: SparkSession, name: str, key: str, settings: Settings = Settings()) -> TableTarget:

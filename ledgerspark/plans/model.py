@@ -31,3 +31,7 @@ class Model:
     @property
     def contract(self) -> T.StructType:
         return CONTRACTS[self.name]
+
+    @property
+    def systems(self) -> tuple[str, ...]:
+        return tuple(feed.system for feed in self.feeds)

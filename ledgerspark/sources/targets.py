@@ -14,12 +14,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerspark.operators.upsert import merge_into, replace_rows, settle, update_every_row
-from ledgerspark.operators.watermark import MODIFIED
+from ledgerspark.operators.watermark import MODIFIED, high_watermark, high_watermarks
+from ledgerspark.settings import EPOCH
 
+KEPT_WATERMARK = "watermark."
 # About 50 MB of keys per task; keys are unique hashes, so buckets are even.
 HASHED_KEYS_PER_BUCKET = 500_000
 
@@ -52,15 +56,19 @@ class TableTarget:
     Give large targets ``buckets``, so many that one bucket suits one task; with the number of shuffle partitions,
     rows settled by key are already split by bucket when they are written. Small ones need none. ``folder`` makes
     the versions external tables below it; otherwise they are managed. A target has one writer at a time.
+
+    For the named source ``systems`` the newest modification time is taken while a version is written and kept as
+    a table property, so that an incremental run need not scan the target for its watermarks.
     """
 
     def __init__(self, spark: SparkSession, name: str, key: str, buckets: int | None = None,
-                 folder: str | None = None):
+                 folder: str | None = None, systems: tuple[str, ...] = ()):
         self.spark = spark
         self.name = name
         self.key = key
         self.buckets = buckets
         self.folder = folder
+        self.systems = tuple(system.upper() for system in systems)
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
@@ -68,13 +76,27 @@ class TableTarget:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def watermarks(self, systems) -> dict[str, datetime]:
+        """The newest time of each system in the target: as kept with the version, else by a scan."""
+        kept = self._kept_watermarks()
+        wanted = [system.upper() for system in systems]
+        if set(wanted) <= set(kept):
+            return {system: kept[system] for system in wanted}
+        return high_watermarks(self.read(), wanted)
+
+    def newest(self) -> datetime:
+        """The newest time in the whole target, which holds rows of its systems only."""
+        kept = self._kept_watermarks()
+        return max(kept.values()) if self.systems and set(self.systems) == set(kept) else high_watermark(self.read())
+
     def replace(self, df: DataFrame) -> DataFrame:
         """Write the rows as they are, repeated keys included, as the next version."""
-        return self._publish(self._write(df, None))
+        return self._publish(self._write_version(df, None))
 
     def load(self, df: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
         """First load under a duplicate policy."""
-        return self._publish(self._settled(df, on_duplicate, modified))
+        buckets = self._buckets_under(on_duplicate)
+        return self._publish(self._write_version(self._settled(df, on_duplicate, modified), buckets, modified))
 
     def merge(self, updates: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
         """Merge a batch into the newest version.
@@ -83,7 +105,7 @@ class TableTarget:
         bucket without a shuffle, and a lost executor costs a re-read instead of the batch's whole lineage.
         """
         buckets = self._buckets_under(on_duplicate)
-        staged = self._settled(updates, on_duplicate, modified)
+        staged = self._write(self._settled(updates, on_duplicate, modified), buckets)
         batch = self.spark.table(staged)
         if on_duplicate == "keep_all":
             merged = update_every_row(self.read(), batch, self.key)
@@ -92,7 +114,7 @@ class TableTarget:
         else:
             merged = replace_rows(self.read(), batch, batch.select(self.key), self.key)
             merged = merged.repartition(buckets, self.key) if buckets else merged
-        result = self._publish(self._write(merged, buckets))
+        result = self._publish(self._write_version(merged, buckets, modified))
         self.spark.sql(f"DROP TABLE {staged}")
         return result
 
@@ -114,14 +136,12 @@ class TableTarget:
         """Repeated keys are kept unbucketed, since a bucket cannot split a hot key."""
         return None if on_duplicate == "keep_all" else self.buckets
 
-    def _settled(self, df: DataFrame, on_duplicate: str, modified: str) -> str:
-        """Apply the duplicate policy and write the rows; return the table's name."""
+    def _settled(self, df: DataFrame, on_duplicate: str, modified: str) -> DataFrame:
+        """The rows under the duplicate policy, split by bucket."""
         df = settle(df, self.key, on_duplicate, modified)
         buckets = self._buckets_under(on_duplicate)
         split = on_duplicate == "latest" and buckets == int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        if buckets and not split:
-            df = df.repartition(buckets, self.key)
-        return self._write(df, buckets)
+        return df.repartition(buckets, self.key) if buckets and not split else df
 
     def _publish(self, version: str) -> DataFrame:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {version}")
@@ -139,6 +159,25 @@ class TableTarget:
         described = self.spark.sql(f"DESCRIBE EXTENDED {self._live_version()}").where("col_name = 'Num Buckets'").first()
         return int(described["data_type"]) if described else None
 
+    def _kept_watermarks(self) -> dict[str, datetime]:
+        properties = self.spark.sql(f"SHOW TBLPROPERTIES {self._live_version()}").collect()
+        return {
+            row["key"].removeprefix(KEPT_WATERMARK): datetime.fromisoformat(row["value"])
+            for row in properties
+            if row["key"].startswith(KEPT_WATERMARK)
+        }
+
+    def _write_version(self, df: DataFrame, buckets: int | None, modified: str = MODIFIED) -> str:
+        """Write a version and keep its watermarks with it."""
+        if not self.systems or not {"source_system", modified} <= set(df.columns):
+            return self._write(df, buckets)
+        seen = Observation()
+        newest = [F.max(F.when(F.col("source_system") == s, F.col(modified))).alias(s) for s in self.systems]
+        name = self._write(df.observe(seen, *newest), buckets)
+        kept = ", ".join(f"'{KEPT_WATERMARK}{s}' = '{(seen.get[s] or EPOCH).isoformat()}'" for s in self.systems)
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({kept})")
+        return name
+
     def _write(self, df: DataFrame, buckets: int | None) -> str:
         """Write ``df`` as a new table and return its name."""
         name = f"{self.name}__{uuid.uuid4().hex}"
@@ -170,6 +209,12 @@ class RowLevelTarget:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def watermarks(self, systems) -> dict[str, datetime]:
+        return high_watermarks(self.read(), systems)
+
+    def newest(self) -> datetime:
+        return high_watermark(self.read())
+
     def load(self, df: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
         settle(df, self.key, on_duplicate, modified).writeTo(self.name).createOrReplace()
         return self.read()

@@ -273,6 +273,32 @@ def test_shared_keys_move_the_other_watermark_back(spark):
     assert {r["location_id"]: r["source_system"] for r in again.collect()} == {"1": "NETSUITE", "2": "NETSUITE"}
 
 
+@pytest.mark.parametrize("name, policy", [
+    ("dim_location", "latest"), ("dim_subsidiary", "latest"), ("fact_transactions", "latest"),
+    ("dim_currency", "keep_all"), ("fact_transactions", "keep_all"),
+])
+def test_kept_watermarks_are_those_of_a_scan(spark, name, policy):
+    spec, folder = MODELS[name], "/root/testdata/sf0.001"
+    kept = target(spark, spec.key, systems=spec.systems)
+    scanned = TableTarget(spark, kept.name, spec.key)
+    for until in (datetime(1996, 1, 1), BATCH_ONE_UNTIL, None):
+        run(spec, ErpViews(spark, folder, until=until).catalog(), run_context(), kept, policy)
+        assert set(kept._kept_watermarks()) == {"NETSUITE", "SAGE"}
+        assert kept.watermarks(spec.systems) == op.high_watermarks(kept.read(), spec.systems)
+        assert kept.newest() == scanned.newest() == op.high_watermark(kept.read())
+    assert kept.watermarks(["sage", "other"]) == op.high_watermarks(kept.read(), ["SAGE", "OTHER"])
+
+
+def test_empty_targets_keep_the_first_watermark(spark):
+    spec = MODELS["dim_class"]
+    table = target(spark, spec.key, systems=spec.systems)
+    run(spec, catalog(spark), run_context(), table)
+    assert table.watermarks(spec.systems) == {"NETSUITE": EPOCH, "SAGE": EPOCH}
+    later = [{"class_id": "1", "last_modified_date": at(1)}]
+    assert run(spec, catalog(spark, sage_dim_classification=later), run_context(), table).count() == 1
+    assert table.watermarks(spec.systems) == {"NETSUITE": EPOCH, "SAGE": at(1)}
+
+
 def test_run_all_of_a_tag(spark):
     rows = [{"class_id": "1", "last_modified_date": at(1)}]
     done = run_all(spark, catalog(spark, sage_dim_classification=rows), run_context(), tags=["class"])

@@ -80,7 +80,7 @@ def test_merge_shuffles_the_batch_only(spark, stored, no_broadcast):
     spec = MODELS["fact_transactions"]
     target = TableTarget(spark, f"p_{uuid.uuid4().hex}", spec.key, 8, shared_folder(spark))
     target.load(build(spec, ErpViews(spark, FOLDER, until=BATCH_ONE_UNTIL).catalog(), CONTEXT))
-    batch = spark.table(target._settled(build(spec, stored, CONTEXT), "latest", "last_modified_date"))
+    batch = spark.table(target._write(target._settled(build(spec, stored, CONTEXT), "latest", "last_modified_date"), 8))
     text = plan(replace_rows(target.read(), batch, target._keys_to_match(batch), spec.key))
     tree = text[:text.index("\n\n")]
     assert "ShuffledHashJoin" in tree

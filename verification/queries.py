@@ -47,7 +47,7 @@ def two_runs(name: str, on_duplicate: str, spark: SparkSession, sf_dir: str) ->
     """
     spec = MODELS[name]
     target = TableTarget(
-        spark, f"{name}_{uuid.uuid4().hex}", spec.key, default_buckets(spark, spec), shared_folder(spark)
+        spark, f"{name}_{uuid.uuid4().hex}", spec.key, default_buckets(spark, spec), shared_folder(spark), spec.systems
     )
     run(spec, ErpViews(spark, sf_dir, until=BATCH_ONE_UNTIL).catalog(), CONTEXT, target, on_duplicate)
     return run(spec, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, on_duplicate)
@@ -63,7 +63,7 @@ def watermarks_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transactions a second run reads, each system by its own watermark."""
-    since = op.high_watermarks(_first_transactions(spark, sf_dir), [feed.system for feed in TRANSACTIONS.feeds])
+    since = op.high_watermarks(_first_transactions(spark, sf_dir), TRANSACTIONS.systems)
     rows = build(TRANSACTIONS, ErpViews(spark, sf_dir).catalog(), CONTEXT, since=since)
     return rows.select("source_system", "transactionuniqueid", "last_modified_date")
 
