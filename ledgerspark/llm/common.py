@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +91,7 @@ def word_count(text: Column) -> Column:
 
 def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of about SLICE_BYTES."""
-    ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0)), dtype=np.int64)
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)), dtype=np.int64)
     start = 0
     while start < len(texts):
         before = ends[start - 1] if start else 0
@@ -101,7 +102,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts in a row (null: none), and where each text starts, with the end last."""
-    data = pa.compute.fill_null(texts, "").cast(pa.large_string())
+    data = pc.fill_null(texts, "").cast(pa.large_string())
     offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
     if not len(data) or data.buffers()[2] is None:
         return np.zeros(0, np.uint8), np.zeros(len(data) + 1, np.int64)
