@@ -22,6 +22,8 @@ SLICE_BYTES = 1 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _CONTROL = np.zeros(256, bool)
 _CONTROL[[9, 10, 11, 12, 13, 32]] = True
+_MARKS = _CONTROL.copy()
+_MARKS[[x for x in range(128) if not chr(x).isalnum()]] = True
 
 
 _shipped: set[str] = set()
@@ -127,13 +129,16 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Words:
-    """The words of some texts: ``count`` of each text, and 64-bit ``codes`` of the words in order."""
+    """The words of some texts: ``count`` of each text, and 64-bit ``codes`` of the words in order.
 
-    def __init__(self, texts: pa.Array, lower: bool = False) -> None:
+    ``lower`` puts A-Z in lower case; with ``plain``, ASCII marks also end a word and belong to none.
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool = False, plain: bool = False) -> None:
         data, starts = text_bytes(texts)
         if lower:
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-        inside = ~_CONTROL[data]
+        inside = ~(_MARKS if plain else _CONTROL)[data]
         first = np.zeros(len(data) + 1, bool)
         first[starts] = True
         begin = inside.copy()
