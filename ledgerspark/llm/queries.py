@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import mixing, token_files, topk
+from ledgerspark.llm import decontaminate, jaccard, language, licenses, lines, mixing, pages, substrings, token_files, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_main_text": pages.op1_main_text,
         "op2_embedding_top_k": topk.op2_embedding_top_k,
         "op3_mix_sources": mixing.op3_mix_sources,
+        "op4_remove_repeats": substrings.op4_remove_repeats,
+        "op5_near_duplicates": jaccard.op5_near_duplicates,
+        "op6_license_notices": licenses.op6_license_notices,
+        "op7_language": language.op7_language,
+        "op8_repeated_lines": lines.op8_repeated_lines,
+        "op9_benchmark": decontaminate.op9_benchmark,
         "op10_token_files": token_files.op10_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_embedding_top_k": topk.OP2_SQL}
+    """Language models, tokenizers, alignment, knapsacks and components have none; their tests are by brute force."""
+    return {
+        "op2_embedding_top_k": topk.OP2_SQL,
+        "op4_remove_repeats": substrings.OP4_SQL,
+        "op8_repeated_lines": lines.OP8_SQL,
+    }
