@@ -6,7 +6,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -208,8 +207,9 @@ def contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
                     found = index.value.verified(words)
                     if found:
                         ids = batch.column(0).slice(start, stop - start).take(pa.array([x[0] for x in found]))
-                        rest = pd.DataFrame([x[1:] for x in found], columns=names[1:])
-                        yield pa.RecordBatch.from_arrays([ids, *(pa.Array.from_pandas(rest[c]) for c in names[1:])], names)
+                        rest = zip(*(x[1:] for x in found))
+                        kinds = [pa.int64(), pa.int64(), *[pa.float64()] * 4]
+                        yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, k) for c, k in zip(rest, kinds))], names)
 
         return documents.select("doc_id", "text").mapInArrow(find, schema)
 
