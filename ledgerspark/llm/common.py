@@ -131,11 +131,12 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Words:
     """The words of some texts: ``count`` of each text, and 64-bit ``codes`` of the words in order.
 
-    ``lower`` puts A-Z in lower case; with ``plain``, ASCII marks also end a word and belong to none.
+    ``lower`` puts A-Z in lower case; ``plain`` puts all letters in lower case, and ASCII marks end a word and belong
+    to none.
     """
 
     def __init__(self, texts: pa.Array, lower: bool = False, plain: bool = False) -> None:
-        data, starts = text_bytes(texts)
+        data, starts = text_bytes(pc.utf8_lower(texts) if plain else texts)
         if lower:
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
         inside = ~(_MARKS if plain else _CONTROL)[data]

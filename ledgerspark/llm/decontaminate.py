@@ -49,7 +49,7 @@ class Index:
         self.items = []
         rows, self.part_item = [], []
         for item_id, text in items:
-            halves = [Words(pa.array([x]), lower=True, plain=True).codes for x in question_and_answer(text)]
+            halves = [Words(pa.array([x]), plain=True).codes for x in question_and_answer(text)]
             codes = np.concatenate(halves)
             if not len(codes):
                 continue
@@ -203,7 +203,7 @@ def contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for start, stop in slices(batch.column(1)):
-                    words = Words(batch.column(1).slice(start, stop - start), lower=True, plain=True)
+                    words = Words(batch.column(1).slice(start, stop - start), plain=True)
                     found = index.value.verified(words)
                     if found:
                         ids = batch.column(0).slice(start, stop - start).take(pa.array([x[0] for x in found]))

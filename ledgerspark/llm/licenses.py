@@ -65,7 +65,7 @@ class Templates:
         self.factors = mixed(np.arange(1, bands() + 1, dtype=np.uint64)) | np.uint64(1)
         self.names, self.sizes, self.sets, self.halves, self.values = [], [], [], [], []
         for name, text in notices:
-            codes = Words(pa.array([text]), lower=True, plain=True).codes
+            codes = Words(pa.array([text]), plain=True).codes
             if len(codes) < HASHED:
                 continue
             self.names.append(name)
@@ -132,7 +132,7 @@ def license_notices(documents: DataFrame, notices: tuple[tuple[str, str], ...] =
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in slices(batch.column(1)):
-                found = templates.found(Words(batch.column(1).slice(start, stop - start), lower=True, plain=True))
+                found = templates.found(Words(batch.column(1).slice(start, stop - start), plain=True))
                 if found:
                     text, name, first, share = zip(*found)
                     yield pa.RecordBatch.from_arrays(
