@@ -28,7 +28,7 @@ def subset_counts(lengths: list[int], counts: list[int], budget: int, exact: int
     for i in order:
         if left <= exact:
             break
-        more = min(counts[i] - take[i], (left - exact) // lengths[i])
+        more = min(counts[i] - take[i], -((exact - left) // lengths[i]), left // lengths[i])
         take[i] += more
         left -= more * lengths[i]
     bound = min(left, exact)
