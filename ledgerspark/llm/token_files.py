@@ -8,6 +8,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +30,24 @@ CACHE_WORDS = 500_000
 END_ID = 2
 
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_MARKS = b".,;:!?"
 _encoders: dict[str, "Encoder"] = {}
 
 
-class Encoder:
-    """Ids of texts as little-endian 32-bit bytes, word by word.
+def byte_characters() -> dict[int, str]:
+    """The character by which a byte-level tokenizer writes each byte: itself if it prints, else one from 256 on."""
+    printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printing]
+    return {b: chr(b) for b in printing} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Encoder(dict):
+    """Ids of texts as little-endian 32-bit bytes; a dictionary of words that were met before.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its words; words
-    recur, and a bounded memory holds their ids. Lower-case letters and the marks after them are pieces of their own in
-    this tokenizer, so that words that differ in case or marks share work. All other words are encoded as they are.
+    recur, and a bounded memory holds their ids. Letters and the marks after them are pieces of their own in this
+    tokenizer, in lower case, so that words that differ in case or marks share work, and the merges are asked for
+    the piece directly. All other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,37 +60,41 @@ class Encoder:
         cut = json.dumps(steps.get("pre_tokenizer"))
         kinds = [x.get("type") for x in (steps.get("normalizer") or {}).get("normalizers", [])]
         self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and '"Removed"' in cut and "[^\\\\s" in cut
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.character = byte_characters()
+        self.pieces: dict[bytes, bytes] = {}
 
     def raw(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def piece(self, text: str) -> bytes:
-        if (found := self.pieces.get(text)) is None:
-            found = self.pieces[text] = self.raw(text)
+    def piece(self, piece: bytes) -> bytes:
+        if (found := self.pieces.get(piece)) is None:
+            text = piece.decode() if piece.isascii() else "".join(map(self.character.__getitem__, piece))
+            found = self.pieces[piece] = array("I", [x.id for x in self.model.tokenize(text)]).tobytes()
         return found
 
     def word(self, word: bytes) -> bytes:
+        letters = word.rstrip(_MARKS)
+        if letters.isalpha():  # of bytes: ASCII letters
+            marks = word[len(letters):]
+            return self.piece(letters.lower()) + (self.piece(marks) if marks else b"")
         text = word.decode()
         if simple := _SIMPLE.fullmatch(text):
-            letters, marks = simple.groups()
-            return self.piece(letters.lower()) + (self.piece(marks) if marks else b"")
+            piece, marks = simple.groups()
+            return self.piece(piece.lower().encode()) + (self.piece(marks.encode()) if marks else b"")
         return self.raw(text)
 
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+            self.pieces.clear()
+        found = self[word] = self.word(word)
+        return found
+
     def text(self, text: bytes) -> bytes:
         if not self.by_word:
             return self.raw(text.decode())
-        words = text.split()
-        for word in set(words).difference(self.words):
-            if len(self.words) >= CACHE_WORDS:
-                self.words, self.pieces = {}, {}
-                return self.text_directly(words)
-            self.words[word] = self.word(word)
-        return b"".join(map(self.words.__getitem__, words))
-
-    def text_directly(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.word, words))
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def encoder(path: str) -> Encoder:
