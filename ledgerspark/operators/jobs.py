@@ -50,14 +50,15 @@ def normalize_amounts(df: DataFrame, amounts, rate: Column | str | None = None)
     return df.withColumns({name: fn.rounded_amount(F.col(name), rate) for name in amounts})
 
 
-def fill_currency(df: DataFrame, column: str, default: str = Settings.default_currency) -> DataFrame:
-    """Put the default currency where none is given."""
-    return df.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
+def fill_currency(df: DataFrame, column: str, default: str | None = None, settings: Settings = Settings()) -> DataFrame:
+    """Put a currency where none is given: ``default``, else the one of the settings."""
+    return df.withColumn(column, F.coalesce(F.col(column), F.lit(settings.default_currency if default is None else default)))
 
 
-def drop_soft_deleted(df: DataFrame, flag: str = "is_deleted",
-                      enabled: bool = Settings.enable_soft_deletes) -> DataFrame:
-    """Rows not marked as deleted; a missing mark counts as not deleted."""
+def drop_soft_deleted(df: DataFrame, flag: str = "is_deleted", enabled: bool | None = None,
+                      settings: Settings = Settings()) -> DataFrame:
+    """Rows not marked as deleted, unless switched off here or in the settings; a missing mark counts as not deleted."""
+    enabled = settings.enable_soft_deletes if enabled is None else enabled
     return df.where(~F.coalesce(F.col(flag), F.lit(False))) if enabled else df
 
 

@@ -26,8 +26,8 @@ def effective_dated_join(
     ``values`` maps mapping columns to output names. Ranges that overlap on the day give one row each.
 
     The day filter and the column list reach the mapping scan. No broadcast is forced: Spark broadcasts the
-    mapping when its size allows. Matched and unmatched rows come from two joins, because beyond that size
-    adaptive execution splits a hot group on either side of an inner join but only on the left of an outer one.
+    mapping when its size allows. Beyond that, one left join shuffles each side once; a hot account is on the left,
+    which adaptive execution splits, and few mapping rows of an account are valid on a day.
     """
     day = F.lit(as_of.isoformat()).cast("date")
     valid = mapping.where(day.between(F.col(valid_from), F.col(valid_to))).select(
@@ -36,17 +36,16 @@ def effective_dated_join(
         *[F.col(name).alias(out) for name, out in values.items()],
     )
     same = (F.col(id_column) == F.col("_mapped_id")) & (F.upper(system_column) == F.col("_mapped_system"))
-    mapped = valid.select("_mapped_id", "_mapped_system").distinct()
-    matched = rows.join(valid, same).drop("_mapped_id", "_mapped_system")
-    return matched.unionByName(rows.join(mapped, same, "left_anti"), allowMissingColumns=True)
+    return rows.join(valid, same, "left").drop("_mapped_id", "_mapped_system")
 
 
 def repeat_per_match(rows: DataFrame, other: DataFrame, row_id: Column, other_id: str) -> DataFrame:
     """The result of a left join whose right columns are all dropped: a row is repeated once per match.
 
     Only counts per id are joined, so the large side is aggregated before its shuffle and a hot id costs one
-    number per map task. The copies of a hot row are then made in pieces spread over all partitions; the number of
-    partitions is set because a piece is tiny before it is expanded and would be coalesced with others.
+    number per map task. A row without id has no match and passes by the join. The copies of a hot row are made in pieces
+    spread over all partitions by the whole row; the number of partitions is set because a piece is tiny before
+    it is expanded and would be coalesced with others.
     """
     spark = rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -56,13 +55,14 @@ def repeat_per_match(rows: DataFrame, other: DataFrame, row_id: Column, other_id
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
     names = rows.columns
-    counted = rows.withColumn("_row_id", row_id.cast("string")).join(
+    counted = rows.where(row_id.isNotNull()).withColumn("_row_id", row_id.cast("string")).join(
         counts, F.col("_row_id") == F.col("_other_id"), "left"
     )
     copies = F.coalesce(F.col("_copies"), F.lit(1))
     last_piece = F.floor((copies - 1) / COPIES_PER_ROW)
     pieces = counted.select(
-        *names, "_row_id", copies.alias("_copies"), F.explode(F.sequence(F.lit(0), last_piece)).alias("_piece")
-    ).repartition(partitions, "_row_id", "_piece")
+        *names, copies.alias("_copies"), F.explode(F.sequence(F.lit(0), last_piece)).alias("_piece")
+    ).repartition(partitions, F.xxhash64(*names, "_piece"))
     size = F.least(F.lit(COPIES_PER_ROW), F.col("_copies") - F.col("_piece") * COPIES_PER_ROW).cast("int")
-    return pieces.select(*names, F.explode(F.sequence(F.lit(1), size)).alias("_copy")).select(*names)
+    copied = pieces.select(*names, F.explode(F.sequence(F.lit(1), size)).alias("_copy")).select(*names)
+    return copied.unionByName(rows.where(row_id.isNull()))

@@ -9,33 +9,33 @@ from pyspark.sql import functions as F
 
 from ledgerspark.contracts import ContractError
 from ledgerspark.functions import timestamp_literal
+from ledgerspark.operators.upsert import DuplicateKeyError
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
 
-def snapshot_scd2(history: DataFrame | None, current: DataFrame, key: str, updated_at: str, run_ts: datetime,
-                  close_deleted: bool = True) -> DataFrame:
-    """The history after seeing ``current``, which holds one row per key.
+def require_one_row_per_key(current: DataFrame, key: str) -> None:
+    """Refuse repeated keys, which would multiply versions, and null keys, which match nothing."""
+    wrong = current.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) | F.col(key).isNull())
+    if examples := [row[key] for row in wrong.take(3)]:
+        raise DuplicateKeyError(f"{key} is repeated or null, for example {examples}")
 
-    * a new key, or one whose versions are all closed, opens a version at its ``updated_at``;
-    * a newer ``updated_at`` closes the open version there and opens another; an equal or older one changes nothing;
-    * an open version whose key is gone is closed at ``run_ts`` unless ``close_deleted`` is off.
 
-    Closed versions only pass through. Open ones meet the current rows in one join on the key, and the one or two
-    resulting versions come out of the joined row, so nothing is joined or shuffled twice.
-    """
+def next_versions(open_versions: DataFrame | None, current: DataFrame, key: str, updated_at: str, run_ts: datetime,
+                  close_deleted: bool = True) -> DataFrame:
+    """What the open versions become after seeing ``current``; closed versions are not needed for it."""
+    require_one_row_per_key(current, key)
     when_type = "timestamp_ntz"
     fresh = current.withColumns({
         VALID_FROM: F.col(updated_at).cast(when_type),
         VALID_TO: F.lit(None).cast(when_type),
     })
-    if history is None:
+    if open_versions is None:
         return fresh
-    if history.columns != fresh.columns:
-        raise ContractError(f"history has the columns {history.columns}, the new rows {fresh.columns}")
+    if open_versions.columns != fresh.columns:
+        raise ContractError(f"history has the columns {open_versions.columns}, the new rows {fresh.columns}")
     columns = fresh.columns
-    is_open = F.col(VALID_TO).isNull()
-    old = history.where(is_open).select(F.col(key).alias("_key"), F.struct(*columns).alias("old"))
+    old = open_versions.select(F.col(key).alias("_key"), F.struct(*columns).alias("old"))
     new = fresh.select(F.col(key).alias("_key"), F.struct(*columns).alias("new"))
 
     old_row, new_row = F.col("old"), F.col("new")
@@ -48,5 +48,22 @@ def snapshot_scd2(history: DataFrame | None, current: DataFrame, key: str, updat
               F.array(closed_by(F.col(f"new.{VALID_FROM}")), new_row))
         .otherwise(F.array(old_row))
     )
-    live = old.join(new, "_key", "full_outer").select(F.inline(versions))
+    return old.join(new, "_key", "full_outer").select(F.inline(versions))
+
+
+def snapshot_scd2(history: DataFrame | None, current: DataFrame, key: str, updated_at: str, run_ts: datetime,
+                  close_deleted: bool = True) -> DataFrame:
+    """The history after seeing ``current``, which must hold one row per key and no null key (this is checked).
+
+    * a new key, or one whose versions are all closed, opens a version at its ``updated_at``;
+    * a newer ``updated_at`` closes the open version there and opens another; an equal or older one changes nothing;
+    * an open version whose key is gone is closed at ``run_ts`` unless ``close_deleted`` is off.
+
+    Closed versions only pass through. Open ones meet the current rows in one join on the key, and the one or two
+    resulting versions come out of the joined row, so nothing is joined or shuffled twice.
+    """
+    if history is None:
+        return next_versions(None, current, key, updated_at, run_ts, close_deleted)
+    is_open = F.col(VALID_TO).isNull()
+    live = next_versions(history.where(is_open), current, key, updated_at, run_ts, close_deleted)
     return history.where(~is_open).unionByName(live)

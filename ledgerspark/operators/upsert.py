@@ -47,64 +47,84 @@ def _raise_if_any(repeated: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"{key} is not unique, for example {examples}")
 
 
-def settle(updates: DataFrame, key: str, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
-    """Apply the policy for several updates of one key."""
+def require_policy(on_duplicate: str) -> None:
     if on_duplicate not in POLICIES:
         raise ValueError(f"on_duplicate is one of {POLICIES}, not {on_duplicate!r}")
+
+
+def settle(updates: DataFrame, key: str, on_duplicate: str, modified: str = MODIFIED) -> DataFrame:
+    """Apply the policy for several updates of one key."""
+    require_policy(on_duplicate)
     if on_duplicate == "latest":
         return latest_per_key(updates, key, modified)
     return require_unique(updates, key) if on_duplicate == "error" else updates
 
 
-def upsert(target: DataFrame, updates: DataFrame, key: str, on_duplicate: str = "latest",
-           modified: str = MODIFIED) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, key: str, on_duplicate: str, modified: str = MODIFIED,
+           keep: tuple[str, ...] = ()) -> DataFrame:
     """The target after merging ``updates`` on ``key``.
 
     * Columns only the updates have are appended; old rows hold null there.
     * Columns only the target has keep their value on a matched row and are null on an inserted one.
     * ``latest`` and ``error`` leave one row per updated key. ``keep_all`` is for targets loaded with repeated
       keys: every target row of a key takes the update, and several updates of a matched key are an error.
+    * Columns named in ``keep``, such as the time of creation, keep a matched row's value.
     """
     settled = settle(updates, key, on_duplicate, modified)
     if on_duplicate == "keep_all":
-        return update_every_row(target, settled, key)
-    return replace_rows(target, settled, updates.select(key).distinct(), key)
+        return update_every_row(target, settled, key, keep=keep)
+    return replace_rows(target, settled, updates.select(key).distinct(), key, keep)
 
 
-def replace_rows(target: DataFrame, updates: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+def replace_rows(target: DataFrame, updates: DataFrame, keys: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Target rows whose key is not among ``keys``, and all ``updates`` (one per key).
 
     The target is only filtered. If it is bucketed by the key it is not shuffled, and it is read once unless it
-    has columns that the updates lack.
+    has columns that the updates lack, or columns to ``keep``.
     """
     updates = _in_types_of(target, updates)
-    names = {c.lower() for c in updates.columns}
+    names = {c.lower(): c for c in updates.columns}
+    kept = [c for c in target.columns if c.lower() in {k.lower() for k in keep} and c.lower() in names]
     target_only = [c for c in target.columns if c.lower() not in names]
-    if target_only:
-        updates = updates.join(target.select(key, *target_only), key, "left")
+    if target_only or kept:
+        old = target.select(F.col(key).alias("_key"), F.lit(True).alias("_matched"), *target_only,
+                            *[F.col(c).alias(f"_old_{i}") for i, c in enumerate(kept)])
+        joined = updates.join(old, F.col(key) == F.col("_key"), "left")
+        for i, c in enumerate(kept):
+            joined = joined.withColumn(names[c.lower()], F.when(F.col("_matched"), F.col(f"_old_{i}")).otherwise(F.col(names[c.lower()])))
+        updates = joined.select(*updates.columns, *target_only)
     return target.join(keys, key, "left_anti").unionByName(updates, allowMissingColumns=True)
 
 
-def update_every_row(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+def keys_present(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """The updates' keys that the target holds: one read of the target's key column, no larger than the batch."""
+    return updates.select(key).distinct().join(target.select(key), key, "left_semi")
+
+
+def update_every_row(target: DataFrame, updates: DataFrame, key: str, present: DataFrame | None = None,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """The merge for a target with repeated keys: each of its rows of an updated key takes the update's values.
 
-    One left join, whose hot groups are on the side that can be split; a second scan of the target reads its keys.
+    One left join, whose hot groups are on the side that can be split. ``present`` are the updates' keys that the
+    target holds, if the caller has them written already; they serve the check, the update and the insert.
     """
     updates = _in_types_of(target, updates)
-    present_keys = target.select(key).distinct()
-    _raise_if_any(repeated_keys(updates, key).join(present_keys, key, "left_semi"), key)
-    added = updates.join(present_keys, key, "left_anti")
-
-    values = {c.lower(): c for c in updates.columns if c.lower() != key.lower()}
-    joined = target.join(updates.select(key, F.struct(*values.values()).alias("_new")), key, "left")
+    present = keys_present(target, updates, key) if present is None else present
+    _raise_if_any(repeated_keys(updates, key).join(present, key, "left_semi"), key)
+    added = updates.join(present, key, "left_anti")
+    matched = updates.join(present, key, "left_semi")
+
+    kept = {c.lower() for c in keep} & {c.lower() for c in target.columns}
+    values = {c.lower(): c for c in updates.columns if c.lower() != key.lower() and c.lower() not in kept}
+    joined = target.join(matched.select(key, F.struct(*values.values()).alias("_new")), key, "left")
     columns = []
     for name in target.columns:
         value = F.col(name)
         if name.lower() in values:
             value = F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(value)
         columns.append(value.alias(name))
-    present = {c.lower() for c in target.columns}
-    columns += [F.col(f"_new.{name}").alias(name) for lower, name in values.items() if lower not in present]
+    present_names = {c.lower() for c in target.columns}
+    columns += [F.col(f"_new.{name}").alias(name) for lower, name in values.items() if lower not in present_names]
     return joined.select(*columns).unionByName(added, allowMissingColumns=True)
 
 
@@ -119,8 +139,7 @@ def _in_types_of(target: DataFrame, updates: DataFrame) -> DataFrame:
     return updates.withColumns(casts) if casts else updates
 
 
-def merge_into(table: str, updates: DataFrame, key: str, on_duplicate: str = "latest",
-               modified: str = MODIFIED) -> None:
+def merge_into(table: str, updates: DataFrame, key: str, on_duplicate: str, modified: str = MODIFIED) -> None:
     """The same merge run by a catalog that has row-level updates; it then rewrites only what it must."""
     settled = settle(updates, key, on_duplicate, modified).alias("u")
     (

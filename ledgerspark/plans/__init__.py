@@ -1,7 +1,7 @@
 from ledgerspark.plans.build import (
     MODELS,
+    RunAllError,
     build,
-    default_buckets,
     run,
     run_all,
     run_snapshot,
@@ -10,5 +10,5 @@ from ledgerspark.plans.build import (
     target_of,
 )
 
-__all__ = ["MODELS", "build", "default_buckets", "run", "run_all", "run_snapshot", "select_models",
-           "snapshot_target", "target_of"]
+__all__ = ["MODELS", "RunAllError", "build", "run", "run_all", "run_snapshot", "select_models", "snapshot_target",
+           "target_of"]

@@ -13,15 +13,17 @@ from ledgerspark.functions import surrogate_key
 from ledgerspark.operators.conform import Feed, conform
 from ledgerspark.operators.jobs import with_audit
 from ledgerspark.operators.joins import repeat_per_match
-from ledgerspark.operators.snapshot import snapshot_scd2
 from ledgerspark.operators.union import union_rows
+from ledgerspark.operators.upsert import require_policy
 from ledgerspark.operators.watermark import newer_than, within_lookback
 from ledgerspark.plans.dims import DIMENSIONS
 from ledgerspark.plans.facts import FACTS
 from ledgerspark.plans.model import Model
 from ledgerspark.settings import RunContext, Settings
-from ledgerspark.sources.catalog import SourceCatalog, target_namespace
-from ledgerspark.sources.targets import RowLevelTarget, TableTarget
+from ledgerspark.sources.catalog import SourceCatalog, qualified, target_namespace
+from ledgerspark.sources.targets import HistoryTarget, PartitionedTarget, RowLevelTarget, TableTarget
+
+Target = TableTarget | PartitionedTarget | RowLevelTarget
 
 MODELS: dict[str, Model] = {model.name: model for model in DIMENSIONS + FACTS}
 
@@ -35,8 +37,8 @@ def build(model: Model, sources: SourceCatalog, ctx: RunContext, since: dict[str
           lookback: tuple[datetime, int | None] | None = None, repeat_rows: bool = True) -> DataFrame:
     """The rows a run of ``model`` produces, with repeated keys left in.
 
-    ``since`` holds the high watermark per system and ``lookback`` a common watermark with a number of days; with
-    neither, the sources are read whole. ``repeat_rows=False`` leaves out copies that a join would make of a row,
+    ``since`` holds the high watermark per system and ``lookback`` a common watermark with a number of days (null:
+    the sources' settings); with neither, the sources are read whole. ``repeat_rows=False`` leaves out copies that a join would make of a row,
     for callers that keep one row per key anyway.
     """
     if sources.spark.conf.get("spark.sql.ansi.enabled") != "true":
@@ -50,67 +52,86 @@ def build(model: Model, sources: SourceCatalog, ctx: RunContext, since: dict[str
     return require_contract(rows, model.contract)
 
 
-def run(model: Model, sources: SourceCatalog, ctx: RunContext, target: TableTarget | RowLevelTarget,
-        on_duplicate: str = "latest", lookback_days: int | None = None, refresh: bool = False,
-        reload: bool = False) -> DataFrame:
+def run(model: Model, sources: SourceCatalog, ctx: RunContext, target: Target, on_duplicate: str,
+        lookback_days: int | None = None, refresh: bool = False, reload: bool = False, lookback: bool = False,
+        keep_created: bool = False) -> DataFrame:
     """Run a model into its target: load it when it does not exist, else merge what changed since.
 
-    Watermarks come from the target, per source system. With ``lookback_days`` the window instead reaches that
-    many days behind the newest row of the whole target. ``refresh`` merges all source rows, as is needed after
-    a change that their modification times do not show (a new mapping, another as-of date). ``reload`` builds
-    the target anew.
+    ``on_duplicate`` must be chosen: ``keep_all`` loads repeated keys as they are, ``error`` refuses them and
+    ``latest`` keeps one row per key; ``target.removed_rows`` tells how many rows that removed. Watermarks come from the
+    target, per source system. With ``lookback_days``, or ``lookback`` for the number in the sources' settings, the
+    window instead reaches that many days behind the newest row of the whole target. ``refresh`` merges all source
+    rows, as is needed after a change that their modification times do not show (a new mapping, another as-of date).
+    ``reload`` builds the target anew. ``keep_created`` leaves matched rows their time of creation.
     """
+    require_policy(on_duplicate)
+    # Only ``latest`` may leave out copies of a row, as it would keep one of them anyway.
+    repeat_rows = on_duplicate != "latest"
     if reload or not target.exists():
-        return target.load(build(model, sources, ctx, repeat_rows=on_duplicate == "keep_all"), on_duplicate)
-    since = lookback = None
-    if lookback_days is not None:
-        lookback = (target.newest(), lookback_days)
+        return target.load(build(model, sources, ctx, repeat_rows=repeat_rows), on_duplicate)
+    since = window = None
+    if lookback or lookback_days is not None:
+        window = (target.newest(), lookback_days)
     elif not refresh:
         since = target.watermarks(model.systems)
-    updates = build(model, sources, ctx, since, lookback, repeat_rows=on_duplicate == "keep_all")
-    return target.merge(updates, on_duplicate)
+    updates = build(model, sources, ctx, since, window, repeat_rows=repeat_rows)
+    return target.merge(updates, on_duplicate, keep_created=keep_created)
+
+
+def _place(settings: Settings, schema: str | None, default_schema: str, spark: SparkSession) -> str:
+    """The namespace of outputs, which is made if it is not there."""
+    namespace = qualified(settings.target_database, target_namespace(schema, default_schema))
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
+    return namespace
 
 
-def default_buckets(spark: SparkSession, model: Model) -> int | None:
-    """Facts are bucketed like the session's shuffles; dimensions are small next to them and are not."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions")) if "fact" in model.tags else None
+def target_of(spark: SparkSession, model: Model, settings: Settings = Settings(), default_schema: str = "default",
+              buckets: int | None = None) -> TableTarget:
+    """Where a model is kept: the reporting schema, or the default one when none is configured.
+
+    ``buckets`` is for facts and counts when they are first loaded; dimensions are small next to them and have none.
+    """
+    namespace = _place(settings, settings.reporting_schema, default_schema, spark)
+    buckets = buckets if "fact" in model.tags else None
+    return TableTarget(spark, f"{namespace}.{model.name}", model.key, buckets, systems=model.systems)
+
 
+def snapshot_target(spark: SparkSession, name: str, key: str, settings: Settings = Settings(),
+                    default_schema: str = "default") -> HistoryTarget:
+    """Where a history table is kept."""
+    return HistoryTarget(spark, f"{_place(settings, settings.snapshot_schema, default_schema, spark)}.{name}", key)
 
-def target_of(spark: SparkSession, model: Model, settings: Settings = Settings(),
-              default_schema: str = "default") -> TableTarget:
-    """Where a model is kept: the reporting schema, or the default one when none is configured."""
-    schema = target_namespace(settings.reporting_schema, default_schema)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    return TableTarget(
-        spark, f"{schema}.{model.name}", model.key, default_buckets(spark, model), systems=model.systems
-    )
 
+class RunAllError(RuntimeError):
+    """Some models failed: ``failed`` has their errors, ``done`` the results of the others."""
 
-def snapshot_target(spark: SparkSession, name: str, key: str, settings: Settings = Settings()) -> TableTarget:
-    """Where a history table is kept; its keys repeat, so it has no buckets."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {settings.snapshot_schema}")
-    return TableTarget(spark, f"{settings.snapshot_schema}.{name}", key)
+    def __init__(self, done: dict[str, DataFrame], failed: dict[str, Exception]):
+        super().__init__("; ".join(f"{name}: {error}" for name, error in failed.items()))
+        self.done = done
+        self.failed = failed
 
 
-def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, tags=(), settings: Settings = Settings(),
-            on_duplicate: str = "latest", threads: int = 4) -> dict[str, DataFrame]:
-    """Run every model that carries the tags.
+def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, on_duplicate: str, tags=(),
+            settings: Settings = Settings(), threads: int = 4, buckets: int | None = None) -> dict[str, DataFrame]:
+    """Run every model that carries the tags; if some fail, the others still run and ``RunAllError`` names both.
 
     Models do not depend on each other; a few run at a time, so small dimensions fill the gaps large facts leave.
     """
     models = select_models(*tags)
-    targets = [target_of(spark, model, settings) for model in models]
+    targets = {model.name: target_of(spark, model, settings, buckets=buckets) for model in models}
     with ThreadPoolExecutor(threads) as pool:
-        done = pool.map(lambda pair: run(pair[0], sources, ctx, pair[1], on_duplicate), zip(models, targets))
-    return dict(zip([model.name for model in models], done))
+        started = {m.name: pool.submit(run, m, sources, ctx, targets[m.name], on_duplicate) for m in models}
+    failed = {name: future.exception() for name, future in started.items() if future.exception()}
+    done = {name: future.result() for name, future in started.items() if name not in failed}
+    if failed:
+        raise RunAllError(done, failed)
+    return done
 
 
-def run_snapshot(target: TableTarget, current: DataFrame, updated_at: str, ctx: RunContext,
+def run_snapshot(target: HistoryTarget, current: DataFrame, updated_at: str, ctx: RunContext,
                  close_deleted: bool = True) -> DataFrame:
     """Bring a history table up to date with the current rows."""
-    history = target.read() if target.exists() else None
-    versions = snapshot_scd2(history, current, target.key, updated_at, ctx.run_ts, close_deleted)
-    return target.replace(versions)
+    return target.observe(current, updated_at, ctx.run_ts, close_deleted)
 
 
 def _feed_rows(model: Model, feed: Feed, sources: SourceCatalog, since, lookback, repeat_rows: bool) -> DataFrame:
@@ -120,7 +141,7 @@ def _feed_rows(model: Model, feed: Feed, sources: SourceCatalog, since, lookback
     if feed.modified and since is not None:
         df = df.where(newer_than(feed.modified, since[feed.system]))
     if feed.modified and lookback is not None:
-        df = df.where(within_lookback(feed.modified, *lookback))
+        df = df.where(within_lookback(feed.modified, *lookback, settings=sources.settings))
     if feed.matches and repeat_rows:
         source, table, own_id, other_id = feed.matches
         df = repeat_per_match(df, sources.resolve(source, table), F.col(own_id), other_id)

@@ -15,16 +15,17 @@ EPOCH = datetime(1900, 1, 1)
 
 @dataclass(frozen=True)
 class Settings:
-    # The default names and options of the finance model.
-    source_database: str = "DATA_PLATFORM_DB"
-    netsuite_gold_schema: str = "GOLD_NETSUITE"
-    netsuite_silver_schema: str = "SILVER_NETSUITE"
-    sage_gold_schema: str = "GOLD_SAGE"
-    sage_silver_schema: str = "SILVER_SAGE"
-    mapping_schema: str = "COA_MAPPING"
-    target_database: str = "DATA_PLATFORM_DB"
-    reporting_schema: str = "CDM_FINANCE"
-    snapshot_schema: str = "CDM_SNAPSHOTS"
+    """Where things are and what runs do. Without a database the session's current catalog is meant."""
+
+    source_database: str | None = None
+    netsuite_gold_schema: str = "gold_netsuite"
+    netsuite_silver_schema: str = "silver_netsuite"
+    sage_gold_schema: str = "gold_sage"
+    sage_silver_schema: str = "silver_sage"
+    mapping_schema: str = "account_mapping"
+    target_database: str | None = None
+    reporting_schema: str | None = "reporting"
+    snapshot_schema: str | None = "history"
     lookback_days: int = 3
     default_currency: str = "USD"
     enable_soft_deletes: bool = True

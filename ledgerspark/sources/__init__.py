@@ -1,5 +1,13 @@
-from ledgerspark.sources.catalog import SourceCatalog, table_name, target_namespace
-from ledgerspark.sources.targets import RowLevelTarget, TableTarget, full_refresh, shared_folder, write_table
+from ledgerspark.sources.catalog import SourceCatalog, qualified, table_name, target_namespace
+from ledgerspark.sources.targets import (
+    HistoryTarget,
+    PartitionedTarget,
+    RowLevelTarget,
+    TableTarget,
+    full_refresh,
+    shared_folder,
+    write_table,
+)
 
-__all__ = ["RowLevelTarget", "SourceCatalog", "TableTarget", "full_refresh", "shared_folder", "table_name",
-           "target_namespace", "write_table"]
+__all__ = ["HistoryTarget", "PartitionedTarget", "RowLevelTarget", "SourceCatalog", "TableTarget", "full_refresh",
+           "qualified", "shared_folder", "table_name", "target_namespace", "write_table"]

@@ -24,12 +24,17 @@ def table_name(source: str, table: str, settings: Settings = Settings()) -> str:
     }
     if table not in TABLES.get(source, ()):
         raise KeyError(f"no source table {source}.{table} is declared")
-    return f"{settings.source_database}.{schemas[source]}.{table}"
+    return qualified(settings.source_database, schemas[source], table)
+
+
+def qualified(*parts: str | None) -> str:
+    """A name of the parts that are given."""
+    return ".".join(part for part in parts if part)
 
 
 def target_namespace(custom: str | None, default: str) -> str:
     """The schema an output goes to: the custom one word for word (trimmed) when given, else the default."""
-    return default if custom is None else custom.strip()
+    return default if custom is None or not custom.strip() else custom.strip()
 
 
 class SourceCatalog:

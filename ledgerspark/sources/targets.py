@@ -3,14 +3,16 @@
 A ``TableTarget`` is a stable view over the newest version of a table. A version is written completely and then
 the view is repointed, so readers see either the old or the new state, a failed run leaves the old one, and a
 table is never overwritten while it is read. Large targets are bucketed by the key: a merge then shuffles its
-updates, not the target.
+updates, not the target. It rewrites the whole table, as keys are hashes and even a small batch touches nearly
+every file.
 
-Keys are hashes, so even a small batch touches nearly every file; a plain table is therefore rewritten whole.
-Where the catalog has row-level updates, use a ``RowLevelTarget``, which leaves the rewriting to the catalog.
+A ``PartitionedTarget`` rewrites only the partitions that a batch touches, with weaker atomicity. A ``HistoryTarget``
+rewrites open versions only. Where the catalog has row-level updates, a ``RowLevelTarget`` leaves it all to the catalog.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 import tempfile
 import uuid
@@ -19,21 +21,35 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.operators.upsert import merge_into, replace_rows, settle, update_every_row
+from ledgerspark.operators.snapshot import VALID_TO, next_versions
+from ledgerspark.operators.upsert import (
+    keys_present,
+    merge_into,
+    replace_rows,
+    require_policy,
+    require_unique,
+    settle,
+    update_every_row,
+)
 from ledgerspark.operators.watermark import MODIFIED, high_watermark, high_watermarks
 from ledgerspark.settings import EPOCH
 
 KEPT_WATERMARK = "watermark."
-# About 50 MB of keys per task; keys are unique hashes, so buckets are even.
-HASHED_KEYS_PER_BUCKET = 500_000
+CREATED_AT = "_created_at"
+# Kept with a table: overwriting it replaces the partitions that the new rows have, and no others.
+OVERWRITE_GIVEN = {"partitionOverwriteMode": "dynamic"}
+_log = logging.getLogger("ledgerspark")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    local = spark.sparkContext.master.startswith("local")
     if folder:
+        if not local and re.match(r"(file:)?/+tmp(/|$)", folder):
+            raise RuntimeError(f"spark.checkpoint.dir is {folder}, which each machine of a cluster has for itself")
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="ledgerspark-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -50,15 +66,66 @@ def full_refresh(df: DataFrame, target: TableTarget) -> DataFrame:
     return target.replace(df)
 
 
+def remove_files(spark: SparkSession, path: str) -> None:
+    """Remove a folder through Spark's own file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class _Staging:
+    """Batches that are computed and settled once, as managed tables that go when the merge ends either way."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.name = name
+        self.tables: list[str] = []
+
+    def __enter__(self) -> _Staging:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table} PURGE")
+
+    def stage(self, df: DataFrame, buckets: int | None = None, key: str | None = None) -> DataFrame:
+        table = f"{self.name}__staged_{uuid.uuid4().hex}"
+        self.tables.append(table)
+        writer = df.write.format("parquet")
+        (writer.bucketBy(buckets, key) if buckets else writer).saveAsTable(table)
+        return self.spark.table(table)
+
+    def settled(self, df: DataFrame, key: str, on_duplicate: str, modified: str,
+                buckets: int | None = None) -> tuple[DataFrame, int]:
+        """The rows under the policy, written once, and how many rows the policy removed.
+
+        Under ``error`` the check reads what was written, so the batch is not computed for it a second time.
+        """
+        require_policy(on_duplicate)
+        before, after = Observation(), Observation()
+        one = F.count(F.lit(1)).alias("rows")
+        rows = df.observe(before, one)
+        if on_duplicate == "latest":
+            rows = settle(rows, key, on_duplicate, modified)
+        rows = rows.repartition(buckets, key) if buckets else rows
+        batch = self.stage(rows.observe(after, one), buckets, key)
+        if on_duplicate == "error":
+            require_unique(batch, key)
+        removed = before.get["rows"] - after.get["rows"]
+        if removed:
+            _log.warning("%s: the policy %s removed %d rows of repeated keys", self.name, on_duplicate, removed)
+        return batch, removed
+
+
 class TableTarget:
     """A merge target held as versioned Parquet tables behind a view.
 
-    Give large targets ``buckets``, so many that one bucket suits one task; with the number of shuffle partitions,
-    rows settled by key are already split by bucket when they are written. Small ones need none. ``folder`` makes
+    Give large targets ``buckets``, so many that one bucket suits one task. The number is used when the target is
+    loaded and then kept with it; ``rebucket`` changes it. Small targets need none. ``folder`` makes
     the versions external tables below it; otherwise they are managed. A target has one writer at a time.
 
     For the named source ``systems`` the newest modification time is taken while a version is written and kept as
-    a table property, so that an incremental run need not scan the target for its watermarks.
+    a table property, so that an incremental run need not scan the target for its watermarks. ``removed_rows`` tells
+    how many rows of the last batch the duplicate policy removed.
     """
 
     def __init__(self, spark: SparkSession, name: str, key: str, buckets: int | None = None,
@@ -69,6 +136,7 @@ class TableTarget:
         self.buckets = buckets
         self.folder = folder
         self.systems = tuple(system.upper() for system in systems)
+        self.removed_rows = 0
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
@@ -93,56 +161,59 @@ class TableTarget:
         """Write the rows as they are, repeated keys included, as the next version."""
         return self._publish(self._write_version(df, None))
 
-    def load(self, df: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
-        """First load under a duplicate policy."""
-        buckets = self._buckets_under(on_duplicate)
-        return self._publish(self._write_version(self._settled(df, on_duplicate, modified), buckets, modified))
-
-    def merge(self, updates: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
+    def load(self, df: DataFrame, on_duplicate: str, modified: str = MODIFIED) -> DataFrame:
+        """First load under a duplicate policy. Repeated keys stay unbucketed, since a bucket cannot split a hot key."""
+        buckets = None if on_duplicate == "keep_all" else self.buckets
+        if on_duplicate == "keep_all":
+            self.removed_rows = 0
+            return self._publish(self._write_version(df, None, modified))
+        with _Staging(self.spark, self.name) as staging:
+            rows, self.removed_rows = staging.settled(df, self.key, on_duplicate, modified, buckets)
+            return self._publish(self._write_version(rows, buckets, modified))
+
+    def merge(self, updates: DataFrame, on_duplicate: str, modified: str = MODIFIED,
+              keep_created: bool = False) -> DataFrame:
         """Merge a batch into the newest version.
 
         The batch is computed, settled and written once, in the target's buckets; the merge then joins bucket to
-        bucket without a shuffle, and a lost executor costs a re-read instead of the batch's whole lineage.
+        bucket without a shuffle, and a lost executor costs a re-read instead of the batch's whole lineage. Spark picks
+        the join; without a broadcast it is a sort-merge join, which can spill. With ``keep_created`` matched rows
+        keep their time of creation.
         """
-        buckets = self._buckets_under(on_duplicate)
-        staged = self._write(self._settled(updates, on_duplicate, modified), buckets)
-        batch = self.spark.table(staged)
-        if on_duplicate == "keep_all":
-            merged = update_every_row(self.read(), batch, self.key)
-        elif buckets and buckets == self._live_buckets():
-            merged = replace_rows(self.read(), batch, self._keys_to_match(batch), self.key)
-        else:
-            merged = replace_rows(self.read(), batch, batch.select(self.key), self.key)
-            merged = merged.repartition(buckets, self.key) if buckets else merged
-        result = self._publish(self._write_version(merged, buckets, modified))
-        self.spark.sql(f"DROP TABLE {staged}")
-        return result
+        keep = (CREATED_AT,) if keep_created else ()
+        buckets = None if on_duplicate == "keep_all" else self._live_buckets()
+        with _Staging(self.spark, self.name) as staging:
+            batch, self.removed_rows = staging.settled(updates, self.key, on_duplicate, modified, buckets)
+            if on_duplicate == "keep_all":
+                # One read of the target's keys serves the check, the update and the insert.
+                present = staging.stage(keys_present(self.read(), batch, self.key))
+                merged = update_every_row(self.read(), batch, self.key, present, keep)
+            else:
+                merged = replace_rows(self.read(), batch, batch.select(self.key), self.key, keep)
+            return self._publish(self._write_version(merged, buckets, modified))
+
+    def rebucket(self, buckets: int | None) -> DataFrame:
+        """Split the target anew; its keys must not repeat."""
+        self.buckets = buckets
+        rows = self.read().repartition(buckets, self.key) if buckets else self.read()
+        return self._publish(self._write_version(rows, buckets))
 
     def drop_old_versions(self) -> list[str]:
-        """Drop every version but the newest; call it when no reader uses the older ones any more.
-
-        With ``folder`` the tables are external, and their files are the folder owner's to remove.
-        """
+        """Drop every version but the newest, files included; call it when no reader uses the older ones any more."""
         namespace, _, short = self.name.rpartition(".")
         live = self._live_version()
         listed = self.spark.sql(f"SHOW TABLES {f'IN {namespace} ' if namespace else ''}LIKE '{short}__*'").collect()
         tables = [f"{namespace}.{row['tableName']}" if namespace else row["tableName"] for row in listed]
-        old = [table for table in tables if table != live]
+        version = re.compile(rf"{re.escape(short)}__[0-9a-f]{{32}}", re.IGNORECASE)
+        old = [table for table in tables if table.lower() != live.lower() and version.fullmatch(table.rpartition(".")[2])]
         for table in old:
+            described = self.spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name IN ('Location', 'Type')").collect()
+            about = {row["col_name"]: row["data_type"] for row in described}
             self.spark.sql(f"DROP TABLE {table}")
+            if about.get("Type") == "EXTERNAL":
+                remove_files(self.spark, about["Location"])
         return old
 
-    def _buckets_under(self, on_duplicate: str) -> int | None:
-        """Repeated keys are kept unbucketed, since a bucket cannot split a hot key."""
-        return None if on_duplicate == "keep_all" else self.buckets
-
-    def _settled(self, df: DataFrame, on_duplicate: str, modified: str) -> DataFrame:
-        """The rows under the duplicate policy, split by bucket."""
-        df = settle(df, self.key, on_duplicate, modified)
-        buckets = self._buckets_under(on_duplicate)
-        split = on_duplicate == "latest" and buckets == int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(buckets, self.key) if buckets and not split else df
-
     def _publish(self, version: str) -> DataFrame:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {version}")
         return self.read()
@@ -155,7 +226,7 @@ class TableTarget:
         return f"{namespace}.{version}" if namespace else version
 
     def _live_buckets(self) -> int | None:
-        """How many buckets the newest version has; another number than wanted means it must be split anew."""
+        """How many buckets the newest version has."""
         described = self.spark.sql(f"DESCRIBE EXTENDED {self._live_version()}").where("col_name = 'Num Buckets'").first()
         return int(described["data_type"]) if described else None
 
@@ -189,14 +260,136 @@ class TableTarget:
         writer.saveAsTable(name)
         return name
 
-    def _keys_to_match(self, batch: DataFrame) -> DataFrame:
-        """The batch's keys; as a hash table per bucket where their number allows, which spares sorting the target."""
-        keys = batch.select(self.key)
-        return keys.hint("shuffle_hash") if batch.count() <= self.buckets * HASHED_KEYS_PER_BUCKET else keys
+
+class PartitionedTarget:
+    """A merge target in one table, partitioned by the month of a date column; a merge rewrites touched months only.
+
+    The key column alone is matched first; it gives the months of matched rows, and the batch gives the others. Their
+    new content is staged and then put in place by Spark's dynamic partition overwrite, so I/O follows the touched
+    months, not the target. The months reach the driver: one value for each month of the calendar that the batch
+    touches. Weaker than ``TableTarget``: partitions are replaced one after the other, so a reader may see some months
+    before and others after a merge, and a failed merge must be run again. One writer at a time; keys do not repeat.
+    """
+
+    MONTH = "_month"
+
+    def __init__(self, spark: SparkSession, name: str, key: str, date_column: str):
+        self.spark = spark
+        self.name = name
+        self.key = key
+        self.date_column = date_column
+        self.removed_rows = 0
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name).drop(self.MONTH)
+
+    def watermarks(self, systems) -> dict[str, datetime]:
+        return high_watermarks(self.read(), systems)
+
+    def newest(self) -> datetime:
+        return high_watermark(self.read())
+
+    def load(self, df: DataFrame, on_duplicate: str, modified: str = MODIFIED) -> DataFrame:
+        self._require_policy(on_duplicate)
+        with _Staging(self.spark, self.name) as staging:
+            rows, self.removed_rows = staging.settled(df, self.key, on_duplicate, modified)
+            rows = self._with_month(rows).hint("rebalance", F.col(self.MONTH))
+            (rows.write.format("parquet").options(**OVERWRITE_GIVEN).partitionBy(self.MONTH).mode("overwrite")
+             .saveAsTable(self.name))
+        return self.read()
+
+    def merge(self, updates: DataFrame, on_duplicate: str, modified: str = MODIFIED,
+              keep_created: bool = False) -> DataFrame:
+        self._require_policy(on_duplicate)
+        keep = (CREATED_AT,) if keep_created else ()
+        with _Staging(self.spark, self.name) as staging:
+            batch, self.removed_rows = staging.settled(updates, self.key, on_duplicate, modified)
+            target = self.spark.table(self.name)
+            matched = target.select(self.key, self.MONTH).join(batch.select(self.key), self.key, "left_semi")
+            months = matched.select(self.MONTH).union(self._with_month(batch).select(self.MONTH)).distinct()
+            touched = sorted(row[0] for row in months.collect())
+            if not touched:
+                return self.read()
+            old = target.where(F.col(self.MONTH).isin(touched))
+            merged = replace_rows(old.drop(self.MONTH), batch, batch.select(self.key), self.key, keep)
+            staged = staging.stage(self._with_month(merged))
+            new_columns = [f for f in staged.schema if f.name.lower() not in {c.lower() for c in target.columns}]
+            if new_columns:
+                added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new_columns)
+                self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({added})")
+            layout = self.spark.table(self.name).columns
+            filled = {row[0] for row in staged.select(self.MONTH).distinct().collect()}
+            staged.select(*layout).hint("rebalance", F.col(self.MONTH)).write.mode("overwrite").insertInto(self.name)
+            # A month whose rows all moved to others has nothing that could overwrite it.
+            for month in set(touched) - filled:
+                self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({self.MONTH} = '{month}')")
+        return self.read()
+
+    def _with_month(self, df: DataFrame) -> DataFrame:
+        month = F.date_format(F.col(self.date_column).cast("timestamp"), "yyyy-MM")
+        return df.withColumn(self.MONTH, F.coalesce(month, F.lit("none")))
+
+    def _require_policy(self, on_duplicate: str) -> None:
+        if on_duplicate not in ("latest", "error"):
+            raise ValueError(f"a partitioned target holds one row per key: latest or error, not {on_duplicate!r}")
+
+
+class HistoryTarget:
+    """A history table whose closed versions are never rewritten.
+
+    Open versions are a ``TableTarget`` of their own. The versions that a run closes go into a partition of that
+    run in a second table; the view shows partitions up to the newest finished run, so a failed run is not seen,
+    and running it again overwrites its partition.
+    """
+
+    RUN = "_run"
+
+    def __init__(self, spark: SparkSession, name: str, key: str):
+        self.spark = spark
+        self.name = name
+        self.key = key
+        self.open = TableTarget(spark, f"{name}_open", key)
+        self.closed = f"{name}_closed"
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def observe(self, current: DataFrame, updated_at: str, run_ts: datetime, close_deleted: bool = True) -> DataFrame:
+        """Bring the history up to date with ``current``: one row per key, no null keys."""
+        stamp = run_ts.isoformat()
+        with _Staging(self.spark, self.name) as staging:
+            seen = staging.stage(current)
+            before = self.open.read() if self.exists() else None
+            versions = staging.stage(next_versions(before, seen, self.key, updated_at, run_ts, close_deleted))
+            is_open = F.col(VALID_TO).isNull()
+            closed = versions.where(~is_open).withColumn(self.RUN, F.lit(stamp))
+            if self.spark.catalog.tableExists(self.closed):
+                closed.write.mode("overwrite").insertInto(self.closed)
+            else:
+                closed.write.format("parquet").options(**OVERWRITE_GIVEN).partitionBy(self.RUN).saveAsTable(self.closed)
+            columns = ", ".join(f"`{c}`" for c in versions.columns)
+            self.open.replace(versions.where(is_open))
+            live = self.open._live_version()
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT {columns} FROM {live} UNION ALL "
+                       f"SELECT {columns} FROM {self.closed} WHERE {self.RUN} <= '{stamp}'")
+        return self.read()
+
+    def drop_old_versions(self) -> list[str]:
+        """Drop open versions that earlier runs left; closed ones stay."""
+        return self.open.drop_old_versions()
 
 
 class RowLevelTarget:
-    """A merge target in a catalog that runs MERGE itself."""
+    """A merge target in a catalog that runs MERGE itself. Unproven: no such catalog is installed here, and only
+    the statement is tested."""
+
+    removed_rows = 0
 
     def __init__(self, spark: SparkSession, name: str, key: str):
         self.spark = spark
@@ -215,10 +408,13 @@ class RowLevelTarget:
     def newest(self) -> datetime:
         return high_watermark(self.read())
 
-    def load(self, df: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
+    def load(self, df: DataFrame, on_duplicate: str, modified: str = MODIFIED) -> DataFrame:
         settle(df, self.key, on_duplicate, modified).writeTo(self.name).createOrReplace()
         return self.read()
 
-    def merge(self, updates: DataFrame, on_duplicate: str = "latest", modified: str = MODIFIED) -> DataFrame:
+    def merge(self, updates: DataFrame, on_duplicate: str, modified: str = MODIFIED,
+              keep_created: bool = False) -> DataFrame:
+        if keep_created:
+            raise ValueError("a row-level merge replaces the time of creation")
         merge_into(self.name, updates, self.key, on_duplicate, modified)
         return self.read()

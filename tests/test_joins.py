@@ -35,6 +35,14 @@ def test_copies_of_a_hot_row_are_spread(spark, monkeypatch):
     assert max(per_partition) < 15_000
 
 
+def test_rows_without_id_are_spread(spark):
+    left = spark.range(100_000).select(F.col("id").cast("int").alias("name"), F.lit(None).cast("int").alias("ref"))
+    found = op.repeat_per_match(left, spark.range(10).select(F.col("id").cast("int").alias("other")), F.col("ref"), "other")
+    per_partition = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_partition) == 100_000
+    assert max(per_partition) < 30_000
+
+
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
 def test_effective_dated_join_equals_brute_force(spark, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

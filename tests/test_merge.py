@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import uuid
 from collections import Counter
@@ -13,9 +14,9 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
 from ledgerspark import operators as op
-from ledgerspark.plans import MODELS, run, run_all, run_snapshot, snapshot_target
+from ledgerspark.plans import MODELS, RunAllError, build, run, run_all, run_snapshot, snapshot_target, target_of
 from ledgerspark.settings import EPOCH, RunContext, Settings
-from ledgerspark.sources import RowLevelTarget, TableTarget, full_refresh, shared_folder, write_table
+from ledgerspark.sources import PartitionedTarget, RowLevelTarget, TableTarget, full_refresh, shared_folder, write_table
 from tests.test_models import catalog
 from verification.erp_views import ErpViews
 from verification.queries import BATCH_ONE_UNTIL
@@ -48,13 +49,13 @@ def test_latest_prefers_time_then_all_other_columns(spark):
 
 
 def test_update_and_insert(spark):
-    merged = op.upsert(frame(spark, [("a", "old", 5), ("b", "keep", 1)]), frame(spark, [("a", "new", 1), ("c", "add", 2)]), "k")
+    merged = op.upsert(frame(spark, [("a", "old", 5), ("b", "keep", 1)]), frame(spark, [("a", "new", 1), ("c", "add", 2)]), "k", "latest")
     assert bag(merged) == Counter([("a", "new", at(1)), ("b", "keep", at(1)), ("c", "add", at(2))])
 
 
 def test_duplicate_updates(spark):
     old, twice = frame(spark, [("a", "old", 0)]), frame(spark, [("a", "x", 1), ("a", "y", 2)])
-    assert bag(op.upsert(old, twice, "k")) == Counter([("a", "y", at(2))])
+    assert bag(op.upsert(old, twice, "k", "latest")) == Counter([("a", "y", at(2))])
     for policy in ("error", "keep_all"):
         with pytest.raises(op.DuplicateKeyError):
             op.upsert(old, twice, "k", policy)
@@ -72,7 +73,7 @@ def test_keep_all_updates_every_row_of_a_key(spark):
 def test_new_and_missing_columns(spark):
     old = spark.createDataFrame([("a", "v1", "only old"), ("b", "v2", "stays")], "k string, v string, o string")
     new = spark.createDataFrame([("a", "v3", 1), ("c", "v4", 2)], "K string, V string, n int")
-    merged = op.upsert(old, new, "k")
+    merged = op.upsert(old, new, "k", "latest")
     assert [c.lower() for c in merged.columns] == ["k", "v", "o", "n"]
     assert bag(merged) == Counter([("a", "v3", "only old", 1), ("b", "v2", "stays", None), ("c", "v4", None, 2)])
     twice = old.unionByName(old)
@@ -94,10 +95,10 @@ def test_merge_against_a_dictionary(spark, first, second):
                 best[r[0]] = r
         return best
 
-    once = op.upsert(op.latest_per_key(frame(spark, first), "k"), frame(spark, second), "k")
+    once = op.upsert(op.latest_per_key(frame(spark, first), "k"), frame(spark, second), "k", "latest")
     wanted = {k: (k, v, at(n)) for k, (_, v, n) in (winners(first) | winners(second)).items()}
     assert bag(once) == Counter(wanted.values())
-    assert bag(op.upsert(once, frame(spark, second), "k")) == Counter(wanted.values())
+    assert bag(op.upsert(once, frame(spark, second), "k", "latest")) == Counter(wanted.values())
 
 
 @pytest.mark.parametrize("buckets", [None, 8, 3])
@@ -128,35 +129,125 @@ def test_types_of_the_target_stay(spark, policy):
 
 def test_target_appends_columns_and_drops_old_versions(spark):
     table = target(spark)
-    table.load(frame(spark, [("a", "x", 1)]))
+    table.load(frame(spark, [("a", "x", 1)]), "latest")
     more = spark.createDataFrame([("b", "y", at(2), 7)], SCHEMA + ", extra int")
-    assert bag(table.merge(more)) == Counter([("a", "x", at(1), None), ("b", "y", at(2), 7)])
+    assert bag(table.merge(more, "latest")) == Counter([("a", "x", at(1), None), ("b", "y", at(2), 7)])
     assert len(table.drop_old_versions()) == 1
     assert table.drop_old_versions() == []
     assert table.read().count() == 2
 
 
-@pytest.mark.parametrize("first_buckets", [None, 3, 5])
-def test_buckets_can_change(spark, first_buckets):
-    rows = [(f"k{i}", "x", 1) for i in range(500)]
-    table = target(spark, buckets=first_buckets)
-    if first_buckets is None:
-        full_refresh(frame(spark, rows), table)
-    else:
-        table.load(frame(spark, rows))
-    wider = TableTarget(spark, table.name, "k", buckets=5, folder=table.folder)
-    merged = wider.merge(frame(spark, [(f"k{i}", "y", 2) for i in range(400, 600)]))
+def test_buckets_stay_with_the_target(spark):
+    """Neither another argument nor another number of shuffle partitions splits a target anew; ``rebucket`` does."""
+    table = target(spark, buckets=3)
+    table.load(frame(spark, [(f"k{i}", "x", 1) for i in range(500)]), "latest")
+    other = TableTarget(spark, table.name, "k", buckets=5, folder=table.folder)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        merged = other.merge(frame(spark, [(f"k{i}", "y", 2) for i in range(400, 600)]), "latest")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert Counter(r["v"] for r in merged.collect()) == {"x": 400, "y": 200}
-    assert wider._live_buckets() == 5
-    assert len(spark.table(wider._live_version()).inputFiles()) <= 10
+    assert other._live_buckets() == 3
+    assert other.rebucket(5).count() == 600
+    assert other._live_buckets() == 5
+    assert len(spark.table(other._live_version()).inputFiles()) <= 10
+
+
+def test_removed_rows_are_told(spark):
+    table = target(spark)
+    table.load(frame(spark, [("a", "x", 1), ("a", "y", 2), ("b", "z", 1)]), "latest")
+    assert table.removed_rows == 1
+    table.merge(frame(spark, [("c", "x", 1)]), "latest")
+    assert table.removed_rows == 0
+    with pytest.raises(TypeError):
+        table.merge(frame(spark, [("c", "x", 1)]))
+
+
+def test_error_refuses_the_repeats_of_a_model(spark):
+    spec = MODELS["dim_customer"]
+    sources = ErpViews(spark, "/root/testdata/sf0.001").catalog()
+    table = target(spark, spec.key)
+    with pytest.raises(op.DuplicateKeyError):
+        run(spec, sources, run_context(), table, "error")
+    assert not table.exists()
+    everything = build(spec, sources, run_context()).count()
+    assert run(spec, sources, run_context(), table, "keep_all").count() == everything
+    single = target(spark, spec.key)
+    assert run(spec, sources, run_context(), single, "latest").count() < everything
+
+
+@pytest.mark.parametrize("policy", ["latest", "keep_all"])
+def test_time_of_creation_can_stay(spark, policy):
+    schema = "k string, v string, _created_at timestamp_ntz"
+    old = spark.createDataFrame([("a", "x", at(1)), ("b", "x", None)], schema)
+    new = spark.createDataFrame([("a", "y", at(2)), ("b", "y", at(2)), ("c", "y", at(2))], schema)
+    wanted = Counter([("a", "y", at(1)), ("b", "y", None), ("c", "y", at(2))])
+    assert bag(op.upsert(old, new, "k", policy, keep=("_created_at",))) == wanted
+    table = target(spark)
+    table.replace(old)
+    assert bag(table.merge(new, policy, keep_created=True)) == wanted
+
+
+def files_of(folder):
+    return {os.path.join(path, name) for path, _, names in os.walk(folder.removeprefix("file:")) for name in names if name.endswith(".parquet")}
+
+
+def staged_tables(spark, table):
+    return [r["tableName"] for r in spark.sql(f"SHOW TABLES LIKE '{table.name}__staged*'").collect()]
+
+
+def test_nothing_is_left_of_staged_batches_and_old_versions(spark):
+    folder = f"{shared_folder(spark)}/own_{uuid.uuid4().hex}"
+    table = TableTarget(spark, f"t_{uuid.uuid4().hex}", "k", folder=folder)
+    table.load(frame(spark, [("a", "x", 1), ("a", "y", 1)]), "keep_all")
+    for n in (2, 3):
+        table.merge(frame(spark, [("b", "x", n)]), "latest")
+    with pytest.raises(op.DuplicateKeyError):
+        table.merge(frame(spark, [("a", "1", 1), ("a", "2", 1)]), "keep_all")
+    assert staged_tables(spark, table) == []
+    assert len(os.listdir(folder.removeprefix("file:"))) == 3
+    assert len(table.drop_old_versions()) == 2
+    assert files_of(folder) == {f.removeprefix("file://") for f in table.read().inputFiles()}
+
+
+def test_a_batch_of_one_month_rewrites_that_month(spark):
+    schema = "k string, v string, d date, last_modified_date timestamp_ntz"
+    rows = [(f"k{i}", "old", date(2020, 1 + i % 4, 1 + i % 28), at(0)) for i in range(80)] + [("none", "old", None, at(0))]
+    table = PartitionedTarget(spark, f"t_{uuid.uuid4().hex}", "k", "d")
+    table.load(spark.createDataFrame(rows, schema), "latest")
+    before = set(spark.table(table.name).inputFiles())
+    batch = [("k1", "new", date(2020, 2, 5), at(1)), ("more", "new", date(2020, 2, 9), at(1))]
+    merged = table.merge(spark.createDataFrame(batch, schema), "latest")
+    wanted = {r[0]: r for r in rows} | {r[0]: r for r in batch}
+    assert bag(merged) == Counter(wanted.values())
+    after = set(spark.table(table.name).inputFiles())
+    assert {f for f in before if f not in after} == {f for f in before if "_month=2020-02" in f}
+    assert staged_tables(spark, table) == []
+
+
+def test_rows_that_leave_a_month_and_new_columns(spark):
+    schema = "k string, v string, d date, last_modified_date timestamp_ntz"
+    rows = [("a", "1", date(2020, 1, 1), at(0)), ("b", "2", date(2020, 2, 1), at(0))]
+    table = PartitionedTarget(spark, f"t_{uuid.uuid4().hex}", "k", "d")
+    table.load(spark.createDataFrame(rows, schema), "error")
+    moved = spark.createDataFrame([("a", "1", date(2020, 3, 1), at(1), 7)], schema + ", n int")
+    assert bag(table.merge(moved, "error")) == Counter(
+        [("a", "1", date(2020, 3, 1), at(1), 7), ("b", "2", date(2020, 2, 1), at(0), None)])
+    with pytest.raises(op.DuplicateKeyError):
+        table.merge(spark.createDataFrame(rows * 2, schema), "error")
+    with pytest.raises(ValueError, match="one row per key"):
+        table.load(spark.createDataFrame(rows, schema), "keep_all")
+    assert table.merge(spark.createDataFrame([], schema), "latest").count() == 2
 
 
 def test_a_failed_merge_leaves_the_old_state(spark):
     table = target(spark)
-    table.load(frame(spark, [("a", "x", 1)]))
+    table.load(frame(spark, [("a", "x", 1)]), "latest")
     broken = frame(spark, [("b", "not a number", 1)]).selectExpr("k", "cast(cast(v as int) as string) as v", "last_modified_date")
     with pytest.raises(PySparkException):
-        table.merge(broken)
+        table.merge(broken, "latest")
     assert bag(table.read()) == Counter([("a", "x", at(1))])
 
 
@@ -176,7 +267,7 @@ def test_row_level_merge_needs_a_catalog_that_has_it(spark):
     table = RowLevelTarget(spark, f"default.{name}", "k")
     assert table.exists() and table.read().count() == 1
     with pytest.raises(PySparkException, match="does not support MERGE INTO"):
-        table.merge(frame(spark, [("a", "y", 2)]))
+        table.merge(frame(spark, [("a", "y", 2)]), "error")
 
 
 def test_watermarks(spark):
@@ -213,16 +304,16 @@ def test_two_ordered_batches_equal_one_load(spark):
     early = catalog(spark, netsuite_dim_item=first, sage_dim_item=first)
     late = catalog(spark, netsuite_dim_item=first + second, sage_dim_item=first + second)
     two, one = target(spark, spec.key), target(spark, spec.key)
-    run(spec, early, run_context(), two)
-    run(spec, late, run_context(), two)
-    run(spec, late, run_context(), one)
+    run(spec, early, run_context(), two, "latest")
+    run(spec, late, run_context(), two, "latest")
+    run(spec, late, run_context(), one, "latest")
     assert bag(two.read().select(columns)) == bag(one.read().select(columns))
     unchanged = bag(two.read())
-    run(spec, late, run_context(1), two)
+    run(spec, late, run_context(1), two, "latest")
     assert bag(two.read()) == unchanged
-    ran_again = run(spec, late, run_context(2), two, refresh=True)
+    ran_again = run(spec, late, run_context(2), two, "latest", refresh=True)
     assert {r["_dbt_run_id"] for r in ran_again.collect()} == {"run 2"}
-    assert run(spec, early, run_context(3), two, reload=True).count() == 20
+    assert run(spec, early, run_context(3), two, "latest", reload=True).count() == 20
 
 
 def test_null_times_load_once_and_lookback_reads_back(spark):
@@ -231,13 +322,13 @@ def test_null_times_load_once_and_lookback_reads_back(spark):
     spec = MODELS["dim_class"]
     table = target(spark, spec.key)
     sources = catalog(spark, netsuite_dim_classification=rows)
-    assert run(spec, sources, run_context(), table).count() == 3
+    assert run(spec, sources, run_context(), table, "latest").count() == 3
 
     def runs(df):
         return {r["class_id"]: r["_dbt_run_id"] for r in df.collect()}
 
-    assert set(runs(run(spec, sources, run_context(1), table)).values()) == {"run 0"}
-    assert runs(run(spec, sources, run_context(2), table, lookback_days=3)) == {
+    assert set(runs(run(spec, sources, run_context(1), table, "latest")).values()) == {"run 0"}
+    assert runs(run(spec, sources, run_context(2), table, "latest", lookback_days=3)) == {
         "none": "run 0", "old": "run 0", "late": "run 2"}
 
 
@@ -255,9 +346,9 @@ def test_a_new_mapping_needs_a_refresh(spark):
     def mapped(df):
         return [r["debtmapping"] for r in df.collect()]
 
-    assert mapped(run(spec, sources("first"), run_context(), table)) == ["first"]
-    assert mapped(run(spec, sources("second"), run_context(1), table)) == ["first"]
-    assert mapped(run(spec, sources("second"), run_context(2), table, refresh=True)) == ["second"]
+    assert mapped(run(spec, sources("first"), run_context(), table, "latest")) == ["first"]
+    assert mapped(run(spec, sources("second"), run_context(1), table, "latest")) == ["first"]
+    assert mapped(run(spec, sources("second"), run_context(2), table, "latest", refresh=True)) == ["second"]
 
 
 def test_shared_keys_move_the_other_watermark_back(spark):
@@ -267,9 +358,9 @@ def test_shared_keys_move_the_other_watermark_back(spark):
                   sage_dim_location=[{"location_id": "1", "last_modified_date": at(9)}])
     spec = MODELS["dim_location"]
     table = target(spark, spec.key)
-    loaded = run(spec, catalog(spark, **tables), run_context(), table)
+    loaded = run(spec, catalog(spark, **tables), run_context(), table, "latest")
     assert op.high_watermarks(loaded, ["NETSUITE", "SAGE"]) == {"NETSUITE": at(1), "SAGE": at(9)}
-    again = run(spec, catalog(spark, **tables), run_context(1), table)
+    again = run(spec, catalog(spark, **tables), run_context(1), table, "latest")
     assert {r["location_id"]: r["source_system"] for r in again.collect()} == {"1": "NETSUITE", "2": "NETSUITE"}
 
 
@@ -292,33 +383,62 @@ def test_kept_watermarks_are_those_of_a_scan(spark, name, policy):
 def test_empty_targets_keep_the_first_watermark(spark):
     spec = MODELS["dim_class"]
     table = target(spark, spec.key, systems=spec.systems)
-    run(spec, catalog(spark), run_context(), table)
+    run(spec, catalog(spark), run_context(), table, "latest")
     assert table.watermarks(spec.systems) == {"NETSUITE": EPOCH, "SAGE": EPOCH}
     later = [{"class_id": "1", "last_modified_date": at(1)}]
-    assert run(spec, catalog(spark, sage_dim_classification=later), run_context(), table).count() == 1
+    assert run(spec, catalog(spark, sage_dim_classification=later), run_context(), table, "latest").count() == 1
     assert table.watermarks(spec.systems) == {"NETSUITE": EPOCH, "SAGE": at(1)}
 
 
 def test_run_all_of_a_tag(spark):
     rows = [{"class_id": "1", "last_modified_date": at(1)}]
-    done = run_all(spark, catalog(spark, sage_dim_classification=rows), run_context(), tags=["class"])
+    done = run_all(spark, catalog(spark, sage_dim_classification=rows), run_context(), "error", tags=["class"])
     assert list(done) == ["dim_class"] and done["dim_class"].count() == 1
-    assert spark.table("CDM_FINANCE.dim_class").count() == 1
+    assert spark.table("reporting.dim_class").count() == 1
 
 
 def test_run_all_models_twice(spark):
     """Every model into a namespace of its own, first batch then everything; keys stay unique."""
     options = Settings(reporting_schema=f"space_{uuid.uuid4().hex}")
     folder = "/root/testdata/sf0.001"
-    first = run_all(spark, ErpViews(spark, folder, until=BATCH_ONE_UNTIL).catalog(), run_context(), settings=options)
+    first = run_all(spark, ErpViews(spark, folder, until=BATCH_ONE_UNTIL).catalog(), run_context(), "latest", settings=options, buckets=4)
     before = {name: df.count() for name, df in first.items()}
-    second = run_all(spark, ErpViews(spark, folder).catalog(), run_context(1), settings=options)
+    second = run_all(spark, ErpViews(spark, folder).catalog(), run_context(1), "latest", settings=options)
     assert set(second) == set(MODELS)
     for name, df in second.items():
         rows, keys = df.count(), df.select(MODELS[name].key).distinct().count()
         assert rows == keys >= before[name] > 0
 
 
+def test_run_all_tells_what_failed(spark):
+    options = Settings(reporting_schema=f"space_{uuid.uuid4().hex}", target_database="spark_catalog")
+    given = {"sage_dim_classification": [{"class_id": "1", "last_modified_date": at(1)}],
+             "sage_dim_item": [{"item_id": "1", "last_modified_date": at(1)}] * 2}
+    with pytest.raises(RunAllError) as failure:
+        run_all(spark, catalog(spark, **given), run_context(), "error", tags=["dimension"], settings=options)
+    assert "dim_item" in failure.value.failed and "dim_class" in failure.value.done
+    assert spark.table(f"spark_catalog.{options.reporting_schema}.dim_class").count() == 1
+
+
+def test_outputs_go_to_the_named_database(spark):
+    options = Settings(reporting_schema=" mine ", snapshot_schema=None, target_database="spark_catalog")
+    assert target_of(spark, MODELS["dim_item"], options).name == "spark_catalog.mine.dim_item"
+    assert snapshot_target(spark, "h", "k", options).name == "spark_catalog.default.h"
+    assert target_of(spark, MODELS["dim_item"], options, buckets=9).buckets is None
+    assert target_of(spark, MODELS["fact_budget"], options, buckets=9).buckets == 9
+
+
+def test_the_configured_window(spark):
+    rows = [{"class_id": str(n), "last_modified_date": at(n)} for n in range(10)]
+    spec, table = MODELS["dim_class"], target(spark, MODELS["dim_class"].key)
+    for days in (2, 5):
+        sources = catalog(spark, netsuite_dim_classification=rows)
+        sources.settings = Settings(lookback_days=days)
+        run(spec, sources, run_context(), table, "latest", reload=True)
+        found = run(spec, sources, run_context(1), table, "latest", lookback=True)
+        assert sum(r["_dbt_run_id"] == "run 1" for r in found.collect()) == days + 1
+
+
 def test_history(spark):
     def now(*rows):
         return spark.createDataFrame([(k, v, at(n)) for k, v, n in rows], "k int, v string, u timestamp_ntz")
@@ -333,3 +453,24 @@ def test_history(spark):
         (3, "c", at(1), at(1), gone), (4, "d", at(2), at(2), None)])
     third = run_snapshot(table, now((1, "older", 1), (3, "back", 9)), "u", run_context(2), close_deleted=False)
     assert bag(third) == bag(second) + Counter()  | Counter([(3, "back", at(9), at(9), None)])
+
+
+def test_closed_versions_are_not_rewritten(spark):
+    def now(*rows):
+        return spark.createDataFrame([(k, v, at(n)) for k, v, n in rows], "k int, v string, u timestamp_ntz")
+
+    table = snapshot_target(spark, f"history_{uuid.uuid4().hex}", "k")
+    run_snapshot(table, now((1, "a", 1), (2, "b", 1)), "u", run_context())
+    run_snapshot(table, now((1, "a2", 2), (2, "b", 1)), "u", run_context(1))
+    closed, seen = set(spark.table(table.closed).inputFiles()), bag(table.read())
+    unchanged = run_snapshot(table, now((1, "a2", 2), (2, "b", 1)), "u", run_context(2))
+    assert bag(unchanged) == seen
+    run_snapshot(table, now((1, "a3", 3), (2, "b", 1)), "u", run_context(3))
+    assert closed < set(spark.table(table.closed).inputFiles())
+    before = bag(table.read())
+    for wrong in ([(1, "x", 9), (1, "y", 9)], [(None, "x", 9)]):
+        with pytest.raises(op.DuplicateKeyError):
+            run_snapshot(table, now(*wrong), "u", run_context(4))
+    assert bag(table.read()) == before
+    again = run_snapshot(table, now((1, "a3", 3), (2, "b", 1)), "u", run_context(3))
+    assert bag(again) - before == Counter()

@@ -8,12 +8,14 @@ from contextlib import redirect_stdout
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerspark import operators as op
-from ledgerspark.operators.upsert import replace_rows
+from ledgerspark.operators.upsert import keys_present, replace_rows, update_every_row
 from ledgerspark.plans import MODELS, build
 from ledgerspark.settings import NETSUITE, SAGE
 from ledgerspark.sources import SourceCatalog, TableTarget, shared_folder
+from ledgerspark.sources.targets import _Staging
 from verification.erp_views import ErpViews
 from verification.queries import BATCH_ONE_UNTIL, CONTEXT
 
@@ -76,22 +78,38 @@ def test_repeated_keys_are_reduced_before_the_shuffle(stored):
     assert tree.count("WindowGroupLimit") == 2 and tree.count("Exchange") == 1
 
 
-def test_merge_shuffles_the_batch_only(spark, stored, no_broadcast):
+@pytest.mark.parametrize("share", [1, 50])
+def test_merge_shuffles_the_batch_only(spark, stored, no_broadcast, share):
+    """One plan at every size of the batch: a join of buckets that can spill, without an exchange."""
     spec = MODELS["fact_transactions"]
     target = TableTarget(spark, f"p_{uuid.uuid4().hex}", spec.key, 8, shared_folder(spark))
-    target.load(build(spec, ErpViews(spark, FOLDER, until=BATCH_ONE_UNTIL).catalog(), CONTEXT))
-    batch = spark.table(target._write(target._settled(build(spec, stored, CONTEXT), "latest", "last_modified_date"), 8))
-    text = plan(replace_rows(target.read(), batch, target._keys_to_match(batch), spec.key))
+    target.load(build(spec, ErpViews(spark, FOLDER, until=BATCH_ONE_UNTIL).catalog(), CONTEXT), "latest")
+    rows = build(spec, stored, CONTEXT).where(F.xxhash64(spec.key) % share == 0)
+    with _Staging(spark, target.name) as staging:
+        batch, _ = staging.settled(rows, spec.key, "latest", "last_modified_date", 8)
+        text = plan(replace_rows(target.read(), batch, batch.select(spec.key), spec.key))
     tree = text[:text.index("\n\n")]
-    assert "ShuffledHashJoin" in tree
-    assert "Exchange" not in tree and "Sort" not in tree
+    assert "SortMergeJoin" in tree
+    assert "Exchange" not in tree
+
+
+def test_keeping_repeats_reads_the_targets_keys_once(spark, tmp_path, no_broadcast):
+    spark.range(1000).selectExpr("cast(id as string) as k", "id as v").write.parquet(str(tmp_path / "t"))
+    spark.range(10).selectExpr("cast(id as string) as k", "-id as v").write.parquet(str(tmp_path / "u"))
+    target, batch = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "u"))
+    keys_present(target, batch, "k").write.parquet(str(tmp_path / "p"))
+    text = plan(update_every_row(target, batch, "k", spark.read.parquet(str(tmp_path / "p"))))
+    assert text.count("/t]") == 1
 
 
 def test_mapping_is_pruned_and_filtered(spark, tmp_path, no_broadcast):
     path = str(tmp_path / "mapping")
     views = ErpViews(spark, FOLDER)
     views.view("map_coa_reporting").write.parquet(path)
-    accounts = op.union_relations({"sage": spark.sql("select '1' as account_id")})
+    spark.range(9).selectExpr("cast(id as string) as account_id", "'SAGE' as source_system").write.parquet(str(tmp_path / "accounts"))
+    accounts = spark.read.parquet(str(tmp_path / "accounts"))
     text = plan(op.effective_dated_join(accounts, spark.read.parquet(path), CONTEXT.as_of_date, {"debt_mapping": "d"}))
-    assert text.count("LessThanOrEqual(effective_from,1998-06-30), GreaterThanOrEqual(effective_to,1998-06-30)") == 2
+    assert text.count("LessThanOrEqual(effective_from,1998-06-30), GreaterThanOrEqual(effective_to,1998-06-30)") == 1
     assert "cashflow_l1" not in text
+    tree = text[:text.index("\n\n")]
+    assert tree.count("Scan parquet") == 2 and tree.count("Exchange") == 2 and tree.count("Join") == 1

@@ -11,10 +11,10 @@ from ledgerspark.sources.declared import COLUMNS, TABLES
 
 
 def test_names_come_from_settings():
-    assert table_name("gold_sage", "dim_item") == "DATA_PLATFORM_DB.GOLD_SAGE.dim_item"
+    assert table_name("gold_sage", "dim_item") == "gold_sage.dim_item"
     other = Settings(source_database="db", netsuite_silver_schema="clean")
     assert table_name("silver_netsuite", "accounts", other) == "db.clean.accounts"
-    assert table_name("coa_mapping", "map_coa_reporting") == "DATA_PLATFORM_DB.COA_MAPPING.map_coa_reporting"
+    assert table_name("coa_mapping", "map_coa_reporting") == "account_mapping.map_coa_reporting"
     with pytest.raises(KeyError):
         table_name("gold_sage", "dim_locations")
 

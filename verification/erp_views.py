@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import timestamp_literal
+from ledgerspark.settings import Settings
 from ledgerspark.sources import SourceCatalog
 
 BASE_TABLES = {
@@ -50,7 +51,7 @@ def view_sql(day: Callable[[str], str]) -> dict[str, str]:
     return {
         "ns_fact_transaction": f"""
             select l_orderkey as transaction_id,
-                   l_linenumber * 1000000 + l_partkey as transaction_line_id,
+                   l_partkey * 8 + l_linenumber as transaction_line_id,
                    l_partkey as account_id,
                    l_suppkey % 7 as class_id,
                    case when l_linenumber % 7 = 0 then null else l_partkey end as item_id,
@@ -79,7 +80,7 @@ def view_sql(day: Callable[[str], str]) -> dict[str, str]:
         """,
         "sg_fact_transaction": f"""
             select l_orderkey as tran_id,
-                   l_linenumber * 1000000 + l_partkey as transaction_line_number,
+                   l_partkey * 8 + l_linenumber as transaction_line_number,
                    cast(l_partkey + 10000 as string) as account_number,
                    l_partkey as account_id,
                    l_suppkey % 7 as classid,
@@ -131,7 +132,7 @@ def view_sql(day: Callable[[str], str]) -> dict[str, str]:
                    cast(null as bigint) as employee_id, c_custkey as customer_id, cast(null as bigint) as vendor_id,
                    {day("(c_custkey * 397) % 2400")} as last_modified_date from customer
             union all
-            select s_suppkey + 1000000, null, null, s_name,
+            select -s_suppkey, null, null, s_name,
                    case when s_suppkey % 2 = 0 then 'vendor' else 'Vendor' end,
                    cast(null as bigint), cast(null as bigint), s_suppkey,
                    {day("(s_suppkey * 397) % 2400")} from supplier
@@ -268,8 +269,8 @@ class ErpViews:
             df = df.where(F.col(column) <= timestamp_literal(self.until))
         return df
 
-    def catalog(self) -> SourceCatalog:
+    def catalog(self, settings: Settings = Settings()) -> SourceCatalog:
         """The views under the names the models resolve."""
-        return SourceCatalog(self.spark, given={
+        return SourceCatalog(self.spark, settings, given={
             source_of(name): (lambda name=name: self.view(name)) for name in self._sql
         })

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from ledgerspark.contracts import CONTRACTS
 from verification.erp_views import duckdb_day, view_sql
 
 CUT = "timestamp '1998-12-31 00:00:00'"
@@ -13,6 +12,77 @@ AS_OF = "date '1998-06-30'"
 AUDIT = f"{RUN_TS} as _created_at, {RUN_TS} as _updated_at, 'test-run' as _dbt_run_id"
 VIEWS = view_sql(duckdb_day)
 
+# The columns of every output in order, audit columns last.
+COLUMNS = {
+    "dim_location": """
+        location_key source_system location_id location_name parent_location_key last_modified_date
+        _created_at _updated_at _dbt_run_id
+    """.split(),
+    "dim_item": """
+        item_key source_system item_id item_name item_type last_modified_date _created_at _updated_at
+        _dbt_run_id
+    """.split(),
+    "dim_entity": """
+        entity_key source_system entity_id entity_name entity_type employee_id customer_id vendor_id
+        last_modified_date _created_at _updated_at _dbt_run_id
+    """.split(),
+    "dim_department": """
+        department_key source_system department_id department_name full_hierarchy_name parent_department_id
+        parent_department_key last_modified_date _created_at _updated_at _dbt_run_id
+    """.split(),
+    "dim_vendor": """
+        vendor_key source_system vendor_id vendor_name last_modified_date _created_at _updated_at
+        _dbt_run_id
+    """.split(),
+    "dim_currency": """
+        currency_key source_system currency_id currency_name currency_symbol is_base_currency
+        last_modified_date _created_at _updated_at _dbt_run_id
+    """.split(),
+    "dim_class": """
+        class_key source_system class_id class_name last_modified_date _created_at _updated_at _dbt_run_id
+    """.split(),
+    "dim_product": """
+        product_key source_system product_id product_name product_type product_category product_subcategory
+        last_modified_date _created_at _updated_at _dbt_run_id
+    """.split(),
+    "dim_chart_of_accounts": """
+        account_key source_system account_id account_number account_name account_type description
+        display_name parent_account_id full_hierarchy_name department_id class_id subsidiary_id product_id
+        gaapmappingl1 gaapmappingl2 gaapmappingl3 gaapmappingl4 cashflowl1 cashflowl2 cashflowl3
+        pandlmultiplier budgetmultiplier debtmapping last_modified_date _created_at _updated_at _dbt_run_id
+    """.split(),
+    "dim_employee": """
+        employee_key source_system employee_id title email department_key class_key location_key
+        subsidiary_key is_inactive last_modified_date _created_at _updated_at _dbt_run_id
+    """.split(),
+    "dim_customer": """
+        customer_key source_system customer_id customer_name customer_type payment_plan last_modified_date
+        _created_at _updated_at _dbt_run_id
+    """.split(),
+    "dim_subsidiary": """
+        subsidiary_key source_system subsidiary_id subsidiary_name last_modified_date _created_at
+        _updated_at _dbt_run_id
+    """.split(),
+    "fact_transactions": """
+        financetransactionkey source_system transactionuniqueid transactionid transactionlineid
+        chartofaccountkey classkey itemkey productkey departmentkey subsidiarykey locationkey entitykey
+        customerkey vendorkey accountingperiodkey currency transactiondate postingperioddate duedate
+        closedate amount convertedamount openamount quantity transactiontype debitcreditflag
+        transactionstatus postingflag last_modified_date _created_at _updated_at _dbt_run_id
+    """.split(),
+    "fact_budget": """
+        budget_transaction_key source_system budget_id subsidiary_key chart_of_account_key class_key
+        department_key location_key accounting_period_key currency customerkey itemkey productkey amount
+        convertedamount type last_modified_date _created_at _updated_at _dbt_run_id
+    """.split(),
+    "fact_ebitda_adjs": """
+        ebitda_adjustment_key source_system adjustment_id subsidiary_key chart_of_account_key class_key
+        department_key location_key accounting_period_key currency customerkey itemkey productkey
+        adjustment_type adjustment_description amount converted_amount last_modified_date _created_at
+        _updated_at _dbt_run_id
+    """.split(),
+}
+
 
 def key(*parts: str) -> str:
     return "md5(" + " || '-' || ".join(f"coalesce({part}, '')" for part in parts) + ")"
@@ -184,7 +254,7 @@ def with_views(text: str, extra: str = "") -> str:
 def model_body(name: str, first_where: str = "true", second_where: str = "true") -> str:
     """A model's select; the conditions see the conformed ``last_modified_date``."""
     after, first, second = SHAPES[name]
-    wanted = ", ".join(CONTRACTS[name].fieldNames()[:-3])
+    wanted = ", ".join(COLUMNS[name][:-3])
     body = f"""(select * from ({first}) where {first_where}) union all by name
                (select * from ({second}) where {second_where})"""
     keyed = f"select *, {after} from ({body})"
@@ -196,7 +266,7 @@ def model_body(name: str, first_where: str = "true", second_where: str = "true")
 
 
 def one_per_key(body: str, name: str) -> str:
-    names = CONTRACTS[name].fieldNames()
+    names = COLUMNS[name]
     others = ", ".join(f"{c} desc nulls last" for c in names[1:] if c != "last_modified_date")
     return f"""select {", ".join(names)} from (select *, row_number() over (partition by {names[0]}
         order by last_modified_date desc nulls last, {others}) as place from ({body})) where place = 1"""
@@ -223,7 +293,7 @@ def second_run(name: str) -> str:
 
 def upsert_sql(name: str) -> str:
     """Two runs of a model with one row per key: batch 1, then everything newer than what run 1 left."""
-    key_name = CONTRACTS[name].fieldNames()[0]
+    key_name = COLUMNS[name][0]
     runs = f"run_1 as ({one_per_key(batch_one(name), name)}), run_2 as ({one_per_key(second_run(name), name)})"
     text = f"""select * from run_1 where {key_name} not in (select {key_name} from run_2)
         union all select * from run_2"""
@@ -232,7 +302,7 @@ def upsert_sql(name: str) -> str:
 
 def merge_sql(name: str) -> str:
     """The same two runs with repeated keys left in: every target row of an updated key takes the update."""
-    k = CONTRACTS[name].fieldNames()[0]
+    k = COLUMNS[name][0]
     # In batch 1 the transactions that repeat a customer are those of batch 1.
     early = batch_one(name).replace(
         "join ns_fact_transaction t", f"join (select * from ns_fact_transaction where last_modified_date <= {CUT}) t"
@@ -265,6 +335,11 @@ def oracle_sql() -> dict[str, str]:
             f"""{_SELECTED} ({model_body('fact_transactions')}) where last_modified_date >=
                 (select coalesce(max(last_modified_date), timestamp '1900-01-01') - interval 3 day from target)""",
             _TARGET),
+        "incremental_lookback_configured": with_views(
+            f"""{_SELECTED} ({model_body('fact_transactions')}) where last_modified_date >=
+                (select coalesce(max(last_modified_date), timestamp '1900-01-01') - interval 30 day from target)""",
+            _TARGET),
+        "merge_partitioned_fact_transactions": upsert_sql("fact_transactions"),
         "recent_rows": "select event_id, ts from events where ts >= timestamp '2024-01-31' - interval 3 day",
         "soft_delete_filter": """select o_orderkey, o_orderstatus from orders
             where not coalesce(case o_orderstatus when 'F' then true when 'O' then false end, false)""",
@@ -274,7 +349,7 @@ def oracle_sql() -> dict[str, str]:
             with h as (select c_custkey as key, c_name as name, {duckdb_day('c_custkey % 1000')} as t from customer),
                  c as (select key, name, case when key % 5 = 0 then t + interval 1 day else t end as t
                        from h where key % 10 <> 3
-                       union all select key + 1000000, name, t from h where key < 10)
+                       union all select -key - 1, name, t from h where key < 10)
             select h.key, h.name, h.t as valid_from,
                    case when c.key is null then {RUN_TS} when c.t > h.t then c.t end as valid_to
             from h left join c on h.key = c.key

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from ledgerspark import functions as fn
 from ledgerspark import operators as op
-from ledgerspark.plans import MODELS, build, default_buckets, run
-from ledgerspark.settings import RunContext
-from ledgerspark.sources import TableTarget, shared_folder
+from ledgerspark.plans import MODELS, build, run
+from ledgerspark.settings import RunContext, Settings
+from ledgerspark.sources import PartitionedTarget, TableTarget, shared_folder
 from verification.erp_views import ErpViews, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONTEXT = RunContext(run_ts=datetime(2024, 1, 1), run_id="test-run", as_of_date=date(1998, 6, 30))
 BATCH_ONE_UNTIL = datetime(1998, 12, 31)
 TRANSACTIONS = MODELS["fact_transactions"]
+# For the test tables; a real target takes as many as its size asks for.
+FACT_BUCKETS = 8
 
 
 def scan_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,11 +48,19 @@ def two_runs(name: str, on_duplicate: str, spark: SparkSession, sf_dir: str) ->
     every target row of an updated key take the update.
     """
     spec = MODELS[name]
-    target = TableTarget(
-        spark, f"{name}_{uuid.uuid4().hex}", spec.key, default_buckets(spark, spec), shared_folder(spark), spec.systems
-    )
+    buckets = FACT_BUCKETS if "fact" in spec.tags else None
+    target = TableTarget(spark, f"{name}_{uuid.uuid4().hex}", spec.key, buckets, shared_folder(spark), spec.systems)
     run(spec, ErpViews(spark, sf_dir, until=BATCH_ONE_UNTIL).catalog(), CONTEXT, target, on_duplicate)
-    return run(spec, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, on_duplicate)
+    result = run(spec, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, on_duplicate)
+    target.drop_old_versions()
+    return result
+
+
+def merge_partitioned_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs into a table partitioned by month, of which the second rewrites touched months only."""
+    target = PartitionedTarget(spark, f"by_month_{uuid.uuid4().hex}", TRANSACTIONS.key, "transactiondate")
+    run(TRANSACTIONS, ErpViews(spark, sf_dir, until=BATCH_ONE_UNTIL).catalog(), CONTEXT, target, "latest")
+    return run(TRANSACTIONS, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, "latest")
 
 
 def _first_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +85,14 @@ def incremental_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source_system", "transactionuniqueid", "last_modified_date")
 
 
+def incremental_lookback_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the window of the settings, here 30 days."""
+    newest = op.high_watermark(_first_transactions(spark, sf_dir))
+    sources = ErpViews(spark, sf_dir).catalog(Settings(lookback_days=30))
+    rows = build(TRANSACTIONS, sources, CONTEXT, lookback=(newest, None))
+    return rows.select("source_system", "transactionuniqueid", "last_modified_date")
+
+
 def recent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select("event_id", "ts")
     return op.recent_rows(events, "ts", datetime(2024, 1, 31))
@@ -92,7 +110,7 @@ def schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A merge whose updates bring one new column and lack one old column."""
     nation = read_table(spark, sf_dir, "nation")
     updates = nation.where(F.col("n_nationkey") % 2 == 0).select("n_nationkey", "n_regionkey")
-    merged = op.upsert(nation.select("n_nationkey", "n_name"), updates, "n_nationkey")
+    merged = op.upsert(nation.select("n_nationkey", "n_name"), updates, "n_nationkey", "error")
     return merged.select("n_nationkey", "n_name", "n_regionkey")
 
 
@@ -108,7 +126,7 @@ def snapshot_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = (
         first.where(key % 10 != 3)
         .withColumn("updated_at", F.when(key % 5 == 0, a_day_later).otherwise(F.col("updated_at")))
-        .unionByName(first.where(key < 10).withColumn("key", key + 1_000_000))
+        .unionByName(first.where(key < 10).withColumn("key", -key - 1))
     )
     history = op.snapshot_scd2(None, first, "key", "updated_at", CONTEXT.run_ts)
     return op.snapshot_scd2(history, second, "key", "updated_at", CONTEXT.run_ts).drop("updated_at")
@@ -187,7 +205,8 @@ def assign_fiscal_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SINGLE: tuple[Query, ...] = (
-    scan_sources, watermarks_by_source, incremental_watermark, incremental_lookback, recent_rows, soft_delete_filter,
+    scan_sources, watermarks_by_source, incremental_watermark, incremental_lookback, incremental_lookback_configured,
+    merge_partitioned_fact_transactions, recent_rows, soft_delete_filter,
     schema_append, snapshot_scd2, effective_dated_join, union_relations, surrogate_key, clean_numeric, safe_cast,
     normalize_amounts, fill_currency, standardize_contacts, assign_fiscal_period,
 )
