@@ -9,13 +9,12 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from ledgerspark.operators import DuplicateKeyError
-from verification import queries
+from verification import oracles, queries
 from verification.erp_views import BASE_TABLES
 
 FOLDER = "/root/testdata/sf0.01"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +57,9 @@ def test_query_equals_oracle(spark, duck, name):
     wanted = counted(columns, expected)
     assert found == wanted, (list((found - wanted).items())[:2], list((wanted - found).items())[:2])
     assert found
+
+
+def test_the_entry_has_them_all():
+    import __spark_entry__ as entry
+
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
