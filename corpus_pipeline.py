@@ -1,31 +1,26 @@
 """A corpus pipeline of five stages; each function takes (spark, docs, folder of tables) and returns a DataFrame.
 
-All stages but the last return the columns of documents. Rows without doc_id pass the filters that need one.
+All stages but the last return the columns of documents. Language and benchmark judge rows one by one. A row without doc_id
+is near nothing and stays; rows that share a doc_id are taken into the mix alike, as often as the most taken of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import Scratch
 from ledgerspark.llm.decontaminate import clean_documents
 from ledgerspark.llm.jaccard import near_duplicates
-from ledgerspark.llm.language import UNDETERMINED, identify_language
+from ledgerspark.llm.language import in_known_language
 from ledgerspark.llm.mixing import mix_sources
 from ledgerspark.llm.token_files import token_digest
 
 
-def _same(docs: DataFrame, column: str) -> Column:
-    return docs["doc_id"].eqNullSafe(F.col(column))
-
-
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps documents in a language: text with letters that some learned language writes in fewer than the 8 bits a byte
     of plain storage."""
-    found = identify_language(docs)
-    rejected = found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("bits") >= 8 * F.col("n_bytes")))
-    return docs.join(rejected.select(F.col("doc_id").alias("_rejected")).distinct(), _same(docs, "_rejected"), "left_anti")
+    return in_known_language(docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -42,7 +37,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def source_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Repeats each document as often as the mix takes it."""
     mixed = mix_sources(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_taken")).agg(F.max("copies").alias("_copies"))
-    taken = docs.join(mixed, _same(docs, "_taken")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    taken = docs.join(mixed, docs["doc_id"].eqNullSafe(F.col("_taken"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return taken.select(*(docs[name] for name in docs.columns))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,23 +189,14 @@ def contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     texts match nothing; documents and items with a null or repeated id are judged by row; empty tables give no rows;
     other columns are not read.
     """
-    spark = documents.sparkSession
-    ship(spark)
-    items = items.select("item_id", "text").where("text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // INDEX_BYTES)
     schema = "doc_id long, item_id long, first_word long, score double, overlap double, question_overlap double, answer_overlap double"
     names = [x.split()[0] for x in schema.split(", ")]
 
-    def against(number: int) -> DataFrame:
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == number).collect()
-        index = spark.sparkContext.broadcast(Index(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))))
-
+    def against(index: Broadcast) -> DataFrame:
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for start, stop in slices(batch.column(1)):
-                    words = Words(batch.column(1).slice(start, stop - start), plain=True)
-                    found = index.value.verified(words)
+                    found = index.value.verified(Words(batch.column(1).slice(start, stop - start), plain=True))
                     if found:
                         ids = batch.column(0).slice(start, stop - start).take(pa.array([x[0] for x in found]))
                         rest = zip(*(x[1:] for x in found))
@@ -213,18 +205,43 @@ def contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
 
         return documents.select("doc_id", "text").mapInArrow(find, schema)
 
-    if not n:
-        return spark.createDataFrame([], schema)
-    found = against(0)
-    for number in range(1, n):
-        found = found.union(against(number))
+    found = documents.sparkSession.createDataFrame([], schema)
+    for index in indexes(items):
+        found = found.union(against(index))
     return found
 
 
+def indexes(items: DataFrame) -> Iterator[Broadcast]:
+    """Indexes of at most about INDEX_BYTES of item text each."""
+    spark = items.sparkSession
+    ship(spark)
+    items = items.select("item_id", "text").where("text IS NOT NULL")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = -(-size // INDEX_BYTES)
+    for number in range(n):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == number).collect()
+        yield spark.sparkContext.broadcast(Index(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))))
+
+
 def clean_documents(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no item, with all their columns."""
-    found = contaminated(documents, items).select(F.col("doc_id").alias("_held")).distinct()
-    return documents.join(found, documents["doc_id"].eqNullSafe(F.col("_held")), "left_anti")
+    """The rows, with all their columns, whose text holds no item; they are judged one by one, without a join."""
+    columns, kept = documents.columns, documents
+    at = columns.index("text")
+
+    def without(index: Broadcast):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start, stop in slices(batch.column(at)):
+                    part = batch.slice(start, stop - start)
+                    clean = np.ones(part.num_rows, bool)
+                    clean[[x[0] for x in index.value.verified(Words(part.column(at), plain=True))]] = False
+                    yield part.filter(pa.array(clean))
+
+        return keep
+
+    for index in indexes(items):
+        kept = kept.mapInArrow(without(index), documents.schema)
+    return kept
 
 
 def op9_benchmark(spark: SparkSession, folder: str) -> DataFrame:

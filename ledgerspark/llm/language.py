@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -134,33 +135,64 @@ def identify_language(documents: DataFrame, learn: Column | None = None) -> Data
     model's size depends on the sample's bounds and the number of languages only. One row per row of the input, null or
     repeated ids included; other columns are not read.
     """
-    ship(documents.sparkSession)
-    samples = sample_texts(documents, F.lit(True) if learn is None else learn)
-    model = documents.sparkSession.sparkContext.broadcast(ContextTrees(samples) if samples else None)
+    model = _learned(documents, learn)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = model.value
         for batch in batches:
-            texts = batch.column(1)
-            for start, stop in slices(texts):
-                data, starts = text_bytes(texts.slice(start, stop - start))
-                letters = np.array(batch.column(2).slice(start, stop - start).to_pylist(), bool)
-                names, score, least = [UNDETERMINED] * len(letters), np.zeros(len(letters)), np.zeros(len(letters))
-                if trees and len(letters):
-                    bits = trees.code_lengths(data, starts)
-                    best = bits.argmin(1)
-                    least = bits.min(1)
-                    score = np.where(letters, 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1), 0.0)
-                    names = [trees.languages[i] if x else UNDETERMINED for i, x in zip(best, letters)]
+            for start, stop in slices(batch.column(1)):
+                part = batch.slice(start, stop - start)
+                names, score, bits, sizes = _scored(model.value, part.column(1), part.column(2))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start), pa.array(names, pa.string()), pa.array(score),
-                     pa.array(least), pa.array(np.diff(starts))], ["doc_id", "lang_pred", "score", "bits", "n_bytes"])
+                    [part.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(bits), pa.array(sizes)],
+                    ["doc_id", "lang_pred", "score", "bits", "n_bytes"])
 
-    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return documents.select("doc_id", "text", letter.alias("letter")).mapInArrow(
+    return documents.select("doc_id", "text", _letter()).mapInArrow(
         predict, "doc_id long, lang_pred string, score double, bits double, n_bytes long")
 
 
+def in_known_language(documents: DataFrame, learn: Column | None = None) -> DataFrame:
+    """The rows, with all their columns, whose text has letters and that some learned language writes in fewer than the
+    8 bits a byte of plain storage. Rows are judged one by one, without a join; where there is nothing to learn from, none
+    stays."""
+    model = _learned(documents, learn)
+    columns = documents.columns
+    at = columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop in slices(batch.column(at)):
+                part = batch.slice(start, stop - start)
+                names, _, bits, sizes = _scored(model.value, part.column(at), part.column(len(columns)))
+                known = np.array([name != UNDETERMINED for name in names], bool) & (bits < 8 * sizes)
+                rows = part.filter(pa.array(known))
+                yield pa.RecordBatch.from_arrays([rows.column(i) for i in range(len(columns))], columns)
+
+    return documents.select(*(documents[c] for c in columns), _letter()).mapInArrow(keep, documents.schema)
+
+
+def _letter() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letter")
+
+
+def _learned(documents: DataFrame, learn: Column | None) -> Broadcast:
+    ship(documents.sparkSession)
+    samples = sample_texts(documents, F.lit(True) if learn is None else learn)
+    return documents.sparkSession.sparkContext.broadcast(ContextTrees(samples) if samples else None)
+
+
+def _scored(trees: ContextTrees | None, texts: pa.Array, letters: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, code length in bits and bytes of each text."""
+    data, starts = text_bytes(texts)
+    letters = np.array(letters.to_pylist(), bool)
+    names, score, least = [UNDETERMINED] * len(letters), np.zeros(len(letters)), np.zeros(len(letters))
+    if trees and len(letters):
+        bits = trees.code_lengths(data, starts)
+        least = bits.min(1)
+        score = np.where(letters, 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1), 0.0)
+        names = [trees.languages[i] if x else UNDETERMINED for i, x in zip(bits.argmin(1), letters)]
+    return names, score, least, np.diff(starts)
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that nothing is learned from; a null id is not held out, and not learned from either."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
