@@ -177,8 +177,9 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id:
     """Writes the ids of all texts, each followed by ``end_id``, in ascending doc_id order.
 
     One file for each range of ids. Returns one row per document: doc_id, shard (its file's place in the order), name,
-    place (the document's in the file), n_tokens. Null text is empty; a null id comes first; equal ids are ordered by
-    their text. Texts are encoded whole, and only one chunk of ids waits in memory.
+    place (the document's in the file), n_tokens. Null text is empty; a null id comes first; rows with one id are ordered
+    by a hash of their text, so that many of them need not meet in one file. Texts are encoded whole, and only one chunk of
+    ids waits in memory. The ranges are drawn from ids and hashes; no text reaches the driver.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,9 +201,9 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id:
         if writer:
             writer.close()
 
-    ordered = (documents.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text"))
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text"))
-               .withColumn("shard", F.spark_partition_id()))
+    key = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    ordered = (documents.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange(*key)
+               .sortWithinPartitions(*key).select("doc_id", "text", F.spark_partition_id().alias("shard")))
     return ordered.mapInArrow(write, "doc_id long, shard int, name string, place long, n_tokens long")
 
 

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -153,8 +154,8 @@ def test_prefixes_of_linked_sets_meet(n, other, data):
 
 def test_prefix_orders_are_total():
     rng = np.random.default_rng(1)
-    counts = rng.integers(0, 50, 1 << jaccard.SKETCH_BITS).astype(float)
-    orders = jaccard.Orders(counts)
+    bucket = rng.permutation(1 << jaccard.SKETCH_BITS)[:9999]
+    orders = jaccard.Orders(pa.table({"bucket": bucket, "count": rng.integers(10, 5000, len(bucket))}), 3.0)
     codes = np.unique(rng.integers(0, 2**63, 500).astype(np.uint64))
     for number in range(jaccard.ORDERS):
         prefix = orders.prefix(codes, number)
@@ -349,14 +350,15 @@ def test_word_by_word_encoding(text):
 
 def test_token_files(odd):
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    rows = sorted(((r[0], r[1]) for r in odd_rows()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
-    start, wanted = 0, []
-    for doc_id, text in rows:
+    wanted = []
+    for doc_id, text, *_ in odd_rows():
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
-        wanted.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-        start += len(ids)
-    found = token_digest(odd, TOKENIZER).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
-    assert bag(found) == bag(wanted)
+        wanted.append((doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    found = sorted(token_digest(odd, TOKENIZER).collect(), key=lambda r: r.start)
+    assert bag((r.doc_id, r.n_tokens, r.ids_crc32) for r in found) == bag(wanted)
+    order = [(r.doc_id is not None, r.doc_id or 0) for r in found]
+    assert order == sorted(order)
+    assert [r.start for r in found] == [sum(r.n_tokens for r in found[:i]) for i in range(len(found))]
 
 
 # Empty tables.
