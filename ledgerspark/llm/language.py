@@ -17,6 +17,8 @@ ORDER = 3
 #: The learned sample of a language: at most so many documents, and so many bytes after its first document.
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 400_000
+#: Groups in which a language's documents are drawn first.
+SPREAD = 64
 #: Documents up to this size come first into the sample.
 SHORT_BYTES = 1 << 16
 
@@ -112,7 +114,12 @@ def sample_texts(documents: DataFrame, learn: Column) -> dict[str, list[str]]:
     rows = (documents.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull())
             .select("doc_id", "lang", size.alias("size"), F.xxhash64("text").alias("draw")))
     order = [F.col("size") > SHORT_BYTES, "draw", "doc_id"]
-    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("n") <= SAMPLE_DOCS)
+
+    def least(rows: DataFrame, *group: str) -> DataFrame:
+        return rows.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("n") <= SAMPLE_DOCS)
+
+    # First within ranges of the hash, so that the candidates of a language in one task are bounded too.
+    first = least(least(rows.withColumn("part", F.pmod("draw", F.lit(SPREAD))), "lang", "part"), "lang")
     before = F.sum("size").over(Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
     chosen = first.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < SAMPLE_BYTES)
     keys = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("draw").alias("_draw")).distinct()
