@@ -73,7 +73,7 @@ class Scratch:
         return f"{self.folder}/{name}"
 
     def store(self, name: str, rows: DataFrame) -> DataFrame:
-        before = self.spark.conf.get(_CLEANUP)
+        before = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
             rows.write.option("compression", "zstd").parquet(self.path(name))
@@ -179,11 +179,10 @@ def gram_codes(codes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
 def components(scratch: Scratch, name: str, links: DataFrame) -> DataFrame:
     """(node, component) of all nodes of links (a, b): component is the smallest node within reach.
 
-    Large-star and small-star steps in turn: each is a grouped minimum and a join, stored after each round, until no
-    link changes. The minimum is combined map-side, so a node with very many links is not one task's work; such
+    Large-star and small-star steps in turn: each is a grouped minimum and a join, stored after each round, until the
+    links form stars. The minimum is combined map-side, so a node with very many links is not one task's work; such
     a node's rows are a join key, which adaptive execution splits.
     """
-    spark = scratch.spark
 
     def star(edges: DataFrame, large: bool) -> DataFrame:
         """Hands the neighbours of each node to the smallest of them: the larger ones, or the smaller ones."""
@@ -199,14 +198,15 @@ def components(scratch: Scratch, name: str, links: DataFrame) -> DataFrame:
         return out.where("a < b").distinct()
 
     edges = scratch.store(f"{name}-0", links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    turn, seen = 0, None
-    while True:
-        # Stars only (each larger node once, no node on both sides) are the end.
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if (state.n, state.h) == seen or not state.n:
-            break
-        seen, turn = (state.n, state.h), turn + 1
+    def stars(edges: DataFrame) -> bool:
+        """Whether every larger node has one link and no node is on both sides: then the smaller ones are the answer."""
+        inner = edges.select(F.col("b").alias("a")).distinct()
+        return (edges.join(inner, "a", "left_semi").isEmpty()
+                and edges.groupBy("b").agg(F.count("*").alias("c")).where("c > 1").isEmpty())
+
+    turn = 0
+    while not stars(edges):
+        turn += 1
         large = scratch.store(f"{name}-l{turn}", star(edges, True))
         edges = scratch.store(f"{name}-{turn}", star(large, False))
-    del spark
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
