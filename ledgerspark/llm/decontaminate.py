@@ -55,7 +55,7 @@ class Index:
             if not len(codes):
                 continue
             number = len(self.items)
-            self.items.append((item_id, len(codes), *map(lambda x: np.unique(shingle_codes(x)), [codes, *halves])))
+            self.items.append((item_id, len(codes), *((len(x), np.unique(shingle_codes(x))) for x in [codes, *halves])))
             for start in range(0, len(codes), CHUNK):
                 rows.append(codes[start : start + CHUNK])
                 self.part_item.append(number)
@@ -145,37 +145,52 @@ class Index:
         return text, (passage - base[text]) * CHUNK, key % parts, score
 
     def verified(self, words: Words) -> list[tuple[int, int, int, float, float, float, float]]:
-        """Text, item, first word of the best passage, score, and the shares of all, question and answer."""
-        text, first, part, score = self.retrieve(words)
-        best: dict[tuple[int, int], tuple[float, int]] = {}
-        for t, f, p, s in zip(text, first, part, score):
-            key = (int(t), int(self.part_item[p]))
-            best[key] = max(best.get(key, (-1.0, 0)), (float(s), -int(f)))
+        """Text, item, first word and score of the best passage that passes, and the shares of all, question and answer."""
+        retrieved: dict[tuple[int, int], dict[int, float]] = {}
+        for t, f, p, s in zip(*self.retrieve(words)):
+            places = retrieved.setdefault((int(t), int(self.part_item[p])), {})
+            places[int(f)] = max(places.get(int(f), 0.0), float(s))
         out = []
-        for (t, number), (s, f) in sorted(best.items()):
-            item_id, n, *sets = self.items[number]
-            # The words around the passage in which the whole item may lie.
-            start = words.firsts[t] + max(0, -f - n)
-            stop = min(words.firsts[t + 1], words.firsts[t] - f + 2 * CHUNK + n)
-            codes = words.codes[start:stop]
-            here = np.unique(shingle_codes(codes) if n >= SHINGLE else gram_codes(codes, SHINGLE))
-            shares = []
-            for own, size in zip(sets, (n, None, None)):
-                if size is None and len(own) == 1 or size is not None and size < SHINGLE:
-                    shares.append(None)
-                else:
-                    shares.append(float(np.isin(own, here).mean()) if len(own) else 1.0)
-            shares = [self._short(codes, own) if x is None else x for x, own in zip(shares, sets)]
-            if shares[0] >= SIMILARITY and min(shares[1:]) >= PART:
-                out.append((t, item_id, -f, s, *shares))
+        for (t, number), places in sorted(retrieved.items()):
+            item_id, n, *parts = self.items[number]
+            first = np.array(sorted(places), np.int64)
+            score = np.array([places[f] for f in first.tolist()])
+            # The words around each passage in which the whole item may lie.
+            start = np.maximum(first - n, 0)
+            stop = np.minimum(first + 2 * CHUNK + n, words.count[t])
+            shares = np.empty((len(parts), len(first)))
+            # Ranges that overlap are read as one.
+            for near in np.split(np.arange(len(first)), np.flatnonzero(start[1:] > stop[:-1]) + 1):
+                low, high = start[near[0]], stop[near[-1]]
+                codes = words.codes[words.firsts[t] + low : words.firsts[t] + high]
+                for share, (size, own) in zip(shares, parts):
+                    share[near] = self._shares(codes, size, own, start[near] - low, stop[near] - low)
+            passed = np.flatnonzero((shares[0] >= SIMILARITY) & (shares[1:].min(0) >= PART))
+            if len(passed):
+                best = passed[np.argmax(score[passed])]
+                out.append((t, item_id, int(first[best]), float(score[best]), *shares[:, best].tolist()))
         return out
 
     @staticmethod
-    def _short(codes: np.ndarray, own: np.ndarray) -> float:
-        """Share of a single shingle, which may be shorter than five words."""
-        found = np.isin(own, gram_codes(codes, SHINGLE)).any() or any(
-            np.isin(own, mixed(gram_codes(codes, n) + np.uint64(n))).any() for n in range(1, SHINGLE))
-        return float(found)
+    def _shares(codes: np.ndarray, size: int, own: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Share of the shingles of ``size`` words of an item that each range of the codes holds; ranges are in order."""
+        if not len(own):
+            return np.ones(len(starts))
+        n = min(size, SHINGLE)
+        here = gram_codes(codes, n)
+        if n < SHINGLE:
+            here = mixed(here + np.uint64(n))
+        kind = np.minimum(np.searchsorted(own, here), len(own) - 1)
+        place = np.flatnonzero(own[kind] == here)
+        order = place[np.argsort(kind[place], kind="stable")]
+        before = np.full(len(here), -1)
+        again = kind[order[1:]] == kind[order[:-1]]
+        before[order[1:][again]] = order[:-1][again]
+        # A place counts in the ranges that hold it and not the same shingle before it.
+        low = np.maximum(np.searchsorted(starts, before[place], side="right"), np.searchsorted(stops - n, place))
+        high = np.maximum(low, np.searchsorted(starts, place, side="right"))
+        many = np.bincount(low, minlength=len(starts) + 1) - np.bincount(high, minlength=len(starts) + 1)
+        return np.cumsum(many)[: len(starts)] / len(own)
 
 
 def contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -183,8 +198,9 @@ def contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     question_overlap, answer_overlap.
 
     Every passage of every document is a BM25 query; all parts of items that score at least THRESHOLD of what
-    they score with themselves are retrieved, and the pair stays if the words around hold SIMILARITY of the item's
-    5-word shingles and PART of those of its question and of its answer. Words are compared in lower case and without
+    they score with themselves are retrieved and verified, and the pair stays if the words around one of them hold SIMILARITY
+    of the item's 5-word shingles and PART of those of its question and of its answer; told is the passage of the highest
+    score, then the first, among those. Words are compared in lower case and without
     marks. Items are read in indexes of bounded size, one pass over the documents each. Null or wordless items and
     texts match nothing; documents and items with a null or repeated id are judged by row; empty tables give no rows;
     other columns are not read.

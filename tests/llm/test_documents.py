@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgerspark.llm import jaccard
-from ledgerspark.llm.decontaminate import clean_documents, contaminated
+from ledgerspark.llm.decontaminate import Index, clean_documents, contaminated, shingle_codes
 from ledgerspark.llm.jaccard import near_duplicates, prefix_length
 from ledgerspark.llm.language import ContextTrees, identify_language
 from ledgerspark.llm.licenses import NOTICES, license_notices
@@ -254,6 +254,37 @@ def test_benchmark_against_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in contaminated(documents, benchmark).collect()} == wanted
 
 
+def test_benchmark_items_after_other_passages_of_their_words(spark):
+    """The passage that scores best or comes first does not hold the item; a later one does."""
+    rng = random.Random(19)
+    item, long = words(rng, 40).split(), words(rng, 150).split()
+    near = list(item)
+    near[3] = "changed"
+    shuffled = rng.sample(item, len(item))
+    docs = [(1, [*shuffled, *words(rng, 400).split(), *item]), (2, [*shuffled, *words(rng, 400).split(), *near]),
+            (3, [*long[:64], *words(rng, 700).split(), *long]), (4, [*shuffled, *words(rng, 400).split(), *shuffled]),
+            (5, [*long[:64], *words(rng, 700).split(), *long[:64]])]
+    documents = spark.createDataFrame([(d, " ".join(t)) for d, t in docs], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long))], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in contaminated(documents, benchmark).collect()}
+    assert set(found) == {(1, 1), (2, 1), (3, 2)}
+    assert all(r.first_word > 300 for r in found.values()) and found[1, 1].overlap == 1
+    assert {r.doc_id for r in clean_documents(documents, benchmark).collect()} == {4, 5}
+
+
+def test_shares_of_ranges():
+    rng = np.random.default_rng(4)
+    for size in (1, 3, 5, 6, 30):
+        text = rng.integers(0, 3, 200).astype(np.uint64)
+        part = rng.integers(0, 3, size).astype(np.uint64)
+        own, n = np.unique(shingle_codes(part)), min(size, 5)
+        starts = np.sort(rng.integers(0, 190, 20))
+        stops = np.minimum(starts + 25, 200)
+        wanted = {tuple(part[i : i + n]) for i in range(size - n + 1)}
+        shares = [len(wanted & {tuple(text[i : i + n]) for i in range(a, b - n + 1)}) / len(wanted) for a, b in zip(starts, stops)]
+        assert list(Index._shares(text, size, own, starts, stops)) == shares
+
+
 def test_licenses(spark, odd):
     rng = random.Random(4)
     docs = []
