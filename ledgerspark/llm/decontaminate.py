@@ -17,8 +17,9 @@ from ledgerspark.llm.common import Words, gram_codes, mixed, ship, slices
 CHUNK = 64
 #: Retrieved are all pairs whose BM25 score is at least this share of the item's score with itself.
 THRESHOLD = 0.6
-#: Shares of an item's 5-word shingles that a document must hold: of all, and of question and answer each.
-SIMILARITY, PART = 0.8, 0.5
+#: Share of an item's 5-word shingles that a document must hold. Those of question and answer are told only: one changed
+#: word takes five shingles, which can be all of a short answer.
+SIMILARITY = 0.8
 K1, B = 1.2, 0.75
 #: Blocks of an index, and bytes of item text in one index; more items make more indexes, each with its own pass.
 BLOCKS = 32
@@ -165,7 +166,7 @@ class Index:
                 codes = words.codes[words.firsts[t] + low : words.firsts[t] + high]
                 for share, (size, own) in zip(shares, parts):
                     share[near] = self._shares(codes, size, own, start[near] - low, stop[near] - low)
-            passed = np.flatnonzero((shares[0] >= SIMILARITY) & (shares[1:].min(0) >= PART))
+            passed = np.flatnonzero(shares[0] >= SIMILARITY)
             if len(passed):
                 best = passed[np.argmax(score[passed])]
                 out.append((t, item_id, int(first[best]), float(score[best]), *shares[:, best].tolist()))
@@ -199,8 +200,8 @@ def contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
 
     Every passage of every document is a BM25 query; all parts of items that score at least THRESHOLD of what
     they score with themselves are retrieved and verified, and the pair stays if the words around one of them hold SIMILARITY
-    of the item's 5-word shingles and PART of those of its question and of its answer; told is the passage of the highest
-    score, then the first, among those. Words are compared in lower case and without
+    of the item's 5-word shingles; told is the passage of the highest score, then the first, among those, with the shares
+    of question and answer, which decide nothing. Words are compared in lower case and without
     marks. Items are read in indexes of bounded size, one pass over the documents each. Null or wordless items and
     texts match nothing; documents and items with a null or repeated id are judged by row; empty tables give no rows;
     other columns are not read.

@@ -272,6 +272,24 @@ def test_benchmark_items_after_other_passages_of_their_words(spark):
     assert {r.doc_id for r in clean_documents(documents, benchmark).collect()} == {4, 5}
 
 
+def test_benchmark_items_with_one_changed_word(spark):
+    """Also where the word is one of a short question or answer."""
+    rng = random.Random(29)
+    items = [f"{words(rng, 40)}. {words(rng, 3)}", f"{words(rng, 4)}? {words(rng, 40)}", f"{words(rng, 35)}: {words(rng, 9)}"]
+    docs = []
+    for i, item in enumerate(items):
+        for at in range(len(item.split())):
+            near = item.split()
+            near[at] = "changed" + near[at].lstrip("abcdefghij")
+            docs.append((1000 * i + at, f"{words(rng, 90)} {' '.join(near)} {words(rng, 90)}"))
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = contaminated(documents, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(d, d // 1000) for d, _ in docs}
+    assert min(r.answer_overlap for r in found) == 0 and min(r.question_overlap for r in found) == 0
+    assert clean_documents(documents, benchmark).count() == 0
+
+
 def test_shares_of_ranges():
     rng = np.random.default_rng(4)
     for size in (1, 3, 5, 6, 30):
