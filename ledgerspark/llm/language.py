@@ -14,7 +14,7 @@ from ledgerspark.llm.common import ship, slices, text_bytes
 
 #: Longest context in bytes.
 ORDER = 3
-#: The learned sample of a language: at most so many documents, and so many bytes after its first document.
+#: The learned sample of a language: at most so many distinct texts, and so many bytes after its first text.
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 400_000
 #: Groups in which a language's documents are drawn first.
@@ -109,11 +109,11 @@ class ContextTrees:
 
 
 def sample_texts(documents: DataFrame, learn: Column) -> dict[str, list[str]]:
-    """The bounded sample: for each language the documents with the smallest hash, whole, short ones first."""
-    size = F.octet_length("text")
-    rows = (documents.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull())
-            .select("doc_id", "lang", size.alias("size"), F.xxhash64("text").alias("draw")))
-    order = [F.col("size") > SHORT_BYTES, "draw", "doc_id"]
+    """The bounded sample: for each language the texts with the smallest hash, whole, short ones first; copies are one text."""
+    known = documents.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull())
+    key = {"lang": F.col("lang"), "size": F.octet_length("text"), "draw": F.xxhash64("text")}
+    rows = known.select(*(column.alias(name) for name, column in key.items())).distinct()
+    order = [F.col("size") > SHORT_BYTES, "draw", "size"]
 
     def least(rows: DataFrame, *group: str) -> DataFrame:
         return rows.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("n") <= SAMPLE_DOCS)
@@ -122,10 +122,10 @@ def sample_texts(documents: DataFrame, learn: Column) -> dict[str, list[str]]:
     first = least(least(rows.withColumn("part", F.pmod("draw", F.lit(SPREAD))), "lang", "part"), "lang")
     before = F.sum("size").over(Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
     chosen = first.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < SAMPLE_BYTES)
-    keys = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("draw").alias("_draw")).distinct()
-    # At most SAMPLE_DOCS rows of ids for each language.
-    found = (documents.join(F.broadcast(keys), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))
-                            & (F.xxhash64("text") == F.col("_draw")), "left_semi").select("lang", "text").collect())
+    keys = chosen.select(*(F.col(name).alias(f"_{name}") for name in key))
+    same = [column == F.col(f"_{name}") for name, column in key.items()]
+    # At most SAMPLE_DOCS keys for each language.
+    found = known.join(F.broadcast(keys), same, "left_semi").select("lang", "text").distinct().collect()
     samples: dict[str, list[str]] = {}
     for row in sorted(found):
         samples.setdefault(row.lang, []).append(row.text)

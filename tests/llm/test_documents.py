@@ -13,12 +13,13 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerspark.llm import jaccard
 from ledgerspark.llm.decontaminate import Index, clean_documents, contaminated, shingle_codes
 from ledgerspark.llm.jaccard import near_duplicates, prefix_length
-from ledgerspark.llm.language import ContextTrees, identify_language
+from ledgerspark.llm.language import SAMPLE_BYTES, ContextTrees, identify_language, sample_texts
 from ledgerspark.llm.licenses import NOTICES, license_notices
 from ledgerspark.llm.lines import remove_repeated_lines
 from ledgerspark.llm.mixing import mix_sources, subset_counts
@@ -195,6 +196,17 @@ def test_code_lengths_follow_the_escapes():
     assert bits == pytest.approx(total, rel=1e-5)
 
 
+def test_sample_of_a_language_with_many_copies(spark):
+    """Copies of one text, with ids of their own, one id or none, are learned from once and leave room for the others."""
+    rng = random.Random(12)
+    copy, others = words(rng, 500), [words(rng, 30) for _ in range(20)]
+    rows = [(i, copy, "es") for i in range(300)] + [(1000, copy, "es")] * 50 + [(None, others[0], "es")]
+    rows += [(2000 + i, text, "es") for i, text in enumerate(others[1:])] + [(3000, copy, "en"), (3001, None, "es"), (3002, "x", None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sum(len(text) for _, text, lang in rows if text == copy and lang == "es") > SAMPLE_BYTES
+    assert sample_texts(documents, F.lit(True)) == {"en": [copy], "es": sorted([copy, *others])}
+
+
 def test_language_of_odd_rows(odd):
     found = identify_language(odd).collect()
     assert len(found) == len(odd_rows())
