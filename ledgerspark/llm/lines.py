@@ -64,9 +64,9 @@ def remove_repeated_lines(documents: DataFrame) -> DataFrame:
     """
     scratch = Scratch(documents.sparkSession, "lines")
     runs = repeated_runs(scratch, documents)
-    gone = runs.groupBy("doc_id").agg(
-        F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + F.col("n") - 1)))).alias("gone"),
-        F.max("n").alias("longest_run"))
+    # Every line of a longer run but its last starts a run of two, so the starts and the lines after them are all places.
+    starts = runs.groupBy("doc_id").agg(F.collect_set("at").alias("starts"), F.max("n").alias("longest_run"))
+    gone = starts.select("doc_id", F.array_union("starts", F.transform("starts", lambda at: at + 1)).alias("gone"), "longest_run")
     rows = documents.select("doc_id", F.coalesce(lines_of(F.col("text")), F.array().cast("array<string>")).alias("lines"))
     rows = rows.join(scratch.store("gone", gone), "doc_id", "left")
     count = F.size("lines")

@@ -96,6 +96,15 @@ def test_long_line_runs(spark):
     assert {r.doc_id: r.longest_run for r in found.collect()}[2] == 32
 
 
+def test_a_very_long_run_of_lines(spark):
+    """One row of a document takes as many places as it has lines."""
+    run = [f"row {i}" for i in range(60_000)]
+    rows = [(1, "\n".join(run)), (2, "\n".join(["own", *run, "own too"]))]
+    found = {r.doc_id: r for r in remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1].n_removed == 0 and found[2].n_removed == len(run)
+    assert found[2].kept == "own\nown too" and found[2].longest_run == 32768
+
+
 # Near duplicates.
 
 
