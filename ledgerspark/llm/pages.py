@@ -18,7 +18,8 @@ from ledgerspark.llm.common import Scratch
 HOSTS_KEPT = 500
 #: Joining of one host's wrappers is spread over so many groups first.
 SPREAD = 64
-#: Elements nested deeper are taken as children of the last level; their text stays.
+#: Elements nested deeper stay open until they end, but their text belongs to the last level, or to the element apart or
+#: of the main text below it that holds them.
 DEPTH = 50
 
 # Elements of HTML by their part in a page.
@@ -66,21 +67,22 @@ def telling(attributes: str) -> tuple[str, ...]:
 def parsed(page: str) -> Element:
     """The block elements of a page as a tree. Inline elements are part of the text; missing ends are supplied."""
     root = Element("html", ())
-    stack, run, at, links = [root], [], 0, 0
+    # Open elements: tag, the element of the tree that takes the text, and what that is below DEPTH.
+    stack, run, at, links = [("html", root, "")], [], 0, 0
 
     def flush() -> None:
         text = "".join(run)
         run.clear()
         if text and not text.isspace():
-            stack[-1].kids.append(text)
+            stack[-1][1].kids.append(text)
 
     def add(text: str) -> None:
         if text:
             run.append(html.unescape(text) if "&" in text else text)
             size = len(text) - text.count(" ")
-            stack[-1].chars += size
+            stack[-1][1].chars += size
             if links:
-                stack[-1].link_chars += size
+                stack[-1][1].link_chars += size
 
     while match := _TOKEN.search(page, at):
         add(page[at : match.start()])
@@ -116,29 +118,36 @@ def parsed(page: str) -> Element:
         flush()
         if closing:
             for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
+                if stack[depth][0] == tag:
                     del stack[depth:]
                     break
             links = 0
             continue
         if tag in CLOSES_P:
             for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == "p":
+                if stack[depth][0] == "p":
                     del stack[depth:]
                     break
-                if stack[depth].tag in BOUND:
+                if stack[depth][0] in BOUND:
                     break
         if tag in SAME:
             for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in SAME[tag]:
+                if stack[depth][0] in SAME[tag]:
                     del stack[depth:]
                     break
-                if stack[depth].tag in BOUND and stack[depth].tag not in ("td", "th"):
+                if stack[depth][0] in BOUND and stack[depth][0] not in ("td", "th"):
                     break
         element = Element(tag, telling(attributes))
-        stack[-1].kids.append(element)
-        if len(stack) < DEPTH and not attributes.endswith("/"):
-            stack.append(element)
+        _, outer, within = stack[-1]
+        part = ""
+        if len(stack) >= DEPTH:
+            part = "apart" if apart(element.label, False) else "main" if is_main(element.label) else ""
+            if within == "apart" or part in ("", within):
+                element, part = outer, within
+        if element is not outer:
+            outer.kids.append(element)
+        if not attributes.endswith("/"):
+            stack.append((tag, element, part))
     add(page[at:])
     flush()
     return root

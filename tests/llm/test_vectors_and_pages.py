@@ -89,6 +89,16 @@ def test_broken_pages(page):
     read(page)
 
 
+@pytest.mark.parametrize("deep", [0, 40, 60, 3000])
+def test_deep_elements_end_where_they_end(deep):
+    """Ends below the deepest level close no element above it, and what is apart there stays apart."""
+    inner = f"{'<div>' * deep}Deep text<aside>Apart <div>and inside</div> of it</aside> goes on{'</div>' * deep}"
+    page = f"<div><article><p>First paragraph.</p>{inner}<p>Last paragraph.</p></article></div><div>Outside</div>"
+    assert read(page) == "First paragraph. Deep text goes on Last paragraph."
+    article = "<article><p>The text.</p><nav>Menu <p>in it</p></nav><p>More of it.</p></article>"
+    assert read(f"{'<div>' * deep}<p>Before</p>{article}<p>After</p>{'</div>' * deep}") == "The text. More of it."
+
+
 def test_wrappers_are_union_free():
     pages = ["<article><h1>A</h1><p>x</p></article><footer>same</footer>",
              "<article><h1>B</h1><p>y</p><p>z</p></article><footer>same</footer>",
