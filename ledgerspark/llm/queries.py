@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import decontaminate, jaccard, language, licenses, lines, mixing, pages, substrings, token_files, topk
+from ledgerspark.llm import (
+    conversations,
+    decontaminate,
+    jaccard,
+    language,
+    licenses,
+    lines,
+    mixing,
+    pages,
+    substrings,
+    token_files,
+    topk,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_lines": lines.op8_repeated_lines,
         "op9_benchmark": decontaminate.op9_benchmark,
         "op10_token_files": token_files.op10_token_files,
+        "op13_conversation_trie": conversations.op13_conversation_trie,
     }
 
 
@@ -30,4 +43,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_embedding_top_k": topk.OP2_SQL,
         "op4_remove_repeats": substrings.OP4_SQL,
         "op8_repeated_lines": lines.OP8_SQL,
+        "op13_conversation_trie": conversations.OP13_SQL,
     }

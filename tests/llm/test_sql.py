@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         connection.execute(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     cursor = connection.execute(llm.oracle_sql()[name])
     columns = sorted(d[0] for d in cursor.description)
