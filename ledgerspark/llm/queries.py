@@ -15,6 +15,7 @@ from ledgerspark.llm import (
     lines,
     mixing,
     pages,
+    quality,
     substrings,
     token_files,
     topk,
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_lines": lines.op8_repeated_lines,
         "op9_benchmark": decontaminate.op9_benchmark,
         "op10_token_files": token_files.op10_token_files,
+        "op12_host_quality": quality.op12_host_quality,
         "op13_conversation_trie": conversations.op13_conversation_trie,
     }
 
@@ -43,5 +45,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_embedding_top_k": topk.OP2_SQL,
         "op4_remove_repeats": substrings.OP4_SQL,
         "op8_repeated_lines": lines.OP8_SQL,
+        "op12_host_quality": quality.OP12_SQL,
         "op13_conversation_trie": conversations.OP13_SQL,
     }
