@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm import (
+    alignment,
     conversations,
     decontaminate,
     jaccard,
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_lines": lines.op8_repeated_lines,
         "op9_benchmark": decontaminate.op9_benchmark,
         "op10_token_files": token_files.op10_token_files,
+        "op11_token_alignment": alignment.op11_token_alignment,
         "op12_host_quality": quality.op12_host_quality,
         "op13_conversation_trie": conversations.op13_conversation_trie,
     }
