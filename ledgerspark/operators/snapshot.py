@@ -21,9 +21,24 @@ def require_one_row_per_key(current: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"{key} is repeated or null, for example {examples}")
 
 
+def _alike(open_versions: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with the history's columns first and new ones last."""
+    new = {f.name.lower(): f for f in fresh.schema}
+    if missing := [c for c in open_versions.columns if c.lower() not in new]:
+        raise ContractError(f"the new rows lack the columns {missing} of the history")
+    old = {c.lower() for c in open_versions.columns}
+    added = [f for name, f in new.items() if name not in old]
+    open_versions = open_versions.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
+    return open_versions, fresh.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in open_versions.schema))
+
+
 def next_versions(open_versions: DataFrame | None, current: DataFrame, key: str, updated_at: str, run_ts: datetime,
                   close_deleted: bool = True) -> DataFrame:
-    """What the open versions become after seeing ``current``; closed versions are not needed for it."""
+    """What the open versions become after seeing ``current``; closed versions are not needed for it.
+
+    A column that only ``current`` has comes last and is null in versions from before; one that ``current`` lacks is an
+    error. Shared columns keep the history's types.
+    """
     require_one_row_per_key(current, key)
     when_type = "timestamp_ntz"
     fresh = current.withColumns({
@@ -32,8 +47,7 @@ def next_versions(open_versions: DataFrame | None, current: DataFrame, key: str,
     })
     if open_versions is None:
         return fresh
-    if open_versions.columns != fresh.columns:
-        raise ContractError(f"history has the columns {open_versions.columns}, the new rows {fresh.columns}")
+    open_versions, fresh = _alike(open_versions, fresh)
     columns = fresh.columns
     old = open_versions.select(F.col(key).alias("_key"), F.struct(*columns).alias("old"))
     new = fresh.select(F.col(key).alias("_key"), F.struct(*columns).alias("new"))
@@ -66,4 +80,4 @@ def snapshot_scd2(history: DataFrame | None, current: DataFrame, key: str, updat
         return next_versions(None, current, key, updated_at, run_ts, close_deleted)
     is_open = F.col(VALID_TO).isNull()
     live = next_versions(history.where(is_open), current, key, updated_at, run_ts, close_deleted)
-    return history.where(~is_open).unionByName(live)
+    return history.where(~is_open).unionByName(live, allowMissingColumns=True)

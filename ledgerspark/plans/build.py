@@ -115,12 +115,21 @@ def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, on_dup
             settings: Settings = Settings(), threads: int = 4, buckets: int | None = None) -> dict[str, DataFrame]:
     """Run every model that carries the tags; if some fail, the others still run and ``RunAllError`` names both.
 
-    Models do not depend on each other; a few run at a time, so small dimensions fill the gaps large facts leave.
+    Models do not depend on each other; a few run at a time. Each runs in a scheduler pool of its own, so that under fair
+    scheduling (``settings.SESSION_OPTIONS``) a large fact does not hold all cores from the dimensions.
     """
     models = select_models(*tags)
     targets = {model.name: target_of(spark, model, settings, buckets=buckets) for model in models}
+
+    def in_pool(model: Model) -> DataFrame:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", model.name)
+        try:
+            return run(model, sources, ctx, targets[model.name], on_duplicate)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
     with ThreadPoolExecutor(threads) as pool:
-        started = {m.name: pool.submit(run, m, sources, ctx, targets[m.name], on_duplicate) for m in models}
+        started = {m.name: pool.submit(in_pool, m) for m in models}
     failed = {name: future.exception() for name, future in started.items() if future.exception()}
     done = {name: future.result() for name, future in started.items() if name not in failed}
     if failed:

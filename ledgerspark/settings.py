@@ -51,6 +51,8 @@ SESSION_OPTIONS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Models that run side by side share the cores, each in a pool of its own.
+    "spark.scheduler.mode": "FAIR",
     # Bucketed writes keep a few files open instead of sorting their rows by bucket.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
     # Models have many columns; looking up the Python line of each one takes a third of the planning time.

@@ -3,11 +3,12 @@ from ledgerspark.sources.targets import (
     HistoryTarget,
     PartitionedTarget,
     RowLevelTarget,
+    StaleRunError,
     TableTarget,
     full_refresh,
     shared_folder,
     write_table,
 )
 
-__all__ = ["HistoryTarget", "PartitionedTarget", "RowLevelTarget", "SourceCatalog", "TableTarget", "full_refresh",
-           "qualified", "shared_folder", "table_name", "target_namespace", "write_table"]
+__all__ = ["HistoryTarget", "PartitionedTarget", "RowLevelTarget", "SourceCatalog", "StaleRunError",
+           "TableTarget", "full_refresh", "qualified", "shared_folder", "table_name", "target_namespace", "write_table"]

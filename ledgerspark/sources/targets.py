@@ -6,7 +6,7 @@ table is never overwritten while it is read. Large targets are bucketed by the k
 updates, not the target. It rewrites the whole table, as keys are hashes and even a small batch touches nearly
 every file.
 
-A ``PartitionedTarget`` rewrites only the partitions that a batch touches, with weaker atomicity. A ``HistoryTarget``
+A ``PartitionedTarget`` reads and writes only the months that a batch touches. A ``HistoryTarget``
 rewrites open versions only. Where the catalog has row-level updates, a ``RowLevelTarget`` leaves it all to the catalog.
 """
 
@@ -16,6 +16,7 @@ import logging
 import re
 import tempfile
 import uuid
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,8 +37,6 @@ from ledgerspark.settings import EPOCH
 
 KEPT_WATERMARK = "watermark."
 CREATED_AT = "_created_at"
-# Kept with a table: overwriting it replaces the partitions that the new rows have, and no others.
-OVERWRITE_GIVEN = {"partitionOverwriteMode": "dynamic"}
 _log = logging.getLogger("ledgerspark")
 
 
@@ -72,6 +71,14 @@ def remove_files(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def add_columns(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Give a table the columns that only the rows have; they are null in what it holds already."""
+    have = {c.lower() for c in spark.table(table).columns}
+    added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name.lower() not in have)
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+
+
 class _Staging:
     """Batches that are computed and settled once, as managed tables that go when the merge ends either way."""
 
@@ -262,87 +269,227 @@ class TableTarget:
 
 
 class PartitionedTarget:
-    """A merge target in one table, partitioned by the month of a date column; a merge rewrites touched months only.
+    """A merge target partitioned by the month of a date column; a merge reads and writes touched months only.
+
+    Every merge writes the new content of the months it touches as partitions of its own version number; the view then
+    names the version of each month that holds. Readers so see all of a merge or nothing, and a merge that fails leaves
+    partitions that nobody reads and the next merge drops.
 
-    The key column alone is matched first; it gives the months of matched rows, and the batch gives the others. Their
-    new content is staged and then put in place by Spark's dynamic partition overwrite, so I/O follows the touched
-    months, not the target. The months reach the driver: one value for each month of the calendar that the batch
-    touches. Weaker than ``TableTarget``: partitions are replaced one after the other, so a reader may see some months
-    before and others after a merge, and a failed merge must be run again. One writer at a time; keys do not repeat.
+    A narrow table beside the rows tells the months of each key. It is bucketed by the key: a merge finds the months of
+    matched rows by shuffling its batch and not the target's keys. A merge appends its keys there and rewrites
+    nothing; a key that moved keeps its former month too, which at worst has a month rewritten that need not be, until
+    ``compact`` writes the table anew. The number of ``buckets`` is used at the first load (by default that of shuffle
+    partitions) and then kept. The newest time of each system is kept per month, taken from the months a merge wrote, so
+    watermarks need no scan of the target.
+
+    ``keep_all`` keeps repeated keys: every row of an updated key takes the update, whatever its month. Months reach the
+    driver: a few values for each month of the calendar. One writer at a time.
     """
 
-    MONTH = "_month"
+    MONTH, VERSION = "_month", "_version"
 
-    def __init__(self, spark: SparkSession, name: str, key: str, date_column: str):
+    def __init__(self, spark: SparkSession, name: str, key: str, date_column: str, buckets: int | None = None):
         self.spark = spark
         self.name = name
         self.key = key
         self.date_column = date_column
+        self.buckets = buckets
+        self.rows_table = f"{name}_rows"
+        self.places_table = f"{name}_places"
         self.removed_rows = 0
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.name).drop(self.MONTH)
+        return self.spark.table(self.name)
 
     def watermarks(self, systems) -> dict[str, datetime]:
-        return high_watermarks(self.read(), systems)
+        kept = _PartitionedState.of(self).newest
+        if kept is None:
+            return high_watermarks(self.read(), systems)
+        by_system = {system.upper(): EPOCH for system in systems}
+        for (system, _), newest in kept.items():
+            if system in by_system:
+                by_system[system] = max(by_system[system], newest)
+        return by_system
 
     def newest(self) -> datetime:
-        return high_watermark(self.read())
+        kept = _PartitionedState.of(self).newest
+        return high_watermark(self.read()) if kept is None else max(kept.values(), default=EPOCH)
 
     def load(self, df: DataFrame, on_duplicate: str, modified: str = MODIFIED) -> DataFrame:
-        self._require_policy(on_duplicate)
+        require_policy(on_duplicate)
+        state = _PartitionedState.of(self) if self.exists() else _PartitionedState()
+        state.buckets = state.buckets or self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         with _Staging(self.spark, self.name) as staging:
             rows, self.removed_rows = staging.settled(df, self.key, on_duplicate, modified)
-            rows = self._with_month(rows).hint("rebalance", F.col(self.MONTH))
-            (rows.write.format("parquet").options(**OVERWRITE_GIVEN).partitionBy(self.MONTH).mode("overwrite")
-             .saveAsTable(self.name))
-        return self.read()
+            state.live, state.newest = {}, {}
+            state.first_places = state.version + 1
+            pairs = staging.stage(self._pairs(rows, state), state.buckets, self.key)
+            return self._write(self._with_month(rows), pairs, state, [], modified)
 
     def merge(self, updates: DataFrame, on_duplicate: str, modified: str = MODIFIED,
               keep_created: bool = False) -> DataFrame:
-        self._require_policy(on_duplicate)
+        require_policy(on_duplicate)
         keep = (CREATED_AT,) if keep_created else ()
+        state = _PartitionedState.of(self)
         with _Staging(self.spark, self.name) as staging:
             batch, self.removed_rows = staging.settled(updates, self.key, on_duplicate, modified)
-            target = self.spark.table(self.name)
-            matched = target.select(self.key, self.MONTH).join(batch.select(self.key), self.key, "left_semi")
-            months = matched.select(self.MONTH).union(self._with_month(batch).select(self.MONTH)).distinct()
-            touched = sorted(row[0] for row in months.collect())
+            pairs = staging.stage(self._pairs(batch, state), state.buckets, self.key)
+            touched = sorted(row[0] for row in self.touched_months(pairs).collect())
             if not touched:
                 return self.read()
-            old = target.where(F.col(self.MONTH).isin(touched))
-            merged = replace_rows(old.drop(self.MONTH), batch, batch.select(self.key), self.key, keep)
-            staged = staging.stage(self._with_month(merged))
-            new_columns = [f for f in staged.schema if f.name.lower() not in {c.lower() for c in target.columns}]
-            if new_columns:
-                added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new_columns)
-                self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({added})")
-            layout = self.spark.table(self.name).columns
-            filled = {row[0] for row in staged.select(self.MONTH).distinct().collect()}
-            staged.select(*layout).hint("rebalance", F.col(self.MONTH)).write.mode("overwrite").insertInto(self.name)
-            # A month whose rows all moved to others has nothing that could overwrite it.
-            for month in set(touched) - filled:
-                self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({self.MONTH} = '{month}')")
-        return self.read()
+            old = self._rows(state, touched)
+            if on_duplicate == "keep_all":
+                keys = pairs.select(self.key).distinct()
+                present = staging.stage(keys.join(self.places().select(self.key), self.key, "left_semi"))
+                merged = update_every_row(old, batch, self.key, present, keep)
+            else:
+                merged = replace_rows(old, batch, batch.select(self.key), self.key, keep)
+            return self._write(self._with_month(merged), pairs, state, touched, modified)
+
+    def places(self) -> DataFrame:
+        """(key, month) of the rows that hold, and of former ones; bucketed by the key."""
+        state = _PartitionedState.of(self)
+        return self.spark.table(self.places_table).where(F.col(self.VERSION).between(state.first_places, state.version))
+
+    def touched_months(self, pairs: DataFrame) -> DataFrame:
+        """The months of rows that a batch of (key, month) matches, and its own."""
+        matched = self.places().join(pairs.select(self.key), self.key, "left_semi")
+        return matched.select(self.MONTH).union(pairs.select(self.MONTH)).distinct()
+
+    def compact(self) -> None:
+        """Write the table of months anew from the rows; worth it when many merges have added to it."""
+        state = _PartitionedState.of(self)
+        self._drop_unfinished(state)
+        state.version += 1
+        state.first_places = state.version
+        pairs = self._rows(state, list(state.live), with_month=True).select(self.key, self.MONTH).distinct()
+        self._append_places(pairs.repartition(state.buckets, self.key), state)
+        state.publish(self)
+
+    def drop_old_versions(self) -> list[str]:
+        """Drop months that later versions replaced and former tables of months; call it when nobody reads them any more."""
+        state = _PartitionedState.of(self)
+        gone = [(month, version) for month, version in self._partitions() if state.live.get(month) != version]
+        for month, version in gone:
+            self.spark.sql(f"ALTER TABLE {self.rows_table} DROP IF EXISTS PARTITION ({self.MONTH} = '{month}', {self.VERSION} = {version})")
+        for row in self.spark.sql(f"SHOW PARTITIONS {self.places_table}").collect():
+            version = int(row[0].partition("=")[2])
+            if not state.first_places <= version <= state.version:
+                self.spark.sql(f"ALTER TABLE {self.places_table} DROP IF EXISTS PARTITION ({self.VERSION} = {version})")
+        return [f"{month}/{version}" for month, version in gone]
+
+    def _pairs(self, batch: DataFrame, state: _PartitionedState) -> DataFrame:
+        return self._with_month(batch).select(self.key, self.MONTH).distinct().repartition(state.buckets, self.key)
 
     def _with_month(self, df: DataFrame) -> DataFrame:
         month = F.date_format(F.col(self.date_column).cast("timestamp"), "yyyy-MM")
         return df.withColumn(self.MONTH, F.coalesce(month, F.lit("none")))
 
-    def _require_policy(self, on_duplicate: str) -> None:
-        if on_duplicate not in ("latest", "error"):
-            raise ValueError(f"a partitioned target holds one row per key: latest or error, not {on_duplicate!r}")
+    def _rows(self, state: _PartitionedState, months: list[str], with_month: bool = False) -> DataFrame:
+        """The rows that hold of some months."""
+        rows = self.spark.table(self.rows_table).where(state.holding(self, months))
+        return rows.drop(self.VERSION) if with_month else rows.drop(self.MONTH, self.VERSION)
+
+    def _partitions(self) -> list[tuple[str, int]]:
+        found = (dict(x.split("=") for x in row[0].split("/")) for row in self.spark.sql(f"SHOW PARTITIONS {self.rows_table}").collect())
+        return [(x[self.MONTH], int(x[self.VERSION])) for x in found]
+
+    def _drop_unfinished(self, state: _PartitionedState) -> None:
+        """Drop what a failed merge has written: it took the version that comes next."""
+        if self.spark.catalog.tableExists(self.rows_table):
+            for month, version in self._partitions():
+                if version > state.version:
+                    self.spark.sql(f"ALTER TABLE {self.rows_table} DROP IF EXISTS PARTITION ({self.MONTH} = '{month}', {self.VERSION} = {version})")
+        if self.spark.catalog.tableExists(self.places_table):
+            self.spark.sql(f"ALTER TABLE {self.places_table} DROP IF EXISTS PARTITION ({self.VERSION} = {state.version + 1})")
+
+    def _append_places(self, pairs: DataFrame, state: _PartitionedState) -> None:
+        (pairs.select(self.key, self.MONTH, F.lit(state.version).alias(self.VERSION)).write.format("parquet").mode("append")
+         .partitionBy(self.VERSION).bucketBy(state.buckets, self.key).saveAsTable(self.places_table))
+
+    def _write(self, rows: DataFrame, pairs: DataFrame, state: _PartitionedState, touched: list[str], modified: str) -> DataFrame:
+        """Write the new content of months as the next version and make it the one that holds."""
+        self._drop_unfinished(state)
+        state.version += 1
+        rows = rows.withColumn(self.VERSION, F.lit(state.version)).hint("rebalance", F.col(self.MONTH))
+        if self.spark.catalog.tableExists(self.rows_table):
+            add_columns(self.spark, self.rows_table, rows)
+            table = self.spark.table(self.rows_table)
+            have = {c.lower() for c in rows.columns}
+            missing = {f.name: F.lit(None).cast(f.dataType) for f in table.schema if f.name.lower() not in have}
+            rows.withColumns(missing).select(*table.columns).write.mode("append").insertInto(self.rows_table)
+        else:
+            rows.write.format("parquet").partitionBy(self.MONTH, self.VERSION).saveAsTable(self.rows_table)
+        self._append_places(pairs, state)
+        written = self.spark.table(self.rows_table).where(F.col(self.VERSION) == state.version)
+        state.live = {month: version for month, version in state.live.items() if month not in touched}
+        known = state.newest is not None and {"source_system", modified} <= set(written.columns)
+        newest = F.max(modified) if known else F.lit(None)
+        by = [self.MONTH, "source_system"] if known else [self.MONTH]
+        found = written.groupBy(*by).agg(newest.alias("newest")).collect()
+        state.live |= {row[self.MONTH]: state.version for row in found}
+        state.newest = None if not known else {k: v for k, v in state.newest.items() if k[1] in state.live and k[1] not in touched} | {
+            (row["source_system"] or "", row[self.MONTH]): row["newest"] for row in found if row["newest"]}
+        return state.publish(self)
+
+
+@dataclass
+class _PartitionedState:
+    """What the view of a ``PartitionedTarget`` keeps: the version of each month that holds, and the newest times by system and
+    month (None where the rows have none)."""
+
+    version: int = 0
+    first_places: int = 1
+    buckets: int = 0
+    live: dict[str, int] = field(default_factory=dict)
+    newest: dict[tuple[str, str], datetime] | None = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, target: PartitionedTarget) -> _PartitionedState:
+        kept = {row["key"]: row["value"] for row in target.spark.sql(f"SHOW TBLPROPERTIES {target.name}").collect()}
+        state = cls(int(kept["version"]), int(kept["places"]), int(kept["buckets"]))
+        state.live = {k.removeprefix("month."): int(v) for k, v in kept.items() if k.startswith("month.")}
+        state.newest = None if kept["watermarks"] == "none" else {
+            tuple(k.removeprefix(KEPT_WATERMARK).rsplit(".", 1)): datetime.fromisoformat(v) for k, v in kept.items() if k.startswith(KEPT_WATERMARK)}
+        return state
+
+    def holding(self, target: PartitionedTarget, months: list[str]) -> str:
+        """The condition for the partitions that hold of some months."""
+        by_version: dict[int, list[str]] = {}
+        for month in months:
+            if month in self.live:
+                by_version.setdefault(self.live[month], []).append(f"'{month}'")
+        parts = [f"({target.VERSION} = {v} AND {target.MONTH} IN ({', '.join(sorted(names))}))" for v, names in sorted(by_version.items())]
+        return " OR ".join(parts) or "false"
+
+    def publish(self, target: PartitionedTarget) -> DataFrame:
+        kept = {"version": self.version, "places": self.first_places, "buckets": self.buckets,
+                "watermarks": "none" if self.newest is None else "kept"}
+        kept |= {f"month.{month}": version for month, version in self.live.items()}
+        kept |= {f"{KEPT_WATERMARK}{system}.{month}": time.isoformat() for (system, month), time in (self.newest or {}).items()}
+        properties = ", ".join(f"'{k}' = '{v}'" for k, v in kept.items())
+        columns = ", ".join(f"`{c}`" for c in target.spark.table(target.rows_table).columns if c not in (target.MONTH, target.VERSION))
+        target.spark.sql(f"CREATE OR REPLACE VIEW {target.name} TBLPROPERTIES ({properties}) AS SELECT {columns} "
+                         f"FROM {target.rows_table} WHERE {self.holding(target, list(self.live))}")
+        return target.read()
+
+
+class StaleRunError(ValueError):
+    """A history was asked to see a state that is older than one it has seen."""
 
 
 class HistoryTarget:
     """A history table whose closed versions are never rewritten.
 
-    Open versions are a ``TableTarget`` of their own. The versions that a run closes go into a partition of that
-    run in a second table; the view shows partitions up to the newest finished run, so a failed run is not seen,
-    and running it again overwrites its partition.
+    Open versions are a ``TableTarget`` of their own. The versions that a run closes go into a partition of that run in a
+    second table. Runs are numbered; the view keeps the number and the time of the newest finished run and shows the
+    partitions up to it. A run that failed took the next number: it is not seen, and its partition goes when the next
+    run starts. A run with the time of the newest one is a run like others; one with an older time is refused before
+    anything is written, as its deletions would close versions before they began. A column that appears later is null in
+    versions from before. One writer at a time.
     """
 
     RUN = "_run"
@@ -360,30 +507,57 @@ class HistoryTarget:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def last_run(self) -> tuple[int, datetime | None]:
+        """Number and time of the newest finished run."""
+        if not self.exists():
+            return 0, None
+        kept = {row["key"]: row["value"] for row in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
+        if "run" not in kept:
+            raise RuntimeError(f"{self.name} does not keep its runs by number; build it anew")
+        return int(kept["run"]), datetime.fromisoformat(kept["run_ts"])
+
     def observe(self, current: DataFrame, updated_at: str, run_ts: datetime, close_deleted: bool = True) -> DataFrame:
         """Bring the history up to date with ``current``: one row per key, no null keys."""
-        stamp = run_ts.isoformat()
+        number, newest = self.last_run()
+        if newest and run_ts < newest:
+            raise StaleRunError(f"{self.name} has seen the state of {newest}; it cannot see that of {run_ts} after it")
         with _Staging(self.spark, self.name) as staging:
             seen = staging.stage(current)
-            before = self.open.read() if self.exists() else None
+            before = self.spark.table(self._open_version()) if number else None
             versions = staging.stage(next_versions(before, seen, self.key, updated_at, run_ts, close_deleted))
             is_open = F.col(VALID_TO).isNull()
-            closed = versions.where(~is_open).withColumn(self.RUN, F.lit(stamp))
-            if self.spark.catalog.tableExists(self.closed):
-                closed.write.mode("overwrite").insertInto(self.closed)
-            else:
-                closed.write.format("parquet").options(**OVERWRITE_GIVEN).partitionBy(self.RUN).saveAsTable(self.closed)
+            self._close(versions.where(~is_open), number + 1)
             columns = ", ".join(f"`{c}`" for c in versions.columns)
             self.open.replace(versions.where(is_open))
             live = self.open._live_version()
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT {columns} FROM {live} UNION ALL "
-                       f"SELECT {columns} FROM {self.closed} WHERE {self.RUN} <= '{stamp}'")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} "
+                       f"TBLPROPERTIES ('run' = '{number + 1}', 'run_ts' = '{run_ts.isoformat()}', 'open' = '{live}') "
+                       f"AS SELECT {columns} FROM {live} UNION ALL SELECT {columns} FROM {self.closed} WHERE {self.RUN} <= {number + 1}")
         return self.read()
 
     def drop_old_versions(self) -> list[str]:
-        """Drop open versions that earlier runs left; closed ones stay."""
+        """Drop open versions that earlier or failed runs left; closed ones stay."""
+        self.open._publish(self._open_version())
         return self.open.drop_old_versions()
 
+    def _open_version(self) -> str:
+        """The open versions that the newest finished run wrote; a failed one may have written others after it."""
+        kept = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").where("key = 'open'").first()
+        return kept["value"]
+
+    def _close(self, closed: DataFrame, number: int) -> None:
+        """Write the versions that a run closes into its partition, which no finished run has."""
+        closed = closed.withColumn(self.RUN, F.lit(number))
+        if not self.spark.catalog.tableExists(self.closed):
+            closed.write.format("parquet").partitionBy(self.RUN).saveAsTable(self.closed)
+            return
+        self.spark.sql(f"ALTER TABLE {self.closed} DROP IF EXISTS PARTITION ({self.RUN} = {number})")
+        add_columns(self.spark, self.closed, closed)
+        table = self.spark.table(self.closed)
+        have = {c.lower() for c in closed.columns}
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in table.schema if f.name.lower() not in have}
+        closed.withColumns(missing).select(*table.columns).write.mode("append").insertInto(self.closed)
+
 
 class RowLevelTarget:
     """A merge target in a catalog that runs MERGE itself. Unproven: no such catalog is installed here, and only

@@ -237,8 +237,6 @@ def test_rows_that_leave_a_month_and_new_columns(spark):
         [("a", "1", date(2020, 3, 1), at(1), 7), ("b", "2", date(2020, 2, 1), at(0), None)])
     with pytest.raises(op.DuplicateKeyError):
         table.merge(spark.createDataFrame(rows * 2, schema), "error")
-    with pytest.raises(ValueError, match="one row per key"):
-        table.load(spark.createDataFrame(rows, schema), "keep_all")
     assert table.merge(spark.createDataFrame([], schema), "latest").count() == 2
 
 

@@ -319,6 +319,27 @@ _TARGET = f"target as ({batch_one('fact_transactions')})"
 _PARTS = " union all ".join(f"select '{view}' as source_table, count(*) as n_rows from {view}" for view in VIEWS)
 
 
+def history_runs_sql() -> str:
+    """Three states of the customers, and what each run closes and leaves open."""
+    return f"""
+        with s1 as (select c_custkey as key, c_name as name, {duckdb_day('c_custkey % 1000')} as t from customer),
+             s2 as (select key, case when key % 5 = 0 then name || '/2' else name end as name,
+                           case when key % 5 = 0 then t + interval 1 day else t end as t from s1 where key % 10 <> 3
+                    union all select -key - 1, name, t from s1 where key < 10),
+             s3 as (select key, case when key % 7 = 0 or key % 10 = 3 then name || '/3' else name end as name,
+                           case when key % 7 = 0 or key % 10 = 3 then t + interval 3 day else t end as t from s1),
+             c2 as (select o.key, o.name, o.t, case when n.key is null then {RUN_TS} else n.t end as until
+                    from s1 o left join s2 n on o.key = n.key where n.key is null or n.t > o.t),
+             o2 as (select coalesce(n.key, o.key) as key, case when o.key is null or n.t > o.t then n.name else o.name end as name,
+                           case when o.key is null or n.t > o.t then n.t else o.t end as t from s2 n left join s1 o on o.key = n.key),
+             c3 as (select o.key, o.name, o.t, case when n.key is null then timestamp '2024-02-01' else n.t end as until
+                    from o2 o left join s3 n on o.key = n.key where n.key is null or n.t > o.t),
+             o3 as (select coalesce(n.key, o.key) as key, case when o.key is null or n.t > o.t then n.name else o.name end as name,
+                           case when o.key is null or n.t > o.t then n.t else o.t end as t from s3 n left join o2 o on o.key = n.key)
+        select key, name, t as valid_from, until as valid_to from c2 union all select * from c3
+        union all select key, name, t, cast(null as timestamp) from o3"""
+
+
 def oracle_sql() -> dict[str, str]:
     texts = {f"model_{name}": with_views(model_body(name)) for name in SHAPES}
     texts |= {f"upsert_{name}": upsert_sql(name) for name in SHAPES}
@@ -340,6 +361,16 @@ def oracle_sql() -> dict[str, str]:
                 (select coalesce(max(last_modified_date), timestamp '1900-01-01') - interval 30 day from target)""",
             _TARGET),
         "merge_partitioned_fact_transactions": upsert_sql("fact_transactions"),
+        "merge_partitioned_all_fact_transactions": merge_sql("fact_transactions"),
+        "history_runs": history_runs_sql(),
+        "history_added_column": f"""
+            with h as (select c_custkey as key, c_name as name, c_mktsegment as segment, {duckdb_day('c_custkey % 1000')} as t from customer)
+            select key, name, t as valid_from, case when key % 10 = 3 then timestamp '2024-02-01' when key % 2 = 0 then t + interval 1 day end as valid_to,
+                   cast(null as varchar) as segment from h
+            union all select key, name, t + interval 1 day, null, segment from h where key % 10 <> 3 and key % 2 = 0""",
+        "run_by_tag": with_views(" union all ".join(
+            f"select '{name}' as table_name, count(distinct {COLUMNS[name][0]}) as n_rows from ({model_body(name)})"
+            for name in SHAPES if name.startswith("dim_"))),
         "recent_rows": "select event_id, ts from events where ts >= timestamp '2024-01-31' - interval 3 day",
         "soft_delete_filter": """select o_orderkey, o_orderstatus from orders
             where not coalesce(case o_orderstatus when 'F' then true when 'O' then false end, false)""",

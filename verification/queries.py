@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from ledgerspark import functions as fn
 from ledgerspark import operators as op
-from ledgerspark.plans import MODELS, build, run
+from ledgerspark.plans import MODELS, build, run, run_all
 from ledgerspark.settings import RunContext, Settings
-from ledgerspark.sources import PartitionedTarget, TableTarget, shared_folder
+from ledgerspark.sources import HistoryTarget, PartitionedTarget, TableTarget, shared_folder
 from verification.erp_views import ErpViews, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,11 +56,20 @@ def two_runs(name: str, on_duplicate: str, spark: SparkSession, sf_dir: str) ->
     return result
 
 
+def _two_runs_by_month(on_duplicate: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = PartitionedTarget(spark, f"by_month_{uuid.uuid4().hex}", TRANSACTIONS.key, "transactiondate", FACT_BUCKETS)
+    run(TRANSACTIONS, ErpViews(spark, sf_dir, until=BATCH_ONE_UNTIL).catalog(), CONTEXT, target, on_duplicate)
+    return run(TRANSACTIONS, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, on_duplicate)
+
+
 def merge_partitioned_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs into a table partitioned by month, of which the second rewrites touched months only."""
-    target = PartitionedTarget(spark, f"by_month_{uuid.uuid4().hex}", TRANSACTIONS.key, "transactiondate")
-    run(TRANSACTIONS, ErpViews(spark, sf_dir, until=BATCH_ONE_UNTIL).catalog(), CONTEXT, target, "latest")
-    return run(TRANSACTIONS, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, "latest")
+    """Two runs into a table partitioned by month, of which the second reads and writes touched months only."""
+    return _two_runs_by_month("latest", spark, sf_dir)
+
+
+def merge_partitioned_all_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with repeated keys kept: every row of an updated key takes the update, in whatever month it is."""
+    return _two_runs_by_month("keep_all", spark, sf_dir)
 
 
 def _first_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +141,50 @@ def snapshot_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.snapshot_scd2(history, second, "key", "updated_at", CONTEXT.run_ts).drop("updated_at")
 
 
+def _customers(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+        F.expr("dateadd(DAY, cast(c_custkey % 1000 as int), timestamp_ntz'1995-01-01')").alias("updated_at"), *more)
+
+
+def history_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored history over three runs, of which the second has the time of the first.
+
+    The second time some customers are gone, some changed and some new; the third time others changed and the gone are back.
+    """
+    key, first = F.col("key"), _customers(spark, sf_dir)
+    later = lambda some, days, mark: {
+        "updated_at": F.when(some, F.expr(f"updated_at + interval {days} day")).otherwise(F.col("updated_at")),
+        "name": F.when(some, F.concat("name", F.lit(mark))).otherwise(F.col("name")),
+    }
+    second = first.where(key % 10 != 3).withColumns(later(key % 5 == 0, 1, "/2")).unionByName(first.where(key < 10).withColumn("key", -key - 1))
+    third = first.withColumns(later((key % 7 == 0) | (key % 10 == 3), 3, "/3"))
+    target = HistoryTarget(spark, f"history_{uuid.uuid4().hex}", "key")
+    for state, run_ts in [(first, CONTEXT.run_ts), (second, CONTEXT.run_ts), (third, datetime(2024, 2, 1))]:
+        history = target.observe(state, "updated_at", run_ts)
+    target.drop_old_versions()
+    return history.drop("updated_at")
+
+
+def history_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored history whose second state has a column that the first had not."""
+    key = F.col("key")
+    second = _customers(spark, sf_dir, F.col("c_mktsegment").alias("segment")).where(key % 10 != 3).withColumn(
+        "updated_at", F.when(key % 2 == 0, F.expr("updated_at + interval 1 day")).otherwise(F.col("updated_at")))
+    target = HistoryTarget(spark, f"history_{uuid.uuid4().hex}", "key")
+    target.observe(_customers(spark, sf_dir), "updated_at", CONTEXT.run_ts)
+    return target.observe(second, "updated_at", datetime(2024, 2, 1)).drop("updated_at")
+
+
+def run_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimensions run side by side into a database and schema of their own: rows per table."""
+    settings = Settings(target_database="spark_catalog", reporting_schema=f"tagged_{uuid.uuid4().hex}")
+    tables = run_all(spark, ErpViews(spark, sf_dir).catalog(), CONTEXT, "latest", tags=["dimension"], settings=settings)
+    counts = [spark.table(f"spark_catalog.{settings.reporting_schema}.{name}").agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(name).alias("table_name"), "n_rows") for name in tables]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def effective_dated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = ErpViews(spark, sf_dir)
     accounts = op.union_relations({
@@ -206,7 +259,8 @@ def assign_fiscal_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SINGLE: tuple[Query, ...] = (
     scan_sources, watermarks_by_source, incremental_watermark, incremental_lookback, incremental_lookback_configured,
-    merge_partitioned_fact_transactions, recent_rows, soft_delete_filter,
+    merge_partitioned_fact_transactions, merge_partitioned_all_fact_transactions, history_runs, history_added_column,
+    run_by_tag, recent_rows, soft_delete_filter,
     schema_append, snapshot_scd2, effective_dated_join, union_relations, surrogate_key, clean_numeric, safe_cast,
     normalize_amounts, fill_currency, standardize_contacts, assign_fiscal_period,
 )
