@@ -43,9 +43,10 @@ def repeat_per_match(rows: DataFrame, other: DataFrame, row_id: Column, other_id
     """The result of a left join whose right columns are all dropped: a row is repeated once per match.
 
     Only counts per id are joined, so the large side is aggregated before its shuffle and a hot id costs one
-    number per map task. A row without id has no match and passes by the join. The copies of a hot row are made in pieces
-    spread over all partitions by the whole row; the number of partitions is set because a piece is tiny before
-    it is expanded and would be coalesced with others.
+    number per map task. A row without id has no match and passes by the joins; a row with one match or none meets the
+    ids of several matches in an anti join and is not moved again. Only rows with several matches are cut into
+    pieces, which are spread over all partitions by the whole row; the number of partitions is set because a piece is
+    tiny before it is expanded and would be coalesced with others.
     """
     spark = rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -55,14 +56,14 @@ def repeat_per_match(rows: DataFrame, other: DataFrame, row_id: Column, other_id
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
     names = rows.columns
-    counted = rows.where(row_id.isNotNull()).withColumn("_row_id", row_id.cast("string")).join(
-        counts, F.col("_row_id") == F.col("_other_id"), "left"
-    )
-    copies = F.coalesce(F.col("_copies"), F.lit(1))
-    last_piece = F.floor((copies - 1) / COPIES_PER_ROW)
-    pieces = counted.select(
-        *names, copies.alias("_copies"), F.explode(F.sequence(F.lit(0), last_piece)).alias("_piece")
+    several = counts.where("_copies > 1")
+    with_id = rows.where(row_id.isNotNull()).withColumn("_row_id", row_id.cast("string"))
+    same = F.col("_row_id") == F.col("_other_id")
+    once = with_id.join(several.select("_other_id"), same, "left_anti").select(*names)
+    last_piece = F.floor((F.col("_copies") - 1) / COPIES_PER_ROW)
+    pieces = with_id.join(several, same).select(
+        *names, "_copies", F.explode(F.sequence(F.lit(0), last_piece)).alias("_piece")
     ).repartition(partitions, F.xxhash64(*names, "_piece"))
     size = F.least(F.lit(COPIES_PER_ROW), F.col("_copies") - F.col("_piece") * COPIES_PER_ROW).cast("int")
     copied = pieces.select(*names, F.explode(F.sequence(F.lit(1), size)).alias("_copy")).select(*names)
-    return copied.unionByName(rows.where(row_id.isNull()))
+    return once.unionByName(copied).unionByName(rows.where(row_id.isNull()))
