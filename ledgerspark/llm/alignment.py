@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 from ledgerspark.llm.common import Scratch, mixed
 from ledgerspark.llm.token_files import byte_characters, filesystem
 
-#: Characters of the units that one worker remembers before it starts anew.
-CACHE_CHARACTERS = 4_000_000
+#: Characters of the units that one worker remembers before it starts anew, and of those that it aligns together.
+CACHE_CHARACTERS = 16_000_000
+TOGETHER = 1 << 14
+#: Characters of the texts whose units one worker looks up before it aligns the new ones.
+TEXTS_CHARACTERS = 1 << 21
 #: Pairs are dealt by hash into this many buckets; shards are ranges of them.
 BUCKETS = 1 << 16
 #: Pairs that a shard of the hash function has on average, at most.
@@ -29,40 +32,11 @@ FAN = 64
 #: Shards that a worker holds when it looks up counts.
 HELD_SHARDS = 48
 
-_ODD = re.compile(r"\s\s|^\s|\s$")
+_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PLAIN_UNITS = re.compile(r"[ \n][^ \n]+")
 _CUTS = re.compile(r"(?<=\S)(?= +[^ ]|\n\S)")
 
 
-class Unit:
-    """A piece of text that both tokenizers cut by itself; ``links`` are codes of id pairs, first id in the upper half."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "links")
-
-    def __init__(self, a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> None:
-        ends_a, ends_b = len(a_bytes[a[0]]), len(b_bytes[b[0]])
-        i = j = from_a = from_b = 0
-        links, groups = [], []
-        while True:
-            links.append(a[i] << 32 | b[j])
-            if ends_a < ends_b:
-                i += 1
-                ends_a += len(a_bytes[a[i]])
-            elif ends_b < ends_a:
-                j += 1
-                ends_b += len(b_bytes[b[j]])
-            else:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-                if i == len(a):
-                    break
-                from_a, from_b = i, j
-                ends_a += len(a_bytes[a[i]])
-                ends_b += len(b_bytes[b[j]])
-        self.n_a, self.n_b, self.n_groups = len(a), len(b), len(groups)
-        self.groups, self.links = ";".join(groups), np.array(links, np.int64)
-
-
 class Tokenizers:
     """Both tokenizers, and units of texts: pieces whose tokens do not depend on what stands around them.
 
@@ -71,6 +45,9 @@ class Tokenizers:
     or a line feed, which is checked; if one had, a text would be one unit.
     """
 
+    #: What stands before units that are encoded together: a word that is one token in both, so that all begin alike.
+    BEFORE = " a"
+
     def __init__(self, a_path: str, b_path: str) -> None:
         import sentencepiece
         from tokenizers import Tokenizer
@@ -84,28 +61,37 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(x[3:5], 16)]) if self.b.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(pieces)]
         self.by_unit = not any("\n" in x or "▁" in x.lstrip("▁") for x in pieces)
-        self.prefix = [self.b.piece_to_id("▁"), self.b.piece_to_id("<0x0A>")]
+        # Ids as text, with what follows them within a group, at the end of its first half and at its end.
+        self.a_text, self.a_last = self._texts(len(names), ","), self._texts(len(names), "|")
+        self.b_text, self.b_last = self._texts(len(pieces), ","), self._texts(len(pieces), ";")
+        self.a_size, self.b_size = (np.array([len(x) for x in found], np.int64) for found in (self.a_bytes, self.b_bytes))
+
+    @staticmethod
+    def _texts(n: int, after: str) -> np.ndarray:
+        out = np.empty(n, object)
+        out[:] = [f"{i}{after}" for i in range(n)]
+        return out
 
     def units(self, text: str) -> list[str]:
         whole = " " + text
         if not self.by_unit:
             return [whole]
-        return _CUTS.split(whole) if _ODD.search(text) else _PLAIN_UNITS.findall(whole)
-
-    def unit(self, text: str) -> Unit | None:
-        """None where the tokens do not spell the text."""
-        a = self.a.encode(text, add_special_tokens=False).ids
-        if text[0] == " ":
-            b = self.b.encode(text[1:])
-        else:
-            b = self.b.encode(text)
-            if b[:2] != self.prefix:
-                return None
-            b = b[1:]
-        wanted = text.encode()
+        plain = not (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+                     or _OTHER_SPACE.search(text))
+        return _PLAIN_UNITS.findall(whole) if plain else _CUTS.split(whole)
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of units one after the other, or None where the tokens do not spell them."""
+        before = self.BEFORE if self.by_unit else ""
+        whole = before + "".join(texts)
+        a, b = self.a.encode_batch_fast([whole], add_special_tokens=False)[0].ids, self.b.encode(whole[1:])
+        wanted = whole.encode()
         if b"".join(map(self.a_bytes.__getitem__, a)) != wanted or b"".join(map(self.b_bytes.__getitem__, b)) != wanted:
             return None
-        return Unit(a, b, self.a_bytes, self.b_bytes)
+        skip = 1 if before else 0
+        if skip and (self.a_bytes[a[0]] != before.encode() or self.b_bytes[b[0]] != before.encode()):
+            raise ValueError("units cannot be encoded together with these tokenizers")
+        return np.array(a[skip:], np.int64), np.array(b[skip:], np.int64)
 
 
 _loaded: dict[tuple[str, str], Tokenizers] = {}
@@ -118,33 +104,106 @@ def tokenizers_of(a_path: str, b_path: str) -> Tokenizers:
 
 
 class Units(dict):
-    """The number of each unit that was met since the last ``clear``; unit -1 cannot be aligned."""
+    """The number of each unit that was met since the last ``clear``; units that wait are aligned together by ``resolve``.
+
+    By number, after that: ``valid`` (whether tokens spell the unit), ``sizes`` (tokens of both, groups and links, one row each) and
+    ``groups`` (their text). ``links`` are those of all units in order, as codes with the first id in the upper half.
+    """
 
     def __init__(self, tokenizers: Tokenizers) -> None:
         super().__init__()
-        self.tokenizers, self.found, self.characters = tokenizers, [], 0
+        self.tokenizers = tokenizers
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.waiting, self.characters, self.groups = [], 0, []
+        self.valid, self.sizes, self.links = np.zeros(0, bool), np.zeros((4, 0), np.int64), np.zeros(0, np.int64)
 
     def __missing__(self, text: str) -> int:
-        unit = self.tokenizers.unit(text)
+        number = self[text] = len(self)
+        self.waiting.append(text)
         self.characters += len(text) + 20
-        if unit is None:
-            number = -1
-        else:
-            number = len(self.found)
-            self.found.append(unit)
-        self[text] = number
         return number
 
     def of_text(self, text: str | None) -> list[int]:
-        """The units of a text in order; none for a text without tokens."""
-        if not text:
-            return []
-        numbers = [self[unit] for unit in self.tokenizers.units(text)]
-        return [] if -1 in numbers else numbers
-
-    def clear(self) -> None:
-        super().clear()
-        self.found, self.characters = [], 0
+        """The units of a text in order."""
+        return [self[unit] for unit in self.tokenizers.units(text)] if text else []
+
+    def resolve(self) -> None:
+        valid, sizes, links, texts, size = [self.valid], [self.sizes], [self.links], [], 0
+        out = (valid, sizes, links)
+        for text in self.waiting:
+            # A unit that ends in white space ends its text, and nothing may follow it.
+            if size + len(text) > TOGETHER or text[-1].isspace() or not self.tokenizers.by_unit:
+                self._align(texts, *out)
+                texts, size = [], 0
+            texts.append(text)
+            size += len(text)
+            if text[-1].isspace() or not self.tokenizers.by_unit:
+                self._align(texts, *out)
+                texts, size = [], 0
+        self._align(texts, *out)
+        self.waiting = []
+        self.valid, self.sizes, self.links = np.concatenate(valid), np.concatenate(sizes, axis=1), np.concatenate(links)
+
+    def _align(self, texts: list[str], valid: list, sizes: list, links: list) -> None:
+        """Two tokens overlap where a stretch between two ends of any tokens lies in both; each such stretch is one link."""
+        if not texts:
+            return
+        found = self.tokenizers.encoded(texts)
+        if found is None and len(texts) > 1:
+            for text in texts:
+                self._align([text], valid, sizes, links)
+            return
+        if found is None:
+            valid.append(np.zeros(1, bool))
+            sizes.append(np.zeros((4, 1), np.int64))
+            self.groups.append("")
+            return
+        a, b = found
+        tokenizers, n = self.tokenizers, len(texts)
+        unit_ends = np.cumsum([len(text.encode()) for text in texts])
+        a_ends, b_ends = np.cumsum(tokenizers.a_size[a]), np.cumsum(tokenizers.b_size[b])
+        both = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+        again = both[1:] == both[:-1]
+        common, ends = both[1:][again], both[np.append(True, ~again)]
+        unit_of = lambda at: np.bincount(np.searchsorted(unit_ends, at), minlength=n)
+        valid.append(np.ones(n, bool))
+        sizes.append(np.stack([unit_of(a_ends), unit_of(b_ends), unit_of(common), unit_of(ends)]))
+        links.append(a[np.searchsorted(a_ends, ends)] << 32 | b[np.searchsorted(b_ends, ends)])
+        group = np.concatenate([2 * np.searchsorted(common, a_ends), 2 * np.searchsorted(common, b_ends) + 1])
+        ends_group = np.zeros(int(ends[-1]) + 1, bool)
+        ends_group[common] = True
+        pieces = np.concatenate([np.where(ends_group[a_ends], tokenizers.a_last[a], tokenizers.a_text[a]),
+                                 np.where(ends_group[b_ends], tokenizers.b_last[b], tokenizers.b_text[b])])
+        pieces = pieces[np.argsort(group, kind="stable")].tolist()
+        stops = np.cumsum(sizes[-1][0] + sizes[-1][1]).tolist()
+        self.groups += ["".join(pieces[start:stop]) for start, stop in zip([0, *stops], stops)]
+
+
+_units: dict[tuple[str, str], Units] = {}
+
+
+def units_of(a_path: str, b_path: str) -> Units:
+    """The units that this worker remembers from earlier tasks, of either pass."""
+    if (a_path, b_path) not in _units:
+        _units[a_path, b_path] = Units(tokenizers_of(a_path, b_path))
+    return _units[a_path, b_path]
+
+
+def aligned_texts(units: Units, texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The units of some texts, one after the other, and where each text starts, with the end last. A text with a unit that
+    tokens do not spell has none."""
+    units.resolve()
+    lengths = np.array([len(numbers) for numbers in texts], np.int64)
+    flat = np.fromiter((n for numbers in texts for n in numbers), np.int64, int(lengths.sum()))
+    if not units.valid.all():
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        spelled = np.ones(len(texts), bool)
+        spelled[owner[~units.valid[flat]]] = False
+        flat, lengths = flat[spelled[owner]], np.where(spelled, lengths, 0)
+    return flat, np.concatenate([[0], np.cumsum(lengths)])
 
 
 class PerfectHash:
@@ -252,40 +311,47 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) ->
             yield tuple(int(c[start]) for c in found), batch.slice(start, stop - start)
 
 
+def _together(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column, some at a time; a long one alone."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text.as_py())
+        size += len(some[-1] or "")
+        if size > TEXTS_CHARACTERS:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def _partial_counts(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """First pass: (pair, n, bucket, part) with the links of each pair in the units a task remembers at a time."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, part = Units(tokenizers_of(a_path, b_path)), TaskContext.get().partitionId()
+        units, part = units_of(a_path, b_path), TaskContext.get().partitionId()
         times = np.zeros(0, np.int64)
 
-        def count(numbers: list[list[int]]) -> None:
-            nonlocal times
-            new = np.bincount([n for some in numbers for n in some], minlength=len(units.found))
-            new[:len(times)] += times
-            times = new
-
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal times
             if times.any():
-                pairs, place = np.unique(np.concatenate([u.links for u in units.found]), return_inverse=True)
+                weights = np.repeat(times, units.sizes[3])
+                met = weights > 0
+                pairs, place = np.unique(units.links[met], return_inverse=True)
                 n = np.zeros(len(pairs), np.int64)
-                np.add.at(n, place, np.repeat(times, [len(u.links) for u in units.found]))
-                pairs, n = pairs[n > 0], n[n > 0]
+                np.add.at(n, place, weights[met])
                 yield from _batches({"pair": (pairs, pa.int64()), "n": (n, pa.int64()), "bucket": (bucket_of(pairs), pa.int64()),
                                      "part": (np.full(len(pairs), part), pa.int64())}, len(pairs))
-            units.clear()
             times = np.zeros(0, np.int64)
 
         for batch in batches:
-            waiting = []
-            for text in batch.column(0):
-                waiting.append(units.of_text(text.as_py()))
+            for texts in _together(batch.column(0)):
+                flat, _ = aligned_texts(units, [units.of_text(text) for text in texts])
+                new = np.bincount(flat, minlength=len(units.valid))
+                new[:len(times)] += times
+                times = new
                 if units.characters > CACHE_CHARACTERS:
-                    count(waiting)
-                    waiting = []
                     yield from flush()
-            count(waiting)
+                    units.clear()
         yield from flush()
 
     return documents.select("text").mapInArrow(counted, "pair long, n long, bucket long, part long")
@@ -459,43 +525,41 @@ def aligned_tokens(documents: DataFrame, a_path: str, b_path: str, fan: int = FA
     scratch.drop("partial", "pairs", *(f"vectors-{i}" for i in range(step + 1)))
 
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, counts = Units(tokenizers_of(a_path, b_path)), Counts(folder, filled, width)
-        known, ready = np.zeros((6, 0), np.int64), np.zeros(0, bool)
+        units, counts = units_of(a_path, b_path), Counts(folder, filled, width)
+        known, ready = np.zeros((2, 0), np.int64), np.zeros(0, bool)
 
-        def learn(numbers: list[list[int]]) -> None:
-            """Adds the sums of units that are new. Units of texts that cannot be aligned are not counted anywhere."""
+        def learn(flat: np.ndarray) -> None:
+            """Looks up the sums of units that are new. Units of texts that cannot be aligned were not counted."""
             nonlocal known, ready
-            more = len(units.found) - len(ready)
+            more = len(units.valid) - len(ready)
             known, ready = np.pad(known, ((0, 0), (0, more))), np.pad(ready, (0, more))
-            needed = np.unique(np.array([n for some in numbers for n in some], np.int64))
-            at = needed[~ready[needed]]
-            if not len(at):
+            new = np.zeros(len(ready), bool)
+            new[flat] = True
+            new &= ~ready
+            n_links = units.sizes[3]
+            pairs, place = np.unique(units.links[np.repeat(new, n_links)], return_inverse=True)
+            if not len(pairs):
                 return
-            new = [units.found[i] for i in at]
-            links = np.concatenate([u.links for u in new])
-            pairs, place = np.unique(links, return_inverse=True)
             n = counts.of(pairs)
-            top = n == best_of[pairs & 0xFFFFFFFF]
-            starts = np.cumsum([0, *(len(u.links) for u in new)])[:-1]
-            rows = [[u.n_a for u in new], [u.n_b for u in new], [u.n_groups for u in new], [len(u.links) for u in new],
-                    np.add.reduceat(top[place].astype(np.int64), starts), np.add.reduceat(n[place], starts)]
-            known[:, at] = np.array(rows, np.int64)
-            ready[at] = True
+            top = (n == best_of[pairs & 0xFFFFFFFF]).astype(np.int64)
+            starts = np.concatenate([[0], np.cumsum(n_links[new])])[:-1]
+            known[:, new] = [np.add.reduceat(top[place], starts), np.add.reduceat(n[place], starts)]
+            ready |= new
 
         for batch in batches:
             start = 0
-            while start < batch.num_rows:
-                found, stop = [], start
-                while stop < batch.num_rows and units.characters <= CACHE_CHARACTERS:
-                    found.append(units.of_text(batch.column(1)[stop].as_py()))
-                    stop += 1
-                learn(found)
-                sums = np.array([known[:, numbers].sum(axis=1) for numbers in found], np.int64).reshape(-1, 6)
-                digests = [hashlib.sha256(";".join([units.found[i].groups for i in numbers]).encode()).hexdigest() if numbers else "" for numbers in found]
+            for texts in _together(batch.column(1)):
+                flat, ends = aligned_texts(units, [units.of_text(text) for text in texts])
+                learn(flat)
+                running = np.zeros((6, len(flat) + 1), np.int64)
+                np.cumsum(np.concatenate([units.sizes, known])[:, flat], axis=1, out=running[:, 1:])
+                sums, numbers = running[:, ends[1:]] - running[:, ends[:-1]], flat.tolist()
+                digests = [hashlib.sha256("".join([units.groups[i] for i in numbers[first:last]])[:-1].encode()).hexdigest() if last > first else ""
+                           for first, last in zip(ends.tolist(), ends[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start), *(pa.array(column) for column in sums.T), pa.array(digests, pa.string())],
+                    [batch.column(0).slice(start, len(texts)), *(pa.array(column) for column in sums), pa.array(digests, pa.string())],
                     [name.split()[0] for name in _RESULT.split(", ")])
-                start = stop
+                start += len(texts)
                 if units.characters > CACHE_CHARACTERS:
                     units.clear()
                     known, ready = known[:, :0], ready[:0]

@@ -129,11 +129,15 @@ def test_no_documents(spark, empty):
 
 
 def test_a_worker_starts_anew_when_its_memory_is_full(monkeypatch):
-    monkeypatch.setattr(alignment, "CACHE_CHARACTERS", 10)
+    monkeypatch.setattr(alignment, "TOGETHER", 8)
     units = alignment.Units(alignment.tokenizers_of(A, B))
-    assert len(units.of_text("one two three")) == 3 and units.characters > 10
+    texts = [units.of_text(t) for t in ("one two three", None, "a ▁ b", "one  ", "two")]
+    flat, ends = alignment.aligned_texts(units, texts)
+    assert list(ends) == [0, 3, 3, 3, 4, 5] and list(flat) == [0, 1, 2, units["one  "] if "one  " in units else flat[3], 1]
+    assert len(units.groups) == len(units.valid) == len(units) and (~units.valid).sum() == 1
+    assert len(units.links) == units.sizes[3].sum()
     units.clear()
-    assert units.of_text("two") == [0] and len(units.found) == 1
+    assert units.of_text("two") == [0] and alignment.aligned_texts(units, [[0]])[0].tolist() == [0]
 
 
 def test_perfect_hash_is_minimal_and_knows_its_keys(tmp_path):
