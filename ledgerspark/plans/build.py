@@ -21,10 +21,14 @@ from ledgerspark.plans.facts import FACTS
 from ledgerspark.plans.model import Model
 from ledgerspark.settings import RunContext, Settings
 from ledgerspark.sources.catalog import SourceCatalog, qualified, target_namespace
-from ledgerspark.sources.targets import HistoryTarget, PartitionedTarget, RowLevelTarget, TableTarget
+from ledgerspark.sources.declared import COLUMNS
+from ledgerspark.sources.targets import HistoryTarget, PartitionedTarget, RowLevelTarget, Staging, TableTarget
 
 Target = TableTarget | PartitionedTarget | RowLevelTarget
 
+#: Source tables that ``run_all`` reads once for all models that merge from them.
+SHARED_TABLES = ("fact_transaction",)
+
 MODELS: dict[str, Model] = {model.name: model for model in DIMENSIONS + FACTS}
 
 
@@ -112,11 +116,17 @@ class RunAllError(RuntimeError):
 
 
 def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, on_duplicate: str, tags=(),
-            settings: Settings = Settings(), threads: int = 4, buckets: int | None = None) -> dict[str, DataFrame]:
+            settings: Settings = Settings(), threads: int = 4, buckets: int | None = None,
+            shared: tuple[str, ...] = SHARED_TABLES) -> dict[str, DataFrame]:
     """Run every model that carries the tags; if some fail, the others still run and ``RunAllError`` names both.
 
     Models do not depend on each other; a few run at a time. Each runs in a scheduler pool of its own, so that under fair
     scheduling (``settings.SESSION_OPTIONS``) a large fact does not hold all cores from the dimensions.
+
+    Source tables named in ``shared`` that several incremental models read are scanned once: the columns that any of them
+    needs, newer than the lowest of their watermarks, are staged and each takes its part. First loads read for
+    themselves, as staging would write the whole source once more; so do the counts of all transactions of a customer,
+    which ``latest`` does not need.
     """
     models = select_models(*tags)
     targets = {model.name: target_of(spark, model, settings, buckets=buckets) for model in models}
@@ -124,12 +134,15 @@ def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, on_dup
     def in_pool(model: Model) -> DataFrame:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", model.name)
         try:
-            return run(model, sources, ctx, targets[model.name], on_duplicate)
+            return run(model, once, ctx, targets[model.name], on_duplicate)
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
-    with ThreadPoolExecutor(threads) as pool:
-        started = {m.name: pool.submit(in_pool, m) for m in models}
+    namespace = next(iter(targets.values())).name.rpartition(".")[0] if targets else ""
+    with Staging(spark, qualified(namespace, "run_all")) as staging:
+        once = sources.sharing(_shared_batches(sources, models, targets, shared, staging))
+        with ThreadPoolExecutor(threads) as pool:
+            started = {m.name: pool.submit(in_pool, m) for m in models}
     failed = {name: future.exception() for name, future in started.items() if future.exception()}
     done = {name: future.result() for name, future in started.items() if name not in failed}
     if failed:
@@ -137,6 +150,24 @@ def run_all(spark: SparkSession, sources: SourceCatalog, ctx: RunContext, on_dup
     return done
 
 
+def _shared_batches(sources: SourceCatalog, models: list[Model], targets: dict[str, TableTarget], shared: tuple[str, ...],
+                    staging: Staging) -> dict[tuple[str, str], DataFrame]:
+    """One staged batch for each shared table that several models with targets read by the same modification time."""
+    readers: dict[tuple[str, str, str], list[tuple[Model, Feed]]] = {}
+    for model in models:
+        for feed in model.feeds:
+            if feed.table in shared and feed.modified and targets[model.name].exists():
+                readers.setdefault((feed.source, feed.table, feed.modified), []).append((model, feed))
+    batches = {}
+    for (source, table, modified), found in readers.items():
+        if len(found) > 1:
+            lowest = min(targets[model.name].watermarks(model.systems)[feed.system] for model, feed in found)
+            rows = sources.resolve(source, table)
+            columns = COLUMNS.get((source, table), "").split() or rows.columns
+            batches[source, table] = staging.stage(rows.select(*columns).where(newer_than(modified, lowest)))
+    return batches
+
+
 def run_snapshot(target: HistoryTarget, current: DataFrame, updated_at: str, ctx: RunContext,
                  close_deleted: bool = True) -> DataFrame:
     """Bring a history table up to date with the current rows."""
@@ -144,7 +175,8 @@ def run_snapshot(target: HistoryTarget, current: DataFrame, updated_at: str, ctx
 
 
 def _feed_rows(model: Model, feed: Feed, sources: SourceCatalog, since, lookback, repeat_rows: bool) -> DataFrame:
-    df = sources.resolve(feed.source, feed.table)
+    newer = feed.modified and since is not None
+    df = sources.resolve_newer(feed.source, feed.table) if newer else sources.resolve(feed.source, feed.table)
     if feed.keep is not None:
         df = df.where(feed.keep())
     if feed.modified and since is not None:

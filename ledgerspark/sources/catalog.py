@@ -50,6 +50,18 @@ class SourceCatalog:
         self.spark = spark
         self.settings = settings
         self._given = dict(given or {})
+        self._batches: dict[tuple[str, str], DataFrame] = {}
+
+    def sharing(self, batches: dict[tuple[str, str], DataFrame]) -> SourceCatalog:
+        """The same sources, with rows that are newer than the watermarks of all who ask for newer ones read already."""
+        shared = SourceCatalog(self.spark, self.settings, self._given)
+        shared._batches = dict(batches)
+        return shared
+
+    def resolve_newer(self, source: str, table: str) -> DataFrame:
+        """At least the rows that are newer than the caller's watermark: those read already, else the whole table."""
+        batch = self._batches.get((source, table))
+        return self.resolve(source, table) if batch is None else batch
 
     def resolve(self, source: str, table: str) -> DataFrame:
         name = table_name(source, table, self.settings)

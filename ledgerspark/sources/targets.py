@@ -79,7 +79,7 @@ def add_columns(spark: SparkSession, table: str, rows: DataFrame) -> None:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
 
 
-class _Staging:
+class Staging:
     """Batches that are computed and settled once, as managed tables that go when the merge ends either way."""
 
     def __init__(self, spark: SparkSession, name: str):
@@ -87,7 +87,7 @@ class _Staging:
         self.name = name
         self.tables: list[str] = []
 
-    def __enter__(self) -> _Staging:
+    def __enter__(self) -> Staging:
         return self
 
     def __exit__(self, *failure) -> None:
@@ -174,7 +174,7 @@ class TableTarget:
         if on_duplicate == "keep_all":
             self.removed_rows = 0
             return self._publish(self._write_version(df, None, modified))
-        with _Staging(self.spark, self.name) as staging:
+        with Staging(self.spark, self.name) as staging:
             rows, self.removed_rows = staging.settled(df, self.key, on_duplicate, modified, buckets)
             return self._publish(self._write_version(rows, buckets, modified))
 
@@ -189,7 +189,7 @@ class TableTarget:
         """
         keep = (CREATED_AT,) if keep_created else ()
         buckets = None if on_duplicate == "keep_all" else self._live_buckets()
-        with _Staging(self.spark, self.name) as staging:
+        with Staging(self.spark, self.name) as staging:
             batch, self.removed_rows = staging.settled(updates, self.key, on_duplicate, modified, buckets)
             if on_duplicate == "keep_all":
                 # One read of the target's keys serves the check, the update and the insert.
@@ -322,7 +322,7 @@ class PartitionedTarget:
         require_policy(on_duplicate)
         state = _PartitionedState.of(self) if self.exists() else _PartitionedState()
         state.buckets = state.buckets or self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        with _Staging(self.spark, self.name) as staging:
+        with Staging(self.spark, self.name) as staging:
             rows, self.removed_rows = staging.settled(df, self.key, on_duplicate, modified)
             state.live, state.newest = {}, {}
             state.first_places = state.version + 1
@@ -334,7 +334,7 @@ class PartitionedTarget:
         require_policy(on_duplicate)
         keep = (CREATED_AT,) if keep_created else ()
         state = _PartitionedState.of(self)
-        with _Staging(self.spark, self.name) as staging:
+        with Staging(self.spark, self.name) as staging:
             batch, self.removed_rows = staging.settled(updates, self.key, on_duplicate, modified)
             pairs = staging.stage(self._pairs(batch, state), state.buckets, self.key)
             touched = sorted(row[0] for row in self.touched_months(pairs).collect())
@@ -521,7 +521,7 @@ class HistoryTarget:
         number, newest = self.last_run()
         if newest and run_ts < newest:
             raise StaleRunError(f"{self.name} has seen the state of {newest}; it cannot see that of {run_ts} after it")
-        with _Staging(self.spark, self.name) as staging:
+        with Staging(self.spark, self.name) as staging:
             seen = staging.stage(current)
             before = self.spark.table(self._open_version()) if number else None
             versions = staging.stage(next_versions(before, seen, self.key, updated_at, run_ts, close_deleted))

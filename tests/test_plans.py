@@ -15,7 +15,7 @@ from ledgerspark.operators.upsert import keys_present, replace_rows, update_ever
 from ledgerspark.plans import MODELS, build
 from ledgerspark.settings import NETSUITE, SAGE
 from ledgerspark.sources import SourceCatalog, TableTarget, shared_folder
-from ledgerspark.sources.targets import _Staging
+from ledgerspark.sources.targets import Staging
 from verification.erp_views import ErpViews
 from verification.queries import BATCH_ONE_UNTIL, CONTEXT
 
@@ -85,7 +85,7 @@ def test_merge_shuffles_the_batch_only(spark, stored, no_broadcast, share):
     target = TableTarget(spark, f"p_{uuid.uuid4().hex}", spec.key, 8, shared_folder(spark))
     target.load(build(spec, ErpViews(spark, FOLDER, until=BATCH_ONE_UNTIL).catalog(), CONTEXT), "latest")
     rows = build(spec, stored, CONTEXT).where(F.xxhash64(spec.key) % share == 0)
-    with _Staging(spark, target.name) as staging:
+    with Staging(spark, target.name) as staging:
         batch, _ = staging.settled(rows, spec.key, "latest", "last_modified_date", 8)
         text = plan(replace_rows(target.read(), batch, batch.select(spec.key), spec.key))
     tree = text[:text.index("\n\n")]

@@ -10,9 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark import operators as op
-from ledgerspark.sources import HistoryTarget, PartitionedTarget, StaleRunError, TableTarget
+from ledgerspark.plans import MODELS, run_all
+from ledgerspark.settings import RunContext, Settings
+from ledgerspark.sources import HistoryTarget, PartitionedTarget, SourceCatalog, StaleRunError, TableTarget
 from ledgerspark.sources import targets
 from ledgerspark.operators.joins import repeat_per_match
+from verification.erp_views import ErpViews
+from verification.queries import BATCH_ONE_UNTIL
 
 SCHEMA = "k string, v string, d date, source_system string, last_modified_date timestamp_ntz"
 
@@ -102,7 +106,7 @@ def by_month(spark):
 
 def test_touched_months_are_found_without_moving_the_targets_keys(spark, by_month):
     batch = spark.createDataFrame([("k1", "new", date(2021, 5, 5), "SAGE", at(99))], SCHEMA)
-    with targets._Staging(spark, by_month.name) as staging:
+    with targets.Staging(spark, by_month.name) as staging:
         pairs = staging.stage(by_month._pairs(batch, targets._PartitionedState.of(by_month)), 4, "k")
         options = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
         before = {name: spark.conf.get(name) for name in options}
@@ -186,3 +190,38 @@ def test_rows_with_one_match_are_not_moved_again(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression") == 1 and "LeftAnti" in plan and "Inner" in plan
     assert plan.index("LeftAnti") < plan.index("RepartitionByExpression")  # a branch of its own, before that of the pieces
+
+
+def test_facts_that_run_together_scan_their_source_once(spark):
+    """The second run of all facts, and of the customers who are counted by them, with and without sharing."""
+    folder, context = "/root/testdata/sf0.001", RunContext(datetime(2024, 1, 1), "one run", date(1998, 6, 30))
+    scans: Counter = Counter()
+
+    def counted(catalog: SourceCatalog) -> SourceCatalog:
+        resolve = catalog.resolve
+
+        class Counting(SourceCatalog):
+            def resolve(self, source, table):
+                scans[source, table] += 1
+                return resolve(source, table)
+
+            def sharing(self, batches):
+                shared = Counting(self.spark, self.settings, self._given)
+                shared._batches = dict(batches)
+                return shared
+
+        return Counting(spark, catalog.settings, catalog._given)
+
+    results = {}
+    for shared in ((), ("fact_transaction",)):
+        options = Settings(reporting_schema=f"space_{uuid.uuid4().hex}")
+        names = ["fact_transactions", "fact_budget", "fact_ebitda_adjs"]
+        run_all(spark, ErpViews(spark, folder, until=BATCH_ONE_UNTIL).catalog(), context, "latest", tags=["fact"], settings=options, buckets=4)
+        scans.clear()
+        done = run_all(spark, counted(ErpViews(spark, folder).catalog()), context, "latest", tags=["fact"], settings=options, shared=shared)
+        results[shared] = {name: bag(done[name]) for name in names}
+        wanted = 1 if shared else 3
+        assert scans == {("gold_netsuite", "fact_transaction"): wanted, ("gold_sage", "fact_transaction"): wanted}
+        assert not [t for t in spark.catalog.listTables(options.reporting_schema) if "staged" in t.name]
+    assert results[()] == results[("fact_transaction",)]
+    assert all(sum(found.values()) > 0 for found in results[()].values()) and set(MODELS) >= set(results[()])
