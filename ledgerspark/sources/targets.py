@@ -16,6 +16,7 @@ import logging
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -107,20 +108,29 @@ class Staging:
 
         Under ``error`` the check reads what was written, so the batch is not computed for it a second time.
         """
-        require_policy(on_duplicate)
-        before, after = Observation(), Observation()
-        one = F.count(F.lit(1)).alias("rows")
-        rows = df.observe(before, one)
-        if on_duplicate == "latest":
-            rows = settle(rows, key, on_duplicate, modified)
-        rows = rows.repartition(buckets, key) if buckets else rows
-        batch = self.stage(rows.observe(after, one), buckets, key)
+        rows, removed = _under_policy(df, key, on_duplicate, modified, self.name)
+        batch = self.stage(rows.repartition(buckets, key) if buckets else rows, buckets, key)
         if on_duplicate == "error":
             require_unique(batch, key)
-        removed = before.get["rows"] - after.get["rows"]
-        if removed:
-            _log.warning("%s: the policy %s removed %d rows of repeated keys", self.name, on_duplicate, removed)
-        return batch, removed
+        return batch, removed()
+
+
+def _under_policy(df: DataFrame, key: str, on_duplicate: str, modified: str, name: str) -> tuple[DataFrame, Callable[[], int]]:
+    """The rows under ``latest``, else as they are, and a function that tells, once they are written, how many went."""
+    require_policy(on_duplicate)
+    before, after = Observation(), Observation()
+    one = F.count(F.lit(1)).alias("rows")
+    rows = df.observe(before, one)
+    if on_duplicate == "latest":
+        rows = settle(rows, key, on_duplicate, modified)
+
+    def removed() -> int:
+        n = before.get["rows"] - after.get["rows"]
+        if n:
+            _log.warning("%s: the policy %s removed %d rows of repeated keys", name, on_duplicate, n)
+        return n
+
+    return rows.observe(after, one), removed
 
 
 class TableTarget:
@@ -319,15 +329,18 @@ class PartitionedTarget:
         return high_watermark(self.read()) if kept is None else max(kept.values(), default=EPOCH)
 
     def load(self, df: DataFrame, on_duplicate: str, modified: str = MODIFIED) -> DataFrame:
-        require_policy(on_duplicate)
+        """Rows go straight into the next version: until that is published nobody reads it, so repeats are looked for there."""
         state = _PartitionedState.of(self) if self.exists() else _PartitionedState()
         state.buckets = state.buckets or self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        with Staging(self.spark, self.name) as staging:
-            rows, self.removed_rows = staging.settled(df, self.key, on_duplicate, modified)
-            state.live, state.newest = {}, {}
-            state.first_places = state.version + 1
-            pairs = staging.stage(self._pairs(rows, state), state.buckets, self.key)
-            return self._write(self._with_month(rows), pairs, state, [], modified)
+        rows, removed = _under_policy(df, self.key, on_duplicate, modified, self.name)
+        state.live, state.newest = {}, {}
+        state.first_places = state.version + 1
+        written = self._write(self._with_month(rows), state)
+        if on_duplicate == "error":
+            require_unique(written, self.key)
+        self._append_places(written.select(self.key, self.MONTH).distinct().repartition(state.buckets, self.key), state)
+        self.removed_rows = removed()
+        return self._hold(written, state, [], modified)
 
     def merge(self, updates: DataFrame, on_duplicate: str, modified: str = MODIFIED,
               keep_created: bool = False) -> DataFrame:
@@ -347,7 +360,9 @@ class PartitionedTarget:
                 merged = update_every_row(old, batch, self.key, present, keep)
             else:
                 merged = replace_rows(old, batch, batch.select(self.key), self.key, keep)
-            return self._write(self._with_month(merged), pairs, state, touched, modified)
+            written = self._write(self._with_month(merged), state)
+            self._append_places(pairs, state)
+            return self._hold(written, state, touched, modified)
 
     def places(self) -> DataFrame:
         """(key, month) of the rows that hold, and of former ones; bucketed by the key."""
@@ -410,8 +425,8 @@ class PartitionedTarget:
         (pairs.select(self.key, self.MONTH, F.lit(state.version).alias(self.VERSION)).write.format("parquet").mode("append")
          .partitionBy(self.VERSION).bucketBy(state.buckets, self.key).saveAsTable(self.places_table))
 
-    def _write(self, rows: DataFrame, pairs: DataFrame, state: _PartitionedState, touched: list[str], modified: str) -> DataFrame:
-        """Write the new content of months as the next version and make it the one that holds."""
+    def _write(self, rows: DataFrame, state: _PartitionedState) -> DataFrame:
+        """Write the new content of months as the next version, and return it as it was written."""
         self._drop_unfinished(state)
         state.version += 1
         rows = rows.withColumn(self.VERSION, F.lit(state.version)).hint("rebalance", F.col(self.MONTH))
@@ -423,8 +438,10 @@ class PartitionedTarget:
             rows.withColumns(missing).select(*table.columns).write.mode("append").insertInto(self.rows_table)
         else:
             rows.write.format("parquet").partitionBy(self.MONTH, self.VERSION).saveAsTable(self.rows_table)
-        self._append_places(pairs, state)
-        written = self.spark.table(self.rows_table).where(F.col(self.VERSION) == state.version)
+        return self.spark.table(self.rows_table).where(F.col(self.VERSION) == state.version)
+
+    def _hold(self, written: DataFrame, state: _PartitionedState, touched: list[str], modified: str) -> DataFrame:
+        """Make the months of the version that was written the ones that hold, in place of those touched."""
         state.live = {month: version for month, version in state.live.items() if month not in touched}
         known = state.newest is not None and {"source_system", modified} <= set(written.columns)
         newest = F.max(modified) if known else F.lit(None)

@@ -182,6 +182,17 @@ def test_a_reload_forgets_what_was_there(spark, by_month):
     assert by_month.newest() == at(2)
 
 
+def test_a_load_with_repeats_is_refused_and_not_seen(spark, by_month):
+    repeated = spark.createDataFrame(rows_of(3) * 2, SCHEMA)
+    for table in (by_month, PartitionedTarget(spark, f"t_{uuid.uuid4().hex}", "k", "d", 4)):
+        there = table.exists()
+        with pytest.raises(op.DuplicateKeyError):
+            table.load(repeated, "error")
+        assert table.exists() == there
+        assert bag(table.load(repeated, "latest")) == Counter(rows_of(3)) and table.removed_rows == 3
+        assert table.places().count() == 3
+
+
 def test_rows_with_one_match_are_not_moved_again(spark):
     rows = spark.createDataFrame([(1, "one"), (2, "three"), (3, "none"), (None, "no id"), (None, "no id")], "id int, v string")
     other = spark.createDataFrame([(1,), (2,), (2,), (2,), (None,), (9,), (9,)], "o int")
