@@ -52,6 +52,6 @@ def test_pipeline_of_the_test_tables(spark):
 
 def test_registered_queries():
     names = llm.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(llm.oracle_sql()) <= set(names)
     assert len(odd_rows()) > 20 and len(corpus_pipeline.STAGES) == 5
