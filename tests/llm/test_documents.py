@@ -9,7 +9,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerspark.llm import jaccard
+from ledgerspark.llm.common import Scratch
 from ledgerspark.llm.decontaminate import Index, clean_documents, contaminated, shingle_codes
 from ledgerspark.llm.jaccard import near_duplicates, prefix_length
 from ledgerspark.llm.language import SAMPLE_BYTES, ContextTrees, identify_language, sample_texts
@@ -164,14 +164,39 @@ def test_prefixes_of_linked_sets_meet(n, other, data):
 
 def test_prefix_orders_are_total():
     rng = np.random.default_rng(1)
-    bucket = rng.permutation(1 << jaccard.SKETCH_BITS)[:9999]
-    orders = jaccard.Orders(pa.table({"bucket": bucket, "count": rng.integers(10, 5000, len(bucket))}), 3.0)
     codes = np.unique(rng.integers(0, 2**63, 500).astype(np.uint64))
-    for number in range(jaccard.ORDERS):
-        prefix = orders.prefix(codes, number)
+    for number in range(jaccard.HASH_ORDERS):
+        prefix = jaccard.hash_prefix(codes, number)
         assert len(prefix) == prefix_length(len(codes)) and set(prefix) <= set(codes)
         smaller = np.sort(np.setdiff1d(codes, prefix[:3]))
-        assert list(orders.prefix(smaller, number)[:5]) == list(prefix[3:8])
+        assert list(jaccard.hash_prefix(smaller, number)[:5]) == list(prefix[3:8])
+
+
+def test_several_texts_under_one_id(spark):
+    """A text of a repeated doc_id keeps its links when another text of that doc_id is a copy of a smaller document's."""
+    rng = random.Random(8)
+    a, b, c = (words(rng, 80).split() for _ in range(3))
+    rows = [(1, a), (5, a), (5, b), (9, b[:-1] + ["z"]), (12, c), (12, b[:40] + c[:40]), (15, c[:-1] + ["z"]), (16, b[:40] + c[:39] + ["z"])]
+    rows = [(d, " ".join(text)) for d, text in rows] * 2
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = bag(found.select("doc_id", "n_shingles", "component_id").collect())
+    assert found == expected_classes(rows)
+    assert {(d, c) for d, _, c in found} == {(1, 1), (5, 1), (9, 1), (12, 12), (15, 12), (16, 12)}
+
+
+def test_passages_in_unlike_documents_make_no_candidates(spark):
+    """A passage that hundreds of documents share beside text of their own puts none of them into the exact comparison."""
+    rng = random.Random(9)
+    passage = words(rng, 60)
+    rows = [(i, f"{words(rng, 150)} {passage} {words(rng, 150)}") for i in range(300)]
+    rows += [(300, rows[7][1] + " end"), (301, passage), (302, passage + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scratch = Scratch(spark, "test")
+    facts = scratch.store("facts", jaccard._facts(docs))
+    labelled = scratch.store("labelled", facts.drop("head").withColumn("first", F.col("doc_id")))
+    chosen = {r.doc_id for r in jaccard._chosen(scratch, facts, labelled).collect()}
+    assert {7, 300, 301, 302} <= chosen and len(chosen) < 20
+    assert bag(near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()) == expected_classes(rows)
 
 
 # Language.
