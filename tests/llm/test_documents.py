@@ -193,7 +193,7 @@ def test_passages_in_unlike_documents_make_no_candidates(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     scratch = Scratch(spark, "test")
     facts = scratch.store("facts", jaccard._facts(docs))
-    labelled = scratch.store("labelled", facts.drop("head").withColumn("first", F.col("doc_id")))
+    labelled = scratch.store("labelled", facts.drop("head").withColumns({"first": F.col("doc_id"), "c": F.lit(1)}))
     chosen = {r.doc_id for r in jaccard._chosen(scratch, facts, labelled).collect()}
     assert {7, 300, 301, 302} <= chosen and len(chosen) < 20
     assert bag(near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()) == expected_classes(rows)
