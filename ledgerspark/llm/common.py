@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -118,10 +119,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-
-
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(max(n, 1), base, np.uint64)
     out[0] = 1
@@ -129,10 +126,12 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Words:
-    """The words of some texts: ``count`` of each text, and 64-bit ``codes`` of the words in order.
+    """The words of some texts: ``count`` of each text, and two lanes of 64-bit codes of the words in order, ``codes`` and
+    ``codes2``.
 
     ``lower`` puts A-Z in lower case; ``plain`` puts all letters in lower case, and ASCII marks end a word and belong
-    to none.
+    to none. A word's code is the sum of a mix of each byte with its place in the word, which no pattern of bytes cancels;
+    the second lane adds up another mix.
     """
 
     def __init__(self, texts: pa.Array, lower: bool = False, plain: bool = False) -> None:
@@ -151,13 +150,25 @@ class Words:
         self.data = data
         self.firsts = np.searchsorted(self.begins, starts)
         self.count = np.diff(self.firsts)
-        # The sum of byte values times powers of an odd base, shifted to the word's start, with its length.
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), out=sums[1:])
-        back = _powers(pow(_BASE, -1, 1 << 64), len(data))
-        lengths = (self.ends - self.begins).astype(np.uint64)
-        spans = sums[self.ends] - sums[self.begins]
-        self.codes = mixed((spans * back[self.begins] if len(data) else spans) + lengths * np.uint64(0xA0761D6478BD642F))
+        self.lengths = self.ends - self.begins
+        self._inside = inside
+        self.codes = self._lane(False)
+
+    def _lane(self, second: bool) -> np.ndarray:
+        if not len(self.begins):
+            return np.zeros(0, np.uint64)
+        offsets = np.cumsum(self.lengths) - self.lengths
+        units = np.arange(1, self.lengths.sum() + 1) - np.repeat(offsets, self.lengths)
+        units <<= 8
+        units |= self.data[self._inside]
+        terms = mixed(units.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        if second:
+            terms = mixed(terms + np.uint64(0xD1342543DE82EF95))
+        return mixed(np.add.reduceat(terms, offsets) + self.lengths.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+
+    @cached_property
+    def codes2(self) -> np.ndarray:
+        return self._lane(True)
 
     def owner(self) -> np.ndarray:
         """The text of each word."""
@@ -165,14 +176,17 @@ class Words:
 
 
 def gram_codes(codes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
-    """64-bit codes of all runs of n codes, by their first one; they run on over the ends of texts."""
+    """64-bit codes of all runs of n codes, by their first one; they run on over the ends of texts.
+
+    Each place of a run has a factor of its own, as those of a polynomial would let words in certain patterns cancel.
+    """
     size = len(codes) - n + 1
     if size <= 0:
         return np.zeros(0, np.uint64)
-    base = mixed(np.uint64(2 * seed + 1) * np.array([0x8CB92BA72F3D8DD7], np.uint64))[0] | np.uint64(1)
+    places = np.arange(1, n + 1, dtype=np.uint64) + np.uint64((seed + 1) << 32)
     out = np.zeros(size, np.uint64)
-    for i in range(n):
-        out = out * base + codes[i : i + size]
+    for i, factor in enumerate(mixed(places * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)):
+        out += codes[i : i + size] * factor
     return mixed(out)
 
 

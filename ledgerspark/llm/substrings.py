@@ -27,8 +27,8 @@ class Pieces:
     """The windows of some texts, cut into paths of consecutive windows with one minimizer.
 
     The minimizer and its place in the window follow from the window's words alone, so equal windows lie at
-    equal places of paths with equal minimizers. ``text``, ``at`` (word), ``n`` (windows), ``minimizer`` and
-    ``digest`` (of all words of the path) describe the paths.
+    equal places of paths with equal minimizers. ``text``, ``at`` (word), ``n`` (windows), ``minimizer``,
+    ``digest`` and ``digest2`` (of all words of the path, by their two codes) describe the paths.
     """
 
     def __init__(self, texts: pa.Array) -> None:
@@ -36,7 +36,7 @@ class Pieces:
         codes = words.codes
         grams = gram_codes(codes, GRAM)
         self.text = self.at = self.n = np.zeros(0, np.int64)
-        self.minimizer = self.digest = np.zeros(0, np.uint64)
+        self.minimizer = self.digest = self.digest2 = np.zeros(0, np.uint64)
         if len(codes) < WINDOW:
             return
         value, place = grams, np.arange(len(grams))
@@ -64,16 +64,20 @@ class Pieces:
         self.text = owner[start]
         self.at = start - words.firsts[self.text]
         self.minimizer = grams[mine]
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(codes * _powers(_BASE, len(codes)), out=sums[1:])
         length = self.n + WINDOW - 1
-        back = _powers(pow(_BASE, -1, 1 << 64), len(codes))
-        self.digest = mixed((sums[start + length] - sums[start]) * back[start]
-                            + (length * 64 + mine - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        back = _powers(pow(_BASE, -1, 1 << 64), len(codes))[start]
+        cut = (length * 64 + mine - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+
+        def digest(lane: np.ndarray) -> np.ndarray:
+            sums = np.zeros(len(lane) + 1, np.uint64)
+            np.cumsum(lane * _powers(_BASE, len(lane)), out=sums[1:])
+            return mixed((sums[start + length] - sums[start]) * back + cut)
+
+        self.digest, self.digest2 = digest(codes), digest(words.codes2)
 
 
 def pieces_of(documents: DataFrame, minimizers_only: bool = False) -> DataFrame:
-    """The paths of all texts: minimizer, and unless only that is wanted digest, doc_id, at, n."""
+    """The paths of all texts: minimizer, and unless only that is wanted digest, digest2, doc_id, at, n."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,23 +86,23 @@ def pieces_of(documents: DataFrame, minimizers_only: bool = False) -> DataFrame:
                 p = Pieces(batch.column(1).slice(start, stop - start))
                 columns = {"minimizer": signed(p.minimizer)}
                 if not minimizers_only:
-                    columns |= {"digest": signed(p.digest), "doc_id": pa.array(ids[start:stop][p.text]),
+                    columns |= {"digest": signed(p.digest), "digest2": signed(p.digest2), "doc_id": pa.array(ids[start:stop][p.text]),
                                 "at": pa.array(p.at.astype(np.int32)), "n": pa.array(p.n.astype(np.int32))}
                 yield pa.RecordBatch.from_pydict(columns)
 
-    schema = "minimizer long" if minimizers_only else "minimizer long, digest long, doc_id long, at int, n int"
+    schema = "minimizer long" if minimizers_only else "minimizer long, digest long, digest2 long, doc_id long, at int, n int"
     return documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(cut, schema)
 
 
 def windows_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Two codes (a, b), doc_id and place of each window in the wanted stretches (doc_id, spans of (at, n))."""
+    """Two codes (a, b: one from each lane), doc_id and place of each window in the wanted stretches (doc_id, spans of (at, n))."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, spans = batch.column(0).to_numpy(), batch.column(2)
             for start, stop in slices(batch.column(1)):
                 words = Words(batch.column(1).slice(start, stop - start))
-                a, b = gram_codes(words.codes, WINDOW, 1), gram_codes(words.codes, WINDOW, 2)
+                a, b = gram_codes(words.codes, WINDOW, 1), gram_codes(words.codes2, WINDOW, 2)
                 places, owners = [], []
                 for i, own in enumerate(spans.slice(start, stop - start).to_pylist()):
                     most = words.count[i] - WINDOW + 1
@@ -137,18 +141,19 @@ def repeated_spans(scratch: Scratch, documents: DataFrame) -> DataFrame:
     """Maximal runs of windows that repeat an earlier run: doc_id, at, n (windows), source_id, source_at.
 
     1. Minimizers that occur once belong to windows that occur once; only the others go on.
-    2. Equal paths (same minimizer and digest) are collapsed: all but the first in document order repeat it.
+    2. Equal paths (same minimizer and digests) are collapsed: all but the first in document order repeat it.
     3. Where paths with one minimizer differ, the windows of the first of each are compared one by one.
     4. What was found is compacted into runs along source coordinates.
     """
+    same = ["minimizer", "digest", "digest2"]
     counts = pieces_of(documents, minimizers_only=True).groupBy("minimizer").agg(F.count("*").alias("c"))
     repeated = scratch.store("repeated", counts.where("c > 1").select("minimizer"))
     pieces = scratch.store("pieces", pieces_of(documents).join(repeated, "minimizer"))
-    paths = scratch.store("paths", pieces.groupBy("minimizer", "digest").agg(
+    paths = scratch.store("paths", pieces.groupBy(*same).agg(
         F.min(F.struct("doc_id", "at")).alias("first"), F.max("n").alias("n"), F.count("*").alias("c")))
-    sources = paths.where("c > 1").select("minimizer", "digest", F.col("first.doc_id").alias("source_id"), F.col("first.at").alias("source_at"))
+    sources = paths.where("c > 1").select(*same, F.col("first.doc_id").alias("source_id"), F.col("first.at").alias("source_at"))
     later = F.struct("doc_id", "at") > F.struct("source_id", "source_at")
-    whole = scratch.store("whole", pieces.join(scratch.store("sources", sources), ["minimizer", "digest"]).where(later)
+    whole = scratch.store("whole", pieces.join(scratch.store("sources", sources), same).where(later)
                           .select("doc_id", "at", "n", "source_id", "source_at"))
     mixed_up = scratch.store("mixed", paths.groupBy("minimizer").agg(F.count("*").alias("c")).where("c > 1").select("minimizer"))
     unclear = paths.join(mixed_up, "minimizer").select(F.col("first.doc_id").alias("doc_id"), F.col("first.at").alias("at"), "n")
@@ -166,8 +171,8 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     """Removes each word that a window covers whose words also start earlier: doc_id, n_words, n_removed,
     kept_sha256 and kept (the text that stays).
 
-    Earlier means a smaller doc_id, or the same document and an earlier start. Windows are compared by 128 bits
-    of codes of all their words. Null and empty texts have no words. A row without doc_id has no place in the order
+    Earlier means a smaller doc_id, or the same document and an earlier start. Windows are compared by two
+    64-bit codes, each from codes of their own of all their words. Null and empty texts have no words. A row without doc_id has no place in the order
     and stays whole. Rows that share a doc_id and a place are the same occurrence: neither repeats the other; what
     is found for a doc_id holds for all its rows. Empty tables give no rows; other columns are not read.
     """
