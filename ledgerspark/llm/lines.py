@@ -10,72 +10,88 @@ from ledgerspark.llm.common import Scratch
 _BLANK = " \t\r\x0b\x0c"
 
 
+def solid_places(text: Column) -> Column:
+    """Where among the lines of a text those are that are not blank."""
+    lines = F.transform(F.split(text, "\n", -1), lambda x, i: F.when(F.btrim(x, F.lit(_BLANK)) != "", i))
+    return F.coalesce(F.array_compact(lines), F.array().cast("array<int>"))
+
+
 def lines_of(text: Column) -> Column:
     """The lines of a text, without blank ones."""
     return F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(_BLANK)) != "")
 
 
-def repeated_runs(scratch: Scratch, documents: DataFrame) -> DataFrame:
-    """Starts of line runs that occur earlier too: doc_id, at, n (a power of two, 2 at least), the longest for each start.
+def repeated_runs(scratch: Scratch, documents: DataFrame, least: int) -> DataFrame:
+    """Starts of runs of ``least`` lines or more that occur earlier too: doc_id, at, n (``least`` or a larger power of two),
+    the longest for each start.
 
-    A suffix is a document from one line on. Suffixes have equal ranks at level k if their first 2 ** k lines are equal:
-    the intervals of the suffix array whose common prefix is that long. The rank of twice the length is that of the pair of
-    ranks, so each level joins the suffixes with those 2 ** k lines on. A rank that only one suffix has ends there;
-    the doubling stops when no rank is shared. Ranks are 64-bit codes, and no global sort is needed to tell equal
-    prefixes. Within an interval all suffixes but the first in document order start a later copy. The longer runs of a
-    start are covered by those of the lines after it, so that the copies of any maximal run are covered whole.
+    A suffix is a document from one line on. Suffixes have equal ranks at a width if their first lines, that many, are
+    equal: the intervals of the suffix array whose common prefix is that long. The rank of twice the width is that of the
+    pair of ranks, so each level joins the suffixes with those one width on; ``least`` lines are two such stretches that
+    overlap. A rank that only one suffix has ends there; the doubling stops when no rank is shared. Ranks are 64-bit codes,
+    two of them, and no global sort is needed to tell equal prefixes apart. Within an interval all suffixes but the first in
+    document order start a later copy. The longer runs of a start are covered by those of the lines after it, so that the
+    copies of any maximal run are covered whole.
     """
     lines = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
         "doc_id", F.posexplode(lines_of(F.col("text"))).alias("at", "line"))
     lines = scratch.store("lines", lines.select("doc_id", "at", F.xxhash64("line").alias("rank"), F.xxhash64(F.lit(1), "line").alias("check")))
 
-    def shared(level: int, suffixes: DataFrame) -> DataFrame:
+    def shared(width: int, suffixes: DataFrame) -> DataFrame:
         """Suffixes whose rank another one has, with the interval's first."""
         groups = suffixes.groupBy("rank", "check").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("c")).where("c > 1")
-        groups = scratch.store(f"groups-{level}", groups.select("rank", "check", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at")))
-        return scratch.store(f"level-{level}", suffixes.join(groups, ["rank", "check"]))
+        groups = scratch.store(f"groups-{width}", groups.select("rank", "check", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at")))
+        return scratch.store(f"shared-{width}", suffixes.join(groups, ["rank", "check"]))
 
-    active, level, later = shared(0, lines), 0, None
-    while True:
-        width = 1 << level
+    def longer(active: DataFrame, width: int, step: int) -> DataFrame:
+        """Suffixes whose first ``width`` lines are shared, and those ``step`` on: the ranks of both together."""
         here = active.select("doc_id", "at", "rank", "check")
-        ahead = active.select("doc_id", (F.col("at") - width).alias("at"), F.col("rank").alias("rank2"), F.col("check").alias("check2"))
+        ahead = active.select("doc_id", (F.col("at") - step).alias("at"), F.col("rank").alias("rank2"), F.col("check").alias("check2"))
         pairs = here.join(ahead.distinct(), ["doc_id", "at"]).select(
             "doc_id", "at", F.xxhash64("rank", "rank2").alias("rank"), F.xxhash64("check", "check2", F.lit(1)).alias("check"))
-        level += 1
-        active = shared(level, scratch.store(f"pairs-{level}", pairs))
-        if active.isEmpty():
-            break
-        found = active.where(F.struct("doc_id", "at") > F.struct("first_id", "first_at")).select("doc_id", "at", F.lit(2 * width).alias("n"))
-        later = found if later is None else later.union(found)
-    if later is None:
-        return documents.sparkSession.createDataFrame([], "doc_id long, at int, n int")
-    return later.groupBy("doc_id", "at").agg(F.max("n").alias("n"))
-
-
-def remove_repeated_lines(documents: DataFrame) -> DataFrame:
-    """Deletes the later copies of all runs of two or more lines that occur earlier too: doc_id, n_lines, n_removed,
-    longest_run (a lower bound, the largest power of two), kept_sha256 and kept (the lines that stay, by line ends).
-
-    Earlier means a smaller doc_id, or the same document and an earlier line. Blank lines do not count and do not
-    stay. Null and empty texts have no lines. A row without doc_id stays whole; rows that share a doc_id and a
-    place are one occurrence, and what is found for a doc_id holds for all its rows. A line alone that recurs
-    stays. Empty tables give no rows; other columns are not read.
+        return shared(width + step, scratch.store(f"pairs-{width + step}", pairs))
+
+    def later(active: DataFrame, n: int) -> DataFrame:
+        return active.where(F.struct("doc_id", "at") > F.struct("first_id", "first_at")).select("doc_id", "at", F.lit(n).alias("n"))
+
+    active, width = shared(1, lines), 1
+    found = lines.select("doc_id", "at", F.lit(0).alias("n")).where("false")
+    while not active.isEmpty():
+        if width >= least:
+            found = found.union(later(active, width))
+        elif 2 * width > least:
+            found = found.union(later(longer(active, width, least - width), least))
+        active, width = longer(active, width, width), 2 * width
+    return found.groupBy("doc_id", "at").agg(F.max("n").alias("n"))
+
+
+def remove_repeated_lines(documents: DataFrame, least: int = 1) -> DataFrame:
+    """Deletes the later copies of all runs of ``least`` or more lines that occur earlier too: doc_id, n_lines, n_removed,
+    longest_run (a lower bound: ``least`` or a larger power of two), kept_sha256 and kept (the lines that stay, joined by
+    line ends).
+
+    Earlier means a smaller doc_id, or the same document and an earlier line. Blank lines are not counted, neither end a run
+    nor belong to one, and stay where they are. With ``least`` 1 a line that recurs alone goes too. Null and empty texts have
+    no lines. A row without doc_id stays whole; rows that share a doc_id and a place are one occurrence, and what is found for
+    a doc_id holds for all its rows. Empty tables give no rows; other columns are not read.
     """
+    if least < 1:
+        raise ValueError("a run has one line at least")
     scratch = Scratch(documents.sparkSession, "lines")
-    runs = repeated_runs(scratch, documents)
-    # Every line of a longer run but its last starts a run of two, so the starts and the lines after them are all places.
+    runs = repeated_runs(scratch, documents, least)
+    # Every line of a longer run but its last ones starts a run of ``least``, so the starts and the lines after them are all places.
     starts = runs.groupBy("doc_id").agg(F.collect_set("at").alias("starts"), F.max("n").alias("longest_run"))
-    gone = starts.select("doc_id", F.array_union("starts", F.transform("starts", lambda at: at + 1)).alias("gone"), "longest_run")
-    rows = documents.select("doc_id", F.coalesce(lines_of(F.col("text")), F.array().cast("array<string>")).alias("lines"))
-    rows = rows.join(scratch.store("gone", gone), "doc_id", "left")
-    count = F.size("lines")
-    places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    left = F.array_except(places, F.coalesce("gone", F.array().cast("array<int>")))
-    rows = rows.withColumn("left", left)
-    kept = F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n")
-    return rows.select("doc_id", count.cast("long").alias("n_lines"), (count - F.size("left")).cast("long").alias("n_removed"),
-                       F.coalesce("longest_run", F.lit(0)).cast("long").alias("longest_run"), kept.alias("kept")).select(
+    gone = F.array_distinct(F.flatten(F.transform("starts", lambda at: F.sequence(at, at + least - 1)))) if least > 1 else F.col("starts")
+    starts = scratch.store("gone", starts.select("doc_id", gone.alias("gone"), "longest_run"))
+    rows = documents.select("doc_id", F.split("text", "\n", -1).alias("lines"), solid_places(F.col("text")).alias("solid"))
+    rows = rows.join(starts, "doc_id", "left").select(
+        "doc_id", "lines", F.size("solid").cast("long").alias("n_lines"), F.coalesce("longest_run", F.lit(0)).cast("long").alias("longest_run"),
+        F.transform(F.coalesce("gone", F.array().cast("array<int>")), lambda i: F.get("solid", i)).alias("gone"), "solid")
+    # What is found for a doc_id may lie beyond the end of another of its texts.
+    rows = rows.withColumn("gone", F.array_intersect("solid", "gone"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    kept = F.coalesce(F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n"), F.lit(""))
+    return rows.select("doc_id", "n_lines", F.size("gone").cast("long").alias("n_removed"), "longest_run", kept.alias("kept")).select(
         "doc_id", "n_lines", "n_removed", "longest_run", F.sha2("kept", 256).alias("kept_sha256"), "kept")
 
 
@@ -84,21 +100,19 @@ def op8_repeated_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 OP8_SQL = r"""
-WITH d AS (
-    SELECT doc_id, list_filter(coalesce(string_split(text, chr(10)), []),
-                               lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> '') AS lines
-    FROM documents
-),
-pairs AS (
-    SELECT doc_id, i AS place, lines[i] || chr(10) || lines[i + 1] AS run FROM d, unnest(range(1, len(lines))) t(i)
-),
-later AS (
-    SELECT doc_id, place
-    FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, place) AS n FROM pairs)
-    WHERE n > 1
+WITH d AS (SELECT doc_id, coalesce(string_split(text, chr(10)), []) AS parts FROM documents),
+lines AS (
+    SELECT doc_id, i AS place, parts[i] AS line
+    FROM d, unnest(range(1, len(parts) + 1)) t(i)
+    WHERE trim(parts[i], ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> ''
 ),
-gone AS (SELECT doc_id, list(DISTINCT place + j) AS places FROM later, unnest(range(2)) t(j) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
-       sha256(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(coalesce(places, []), i)), chr(10))) AS kept_sha256
-FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id
+ranked AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, place) AS n FROM lines),
+counted AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE n > 1) AS n_removed,
+           coalesce(list(place) FILTER (WHERE n > 1), []) AS places
+    FROM ranked GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(parts, lambda x, i: NOT list_contains(coalesce(places, []), i)), chr(10))) AS kept_sha256
+FROM d LEFT JOIN counted ON d.doc_id = counted.doc_id
 """

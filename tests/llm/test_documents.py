@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerspark.llm import jaccard
-from ledgerspark.llm.common import Scratch
+from ledgerspark.llm.common import Scratch, Words, gram_codes
 from ledgerspark.llm.decontaminate import Index, clean_documents, contaminated, shingle_codes
 from ledgerspark.llm.jaccard import near_duplicates, prefix_length
 from ledgerspark.llm.language import SAMPLE_BYTES, ContextTrees, identify_language, sample_texts
@@ -34,6 +35,40 @@ def bag(rows):
     return Counter(map(tuple, rows))
 
 
+# Codes of words.
+
+
+def alternating(n):
+    """Two words of n bytes, each the other's complement, that sums of bytes times powers cannot tell apart modulo 2 ** 64."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_whose_bytes_would_cancel(spark, n):
+    one, two = alternating(n)
+    read = Words(pa.array([one, two, f" {one}\t", None, ""]))
+    assert list(read.count) == [1, 1, 1, 0, 0]
+    for lane in (read.codes, read.codes2):
+        assert lane[0] == lane[2] != lane[1]
+    assert read.codes[0] != read.codes2[0]
+    around = " ".join(f"word{i}" for i in range(15))
+    rows = [(1, f"{around} {one} {around}"), (2, f"{around} {two} {around}"), (3, one), (4, two), (5, f"{around} {one} {around}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in remove_repeats(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 31}
+    assert bag(near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()) == expected_classes(rows)
+    items = spark.createDataFrame([(0, one)], "item_id long, text string")
+    assert {r.doc_id for r in contaminated(docs, items).collect()} == {1, 3, 5}
+
+
+def test_words_in_patterns_that_would_cancel():
+    one, two = alternating(4096)
+    read = Words(pa.array([" ".join(one), " ".join(two)]))
+    for lane in (read.codes, read.codes2):
+        grams = gram_codes(lane, 4096)
+        assert grams[0] != grams[-1] and grams[0] == gram_codes(lane[:4096], 4096)[0]
+
+
 # Removal of repeated passages and lines.
 
 
@@ -74,28 +109,52 @@ def test_repeated_passages_in_repetitive_text(spark):
     assert bag(found.select("doc_id", "n_removed").collect()) == wanted
 
 
-def test_repeated_lines(odd):
-    def lines(text):
-        return [x for x in (text or "").split("\n") if x.strip(" \t\r\x0b\x0c")]
+def solid_lines(text):
+    """The lines of a text that are not blank."""
+    return [x for x in (text or "").split("\n") if x.strip(" \t\r\x0b\x0c")]
 
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_repeated_lines(odd, least):
     rows = [(r[0], r[1]) for r in odd_rows()]
-    wanted = bag((d, len(all_), len(all_) - len(kept), "\n".join(kept)) for d, kept, all_ in expected_repeats(rows, lines, 2))
-    found = remove_repeated_lines(odd).select("doc_id", "n_lines", "n_removed", "kept").collect()
-    assert bag(found) == wanted
-    assert {r.doc_id: r.n_removed for r in found}[18] == 2
+    kept_of = [kept for _, kept, _ in expected_repeats(rows, solid_lines, least)]
+    wanted = Counter()
+    for (doc_id, text), kept in zip(rows, kept_of):
+        own = solid_lines(text)
+        wanted[doc_id, len(own), len(own) - len(kept)] += 1
+    found = remove_repeated_lines(odd, least).collect()
+    assert bag((r.doc_id, r.n_lines, r.n_removed) for r in found) == wanted
+    assert all(r.kept_sha256 == hashlib.sha256(r.kept.encode()).hexdigest() for r in found)
+    assert bag((r.doc_id, *solid_lines(r.kept)) for r in found) == bag((d, *kept) for (d, _), kept in zip(rows, kept_of))
+    assert {r.doc_id: r.n_removed for r in found}[18] == (0 if least == 3 else 2)
+
+
+def test_blank_lines_stay_in_their_places(spark):
+    rows = [(1, "a\n\nb\n \nc\n"), (2, "\nb\n\nnew\n\t\na"), (3, "\n\n"), (4, "x\n\nx")]
+    found = {r.doc_id: r for r in remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: r.kept for d, r in found.items()} == {1: rows[0][1], 2: "\n\nnew\n\t", 3: "\n\n", 4: "x\n"}
+    assert {d: (r.n_lines, r.n_removed) for d, r in found.items()} == {1: (3, 0), 2: (3, 2), 3: (0, 0), 4: (2, 1)}
 
 
-def test_long_line_runs(spark):
+@pytest.mark.parametrize("least", [1, 2, 3, 4, 7])
+def test_long_line_runs(spark, least):
     rng = random.Random(2)
     run = [f"line {i}" for i in range(37)]
     rows = [(1, "\n".join(run)), (2, "\n".join(["own", *run[3:], "own too"])), (3, "\n".join(run * 2))]
     rows += [(10 + i, "\n".join(rng.choice("abc") for _ in range(rng.randint(0, 12)))) for i in range(30)]
-    wanted = bag((d, len(all_) - len(kept)) for d, kept, all_ in expected_repeats(rows, lambda t: [x for x in t.split("\n") if x], 2))
-    found = remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    wanted = bag((d, len(all_) - len(kept)) for d, kept, all_ in expected_repeats(rows, solid_lines, least))
+    found = remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), least)
     assert bag(found.select("doc_id", "n_removed").collect()) == wanted
     assert {r.doc_id: r.longest_run for r in found.collect()}[2] == 32
 
 
+def test_lines_that_never_repeat(spark):
+    docs = spark.createDataFrame([(1, "a\nb"), (2, "c")], "doc_id long, text string")
+    for least in (1, 2, 5):
+        assert {(r.doc_id, r.n_removed, r.longest_run, r.kept) for r in remove_repeated_lines(docs, least).collect()} == {
+            (1, 0, 0, "a\nb"), (2, 0, 0, "c")}
+
+
 def test_a_very_long_run_of_lines(spark):
     """One row of a document takes as many places as it has lines."""
     run = [f"row {i}" for i in range(60_000)]
