@@ -83,10 +83,12 @@ def remove_repeated_lines(documents: DataFrame, least: int = 1) -> DataFrame:
     starts = runs.groupBy("doc_id").agg(F.collect_set("at").alias("starts"), F.max("n").alias("longest_run"))
     gone = F.array_distinct(F.flatten(F.transform("starts", lambda at: F.sequence(at, at + least - 1)))) if least > 1 else F.col("starts")
     starts = scratch.store("gone", starts.select("doc_id", gone.alias("gone"), "longest_run"))
-    rows = documents.select("doc_id", F.split("text", "\n", -1).alias("lines"), solid_places(F.col("text")).alias("solid"))
-    rows = rows.join(starts, "doc_id", "left").select(
-        "doc_id", "lines", F.size("solid").cast("long").alias("n_lines"), F.coalesce("longest_run", F.lit(0)).cast("long").alias("longest_run"),
-        F.transform(F.coalesce("gone", F.array().cast("array<int>")), lambda i: F.get("solid", i)).alias("gone"), "solid")
+    # What is removed grows with the corpus, so this is a shuffle at every size; texts are split behind it.
+    rows = documents.select("doc_id", "text").join(starts.hint("merge"), "doc_id", "left").select(
+        "doc_id", F.split("text", "\n", -1).alias("lines"), solid_places(F.col("text")).alias("solid"), "gone",
+        F.coalesce("longest_run", F.lit(0)).cast("long").alias("longest_run"))
+    rows = rows.withColumn("n_lines", F.size("solid").cast("long")).withColumn(
+        "gone", F.transform(F.coalesce("gone", F.array().cast("array<int>")), lambda i: F.get("solid", i)))
     # What is found for a doc_id may lie beyond the end of another of its texts.
     rows = rows.withColumn("gone", F.array_intersect("solid", "gone"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
