@@ -102,17 +102,20 @@ def keys_present(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 
 
 def update_every_row(target: DataFrame, updates: DataFrame, key: str, present: DataFrame | None = None,
-                     keep: tuple[str, ...] = ()) -> DataFrame:
+                     keep: tuple[str, ...] = (), few: bool = False) -> DataFrame:
     """The merge for a target with repeated keys: each of its rows of an updated key takes the update's values.
 
     One left join, whose hot groups are on the side that can be split. ``present`` are the updates' keys that the
-    target holds, if the caller has them written already; they serve the check, the update and the insert.
+    target holds, if the caller has them written already; they serve the check, the update and the insert. With ``few``,
+    for a caller that has counted them, they and their rows are broadcast, and neither target nor updates are moved.
     """
     updates = _in_types_of(target, updates)
     present = keys_present(target, updates, key) if present is None else present
-    _raise_if_any(repeated_keys(updates, key).join(present, key, "left_semi"), key)
-    added = updates.join(present, key, "left_anti")
+    present = F.broadcast(present) if few else present
     matched = updates.join(present, key, "left_semi")
+    _raise_if_any(repeated_keys(matched, key), key)
+    added = updates.join(present, key, "left_anti")
+    matched = F.broadcast(matched) if few else matched
 
     kept = {c.lower() for c in keep} & {c.lower() for c in target.columns}
     values = {c.lower(): c for c in updates.columns if c.lower() != key.lower() and c.lower() not in kept}

@@ -5,10 +5,11 @@ from ledgerspark.sources.targets import (
     RowLevelTarget,
     StaleRunError,
     TableTarget,
+    buckets_for,
     full_refresh,
     shared_folder,
     write_table,
 )
 
 __all__ = ["HistoryTarget", "PartitionedTarget", "RowLevelTarget", "SourceCatalog", "StaleRunError",
-           "TableTarget", "full_refresh", "qualified", "shared_folder", "table_name", "target_namespace", "write_table"]
+           "TableTarget", "buckets_for", "full_refresh", "qualified", "shared_folder", "table_name", "target_namespace", "write_table"]

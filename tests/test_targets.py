@@ -236,3 +236,67 @@ def test_facts_that_run_together_scan_their_source_once(spark):
         assert not [t for t in spark.catalog.listTables(options.reporting_schema) if "staged" in t.name]
     assert results[()] == results[("fact_transaction",)]
     assert all(sum(found.values()) > 0 for found in results[()].values()) and set(MODELS) >= set(results[()])
+
+
+def test_a_load_is_written_once_and_moved_once(spark, monkeypatch):
+    def refuse(*args, **more):
+        raise AssertionError("the load is staged")
+
+    monkeypatch.setattr(targets.Staging, "stage", refuse)
+    rows = spark.createDataFrame(rows_of(40) + rows_of(3), SCHEMA)
+    table = TableTarget(spark, f"t_{uuid.uuid4().hex}", "k", 16)
+    table.load(rows, "latest")
+    assert bag(table.read()) == bag(spark.createDataFrame(rows_of(40), SCHEMA)) and table.removed_rows == 3
+    assert all(f.endswith(".zstd.parquet") for f in table.read().inputFiles())
+    settled = op.latest_per_key(rows, "k")
+    moved = lambda buckets: targets.in_buckets(settled, buckets, "k", "latest")._jdf.queryExecution().toString().count("hashpartitioning(k")
+    monkeypatch.setattr(targets, "FILES_PER_BUCKET", 1)
+    assert moved(16) == moved(8) == moved(None) == 1 < moved(12)
+
+
+def test_a_refused_load_leaves_no_version(spark):
+    table = TableTarget(spark, f"t_{uuid.uuid4().hex}", "k", 4)
+    with pytest.raises(op.DuplicateKeyError):
+        table.load(spark.createDataFrame(rows_of(4) + rows_of(2), SCHEMA), "error")
+    assert not table.exists() and not [t for t in spark.catalog.listTables() if t.name.startswith(table.name)]
+
+
+def test_buckets_grow_with_the_rows(spark):
+    partitions = targets.shuffle_partitions(spark)
+    assert targets.buckets_for(spark, 600_000, 8) == 8
+    many = targets.buckets_for(spark, 100_000_000, 8)
+    assert many % partitions == 0 and 400 <= many < 400 + partitions
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_few_repeats_are_settled_without_moving_the_others(spark, monkeypatch, few):
+    monkeypatch.setattr(targets, "FEW_KEYS", few)
+    later = [(k, "newer", d, s, at(60)) for k, _, d, s, _ in rows_of(3)]
+    nothing = [(None, "a", date(2020, 1, 1), "SAGE", at(1)), (None, "b", date(2020, 1, 1), "SAGE", at(2))]
+    df = spark.createDataFrame(rows_of(20) + later + nothing, SCHEMA)
+    with targets.Staging(spark, f"t_{uuid.uuid4().hex}") as staging:
+        found, removed = staging.settled_in_place(df, "k", "latest", "last_modified_date")
+        assert bag(found) == bag(op.latest_per_key(df, "k")) and removed == 4
+
+
+@pytest.mark.parametrize("few", [0, 100])
+@pytest.mark.parametrize("policy", ["latest", "keep_all"])
+def test_few_and_many_matches_merge_alike(spark, monkeypatch, policy, few):
+    monkeypatch.setattr(targets, "FEW_KEYS", few)
+    first = spark.createDataFrame(rows_of(40), SCHEMA)
+    batch = spark.createDataFrame([(f"k{i}", "new", date(2021, 1 + i % 3, 2), "SAGE", at(99)) for i in range(35, 50)], SCHEMA)
+    wanted = bag(op.upsert(first, batch, "k", policy))
+    by_month = PartitionedTarget(spark, f"t_{uuid.uuid4().hex}", "k", "d", 4)
+    whole = TableTarget(spark, f"t_{uuid.uuid4().hex}", "k")
+    for table in (by_month, whole):
+        table.load(first, policy)
+        assert bag(table.merge(batch, policy)) == wanted
+
+
+def test_rows_that_stay_in_a_touched_month_are_not_moved(spark, by_month, monkeypatch):
+    written = []
+    kept = PartitionedTarget._write
+    monkeypatch.setattr(PartitionedTarget, "_write", lambda self, rows, state: written.append(rows) or kept(self, rows, state))
+    by_month.merge(spark.createDataFrame([("k1", "new", date(2020, 2, 5), "SAGE", at(99))], SCHEMA), "latest")
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("RebalancePartitions") and "rightHint=(strategy=broadcast)" in plan

@@ -14,7 +14,7 @@ from ledgerspark import functions as fn
 from ledgerspark import operators as op
 from ledgerspark.plans import MODELS, build, run, run_all
 from ledgerspark.settings import RunContext, Settings
-from ledgerspark.sources import HistoryTarget, PartitionedTarget, TableTarget, shared_folder
+from ledgerspark.sources import HistoryTarget, PartitionedTarget, TableTarget, buckets_for, shared_folder
 from verification.erp_views import ErpViews, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONTEXT = RunContext(run_ts=datetime(2024, 1, 1), run_id="test-run", as_of_date=date(1998, 6, 30))
 BATCH_ONE_UNTIL = datetime(1998, 12, 31)
 TRANSACTIONS = MODELS["fact_transactions"]
-# For the test tables; a real target takes as many as its size asks for.
+# For the test tables; larger ones take as many as their rows ask for.
 FACT_BUCKETS = 8
 
 
+def _fact_buckets(spark: SparkSession, sf_dir: str) -> int:
+    """As many as the rows of the fact ask for: about one per line, which the footers of the files tell."""
+    return buckets_for(spark, read_table(spark, sf_dir, "lineitem").count(), FACT_BUCKETS)
+
+
 def scan_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of every source table."""
     views = ErpViews(spark, sf_dir)
@@ -48,7 +53,7 @@ def two_runs(name: str, on_duplicate: str, spark: SparkSession, sf_dir: str) ->
     every target row of an updated key take the update.
     """
     spec = MODELS[name]
-    buckets = FACT_BUCKETS if "fact" in spec.tags else None
+    buckets = _fact_buckets(spark, sf_dir) if "fact" in spec.tags and on_duplicate != "keep_all" else None
     target = TableTarget(spark, f"{name}_{uuid.uuid4().hex}", spec.key, buckets, shared_folder(spark), spec.systems)
     run(spec, ErpViews(spark, sf_dir, until=BATCH_ONE_UNTIL).catalog(), CONTEXT, target, on_duplicate)
     result = run(spec, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, on_duplicate)
@@ -57,7 +62,7 @@ def two_runs(name: str, on_duplicate: str, spark: SparkSession, sf_dir: str) ->
 
 
 def _two_runs_by_month(on_duplicate: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = PartitionedTarget(spark, f"by_month_{uuid.uuid4().hex}", TRANSACTIONS.key, "transactiondate", FACT_BUCKETS)
+    target = PartitionedTarget(spark, f"by_month_{uuid.uuid4().hex}", TRANSACTIONS.key, "transactiondate", _fact_buckets(spark, sf_dir))
     run(TRANSACTIONS, ErpViews(spark, sf_dir, until=BATCH_ONE_UNTIL).catalog(), CONTEXT, target, on_duplicate)
     return run(TRANSACTIONS, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, on_duplicate)
 
