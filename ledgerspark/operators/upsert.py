@@ -97,8 +97,15 @@ def replace_rows(target: DataFrame, updates: DataFrame, keys: DataFrame, key: st
 
 
 def keys_present(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """The updates' keys that the target holds: one read of the target's key column, no larger than the batch."""
-    return updates.select(key).distinct().join(target.select(key), key, "left_semi")
+    """The updates' keys that the target holds: one read of the target's key column, no larger than the batch.
+
+    Both key columns are grouped together, and each task hands on a key once. Repeated keys compress so well that Spark takes
+    the column for small; a join would broadcast every row of it to every task.
+    """
+    sides = [df.select(F.col(key), F.lit(updated).alias("_updated")) for df, updated in ((updates, True), (target, False))]
+    held = sides[0].union(sides[1]).where(F.col(key).isNotNull()).groupBy(key)
+    both = held.agg(F.max("_updated").alias("_new"), F.min("_updated").alias("_old")).where("_new AND NOT _old")
+    return both.select(F.col(key).cast(updates.schema[key].dataType).alias(key))
 
 
 def update_every_row(target: DataFrame, updates: DataFrame, key: str, present: DataFrame | None = None,

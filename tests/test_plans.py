@@ -102,6 +102,16 @@ def test_keeping_repeats_reads_the_targets_keys_once(spark, tmp_path, no_broadca
     assert text.count("/t]") == 1
 
 
+def test_keys_of_a_target_are_not_broadcast(spark, tmp_path):
+    """Repeated keys take few bytes in a file; a join would broadcast all their rows, however many."""
+    spark.range(0, 200_000, 1, 2).selectExpr("cast(id div 1000 as string) as k", "id as v").write.parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame([("3", 1), ("3", 2), ("199", 3), ("new", 4), (None, 5)], "k string, v long")
+    target = spark.read.parquet(str(tmp_path / "t")).union(spark.sql("SELECT cast(null AS string), 0L"))
+    found = keys_present(target, batch, "k")
+    assert "Join" not in plan(found) and "Broadcast" not in plan(found)
+    assert sorted(row["k"] for row in found.collect()) == ["199", "3"]
+
+
 def test_mapping_is_pruned_and_filtered(spark, tmp_path, no_broadcast):
     path = str(tmp_path / "mapping")
     views = ErpViews(spark, FOLDER)
