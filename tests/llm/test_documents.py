@@ -194,6 +194,31 @@ def test_near_duplicates(odd):
     assert bag(near_duplicates(odd).select("doc_id", "n_shingles", "component_id").collect()) == expected_classes(rows)
 
 
+def test_texts_that_are_not_wanted_again_are_not_moved(spark, monkeypatch):
+    """Only documents that are chosen, and a few whose bit is another's, reach the join that fetches their texts."""
+    monkeypatch.setattr(jaccard, "MARKS", 1 << 17)
+    docs = spark.range(-4000, 4000).selectExpr("id as doc_id", "'t' || id as text").union(spark.sql("SELECT null, 'x'"))
+    chosen = spark.createDataFrame([(-4000, 1, 2), (0, 3, 4), (0, 5, 6), (3999, 7, 8)], "doc_id long, s1 long, s2 long")
+    seen = jaccard._wanted(docs, chosen)
+    assert bag(seen.collect()) == bag([(-4000, "t-4000", 1, 2), (0, "t0", 3, 4), (0, "t0", 5, 6), (3999, "t3999", 7, 8)])
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan and plan.index("substring(bits") < plan.index("bitmap_construct_agg")
+
+
+def test_only_marked_texts_reach_the_sets(spark, monkeypatch):
+    read, before = [], jaccard._sets
+
+    def counted(documents):
+        read.append(documents._jdf.queryExecution().optimizedPlan().toString())
+        return before(documents)
+
+    monkeypatch.setattr(jaccard, "_sets", counted)
+    rows = [(i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(5)] + [(9, "a0 b0 c0 d0 e0 f0")]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 9: 0}
+    assert "substring(bits" in read[0]
+
+
 def test_chains_and_stars_of_near_duplicates(spark):
     """Copies with one to nine changed words of a text and of each other: links without a common hub, at every turn."""
     rng = random.Random(3)
