@@ -7,6 +7,7 @@ import io
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,6 @@ FAN = 64
 HELD_SHARDS = 48
 
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_PLAIN_UNITS = re.compile(r"[ \n][^ \n]+")
 _CUTS = re.compile(r"(?<=\S)(?= +[^ ]|\n\S)")
 
 
@@ -73,12 +73,21 @@ class Tokenizers:
         return out
 
     def units(self, text: str) -> list[str]:
-        whole = " " + text
+        """The units of a space and the text, by name: a unit without its first space, unless white space of a unit follows that."""
         if not self.by_unit:
-            return [whole]
+            return [self.name(" " + text)]
         plain = not (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
                      or _OTHER_SPACE.search(text))
-        return _PLAIN_UNITS.findall(whole) if plain else _CUTS.split(whole)
+        return text.replace("\n", " \n").split(" ") if plain else list(map(self.name, _CUTS.split(" " + text)))
+
+    @staticmethod
+    def name(unit: str) -> str:
+        return unit[1:] if unit[0] == " " and unit[1:2] not in ("", " ", "\n") else unit
+
+    @staticmethod
+    def spelled(name: str) -> str:
+        """The unit of a name."""
+        return name if name[0] in " \n" else " " + name
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """The ids of units one after the other, or None where the tokens do not spell them."""
@@ -117,34 +126,36 @@ class Units(dict):
 
     def clear(self) -> None:
         super().clear()
-        self.waiting, self.characters, self.groups = [], 0, []
+        self.waiting, self.alone, self.characters, self.groups = [], set(), 0, []
         self.valid, self.sizes, self.links = np.zeros(0, bool), np.zeros((4, 0), np.int64), np.zeros(0, np.int64)
 
-    def __missing__(self, text: str) -> int:
-        number = self[text] = len(self)
+    def __missing__(self, name: str) -> int:
+        number = self[name] = len(self)
+        text = self.tokenizers.spelled(name)
         self.waiting.append(text)
         self.characters += len(text) + 20
         return number
 
     def of_text(self, text: str | None) -> list[int]:
         """The units of a text in order."""
-        return [self[unit] for unit in self.tokenizers.units(text)] if text else []
+        if not text:
+            return []
+        known, numbers = len(self), list(map(self.__getitem__, self.tokenizers.units(text)))
+        # A unit that ends in white space ends its text, and nothing may follow it.
+        if numbers[-1] >= known and (text[-1].isspace() or not self.tokenizers.by_unit):
+            self.alone.add(numbers[-1] - len(self) + len(self.waiting))
+        return numbers
 
     def resolve(self) -> None:
-        valid, sizes, links, texts, size = [self.valid], [self.sizes], [self.links], [], 0
-        out = (valid, sizes, links)
-        for text in self.waiting:
-            # A unit that ends in white space ends its text, and nothing may follow it.
-            if size + len(text) > TOGETHER or text[-1].isspace() or not self.tokenizers.by_unit:
-                self._align(texts, *out)
-                texts, size = [], 0
-            texts.append(text)
-            size += len(text)
-            if text[-1].isspace() or not self.tokenizers.by_unit:
-                self._align(texts, *out)
-                texts, size = [], 0
-        self._align(texts, *out)
-        self.waiting = []
+        valid, sizes, links = [self.valid], [self.sizes], [self.links]
+        ends, start = np.cumsum([len(text) for text in self.waiting], dtype=np.int64), 0
+        for stop in sorted({*self.alone, *(i + 1 for i in self.alone), len(self.waiting)}):
+            while start < stop:
+                before = ends[start - 1] if start else 0
+                last = min(stop, max(start + 1, int(np.searchsorted(ends, before + TOGETHER, side="right"))))
+                self._align(self.waiting[start:last], valid, sizes, links)
+                start = last
+        self.waiting, self.alone = [], set()
         self.valid, self.sizes, self.links = np.concatenate(valid), np.concatenate(sizes, axis=1), np.concatenate(links)
 
     def _align(self, texts: list[str], valid: list, sizes: list, links: list) -> None:
@@ -197,7 +208,7 @@ def aligned_texts(units: Units, texts: list[list[int]]) -> tuple[np.ndarray, np.
     tokens do not spell has none."""
     units.resolve()
     lengths = np.array([len(numbers) for numbers in texts], np.int64)
-    flat = np.fromiter((n for numbers in texts for n in numbers), np.int64, int(lengths.sum()))
+    flat = np.fromiter(chain.from_iterable(texts), np.int64, int(lengths.sum()))
     if not units.valid.all():
         owner = np.repeat(np.arange(len(texts)), lengths)
         spelled = np.ones(len(texts), bool)
@@ -554,7 +565,7 @@ def aligned_tokens(documents: DataFrame, a_path: str, b_path: str, fan: int = FA
                 running = np.zeros((6, len(flat) + 1), np.int64)
                 np.cumsum(np.concatenate([units.sizes, known])[:, flat], axis=1, out=running[:, 1:])
                 sums, numbers = running[:, ends[1:]] - running[:, ends[:-1]], flat.tolist()
-                digests = [hashlib.sha256("".join([units.groups[i] for i in numbers[first:last]])[:-1].encode()).hexdigest() if last > first else ""
+                digests = [hashlib.sha256("".join(map(units.groups.__getitem__, numbers[first:last]))[:-1].encode()).hexdigest() if last > first else ""
                            for first, last in zip(ends.tolist(), ends[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)), *(pa.array(column) for column in sums), pa.array(digests, pa.string())],

@@ -151,3 +151,15 @@ def test_perfect_hash_is_minimal_and_knows_its_keys(tmp_path):
         shard.counts = shard.keys * 2
         again = alignment.Shard.read(str(tmp_path), shard.write(str(tmp_path)))
         assert (again.counts[again.index(keys)] == keys * 2).all()
+
+
+def test_names_of_units_spell_the_text():
+    """A worker looks units up by name, without the space that nearly all begin with; two units never share a name."""
+    known, names = alignment.tokenizers_of(A, B), {}
+    for text in ("one two", "one\ntwo", "one \ntwo", "\none", " one", "one  two", "one ", " ", "\n", " \n x", "a\t\tb c", "\tx", "x\n\n y",
+                 *(row[1] for row in odd_rows() if row[1])):
+        units = known.units(text)
+        assert "".join(map(known.spelled, units)) == " " + text
+        for name in units:
+            assert names.setdefault(known.spelled(name), name) == name and known.name(known.spelled(name)) == name
+    assert known.units("one\ntwo three") == ["one", "\ntwo", "three"]
