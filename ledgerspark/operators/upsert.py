@@ -105,7 +105,7 @@ def keys_present(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     sides = [df.select(F.col(key), F.lit(updated).alias("_updated")) for df, updated in ((updates, True), (target, False))]
     held = sides[0].union(sides[1]).where(F.col(key).isNotNull()).groupBy(key)
     both = held.agg(F.max("_updated").alias("_new"), F.min("_updated").alias("_old")).where("_new AND NOT _old")
-    return both.select(F.col(key).cast(updates.schema[key].dataType).alias(key))
+    return both.select(F.col(key).cast(updates.select(key).schema[0].dataType).alias(key))
 
 
 def update_every_row(target: DataFrame, updates: DataFrame, key: str, present: DataFrame | None = None,
