@@ -300,3 +300,51 @@ def test_rows_that_stay_in_a_touched_month_are_not_moved(spark, by_month, monkey
     by_month.merge(spark.createDataFrame([("k1", "new", date(2020, 2, 5), "SAGE", at(99))], SCHEMA), "latest")
     plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Union") < plan.index("RebalancePartitions") and "rightHint=(strategy=broadcast)" in plan
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_a_load_by_month_is_not_staged_and_settles_the_months_of_repeats(spark, monkeypatch, few):
+    """Wide rows go straight into their months; those of repeated keys, in whatever month, are then written once more."""
+    monkeypatch.setattr(targets, "FEW_KEYS", few)
+    staged, stage = [], targets.Staging.stage
+    monkeypatch.setattr(targets.Staging, "stage", lambda self, df, *more: staged.append(df.columns) or stage(self, df, *more))
+    # k1 (2020-02) is newer in 2020-05, k2 (2020-03) comes twice in its month, two rows without key share one with none.
+    more = [("k1", "newer", date(2020, 5, 1), "SAGE", at(60)), ("k2", "newer", date(2020, 3, 9), "SAGE", at(60)),
+            (None, "a", date(2020, 6, 1), "SAGE", at(1)), (None, "b", None, "SAGE", at(2))]
+    df = spark.createDataFrame(rows_of(40) + more, SCHEMA)
+    table = PartitionedTarget(spark, f"t_{uuid.uuid4().hex}", "k", "d", 4)
+    found = table.load(df, "latest")
+    assert few == 0 or not [columns for columns in staged if "v" in columns]
+    assert bag(found) == bag(op.latest_per_key(df, "k")) and table.removed_rows == 3
+    versions = {f.split("_month=")[1].split("/")[0]: f.split("_version=")[1].split("/")[0] for f in found.inputFiles()}
+    assert versions == {"2020-01": "1", "2020-04": "1", "2020-02": "2", "2020-03": "2", "2020-05": "2", "none": "2"}
+    assert table.drop_old_versions() == []
+    assert table.watermarks(["SAGE", "NETSUITE"]) == {"SAGE": at(60), "NETSUITE": at(38)}
+    batch = spark.createDataFrame([("k1", "newest", date(2020, 7, 1), "SAGE", at(70)), ("k3", "newest", date(2020, 4, 1), "SAGE", at(70))], SCHEMA)
+    wanted = bag(op.upsert(op.latest_per_key(df, "k"), batch, "k", "latest"))
+    assert bag(table.merge(batch, "latest")) == wanted
+
+
+def test_a_merge_by_month_counts_repeats_from_its_table_of_months(spark, by_month, monkeypatch):
+    counted, without = [], targets.Staging.without_repeats
+    monkeypatch.setattr(targets.Staging, "without_repeats", lambda self, rows, n, *more: counted.append(n) or without(self, rows, n, *more))
+    batch = [("k1", "new", date(2020, 2, 5), "SAGE", at(99)), ("k1", "newer", date(2020, 3, 6), "SAGE", at(100))]
+    by_month.merge(spark.createDataFrame(batch, SCHEMA), "latest")
+    assert by_month.removed_rows == 1 and by_month.read().where("k = 'k1'").select("v").collect() == [("newer",)]
+    plan = counted[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "__staged" in plan and "_n" in plan and "v#" not in plan
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    stored = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in stored.getAllFiles().mkString("|").split("|") if "/shuffle_" in x}
+    rows = spark.createDataFrame(rows_of(40), SCHEMA).repartition(5, "v").repartition(3, "k")
+    before, setting = files(), spark.conf.get(targets._CLEANUP, None)
+    with targets.Staging(spark, f"t_{uuid.uuid4().hex}") as staging:
+        staging.stage(rows)
+    TableTarget(spark, f"t_{uuid.uuid4().hex}", "k")._write(rows, None)
+    target = PartitionedTarget(spark, f"t_{uuid.uuid4().hex}", "k", "d", 4)
+    for _ in range(2):
+        target._write(target._with_month(rows), targets._PartitionedState(buckets=4))
+    target._append_places(target._pairs(rows, targets._PartitionedState(buckets=4)), targets._PartitionedState(buckets=4))
+    assert files() <= before and spark.conf.get(targets._CLEANUP, None) == setting

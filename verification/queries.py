@@ -64,7 +64,9 @@ def two_runs(name: str, on_duplicate: str, spark: SparkSession, sf_dir: str) ->
 def _two_runs_by_month(on_duplicate: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     target = PartitionedTarget(spark, f"by_month_{uuid.uuid4().hex}", TRANSACTIONS.key, "transactiondate", _fact_buckets(spark, sf_dir))
     run(TRANSACTIONS, ErpViews(spark, sf_dir, until=BATCH_ONE_UNTIL).catalog(), CONTEXT, target, on_duplicate)
-    return run(TRANSACTIONS, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, on_duplicate)
+    result = run(TRANSACTIONS, ErpViews(spark, sf_dir).catalog(), CONTEXT, target, on_duplicate)
+    target.drop_old_versions()
+    return result
 
 
 def merge_partitioned_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
