@@ -237,6 +237,48 @@ def test_chains_and_stars_of_near_duplicates(spark):
     assert bag(found.select("doc_id", "n_shingles", "component_id").collect()) == expected_classes(rows)
 
 
+def expected_links(rows):
+    known = {shingles(t) for d, t in rows if d is not None} - {frozenset()}
+    links = {x: sum(100 * len(x & y) >= 80 * len(x | y) for y in known - {x}) for x in known}
+    return bag((d, t, links.get(shingles(t), 0) if d is not None else 0) for d, t in rows)
+
+
+def counted_links(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates(docs).collect()
+    assert bag((r.doc_id, r.n_shingles, r.component_id) for r in found) == expected_classes(rows)
+    # Texts of one doc_id are told apart by the size of their sets.
+    by = {(d, len(shingles(t))): t for d, t in rows}
+    return bag((r.doc_id, by[r.doc_id, r.n_shingles], r.n_links) for r in found)
+
+
+@pytest.mark.parametrize("tokens, sets", [(1 << 17, 512), (700, 512), (1 << 17, 3)])
+def test_all_links_of_a_class_are_counted(spark, monkeypatch, tokens, sets):
+    """Near copies of one text of about 128 shingles, where sizes get one more binary digit: in one cell and in many."""
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", tokens)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", sets)
+    rng = random.Random(12)
+    text = words(rng, 132).split()
+    rows = [(0, " ".join(text))]
+    for number in range(1, 40):
+        copy = list(text[: 132 - rng.randint(0, 6)]) + words(rng, rng.randint(1, 6)).split()
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(len(copy))] = words(rng, 1)
+        rows.append((number, " ".join(copy)))
+    assert {len(shingles(t)).bit_length() for _, t in rows} == {7, 8}
+    rows += [(50 + d, t) for d, t in rows[:5]] + [(90, "one"), (91, "ONE"), (92, None), (None, rows[3][1]), (93, words(rng, 40))] + rows[:3]
+    wanted = expected_links(rows)
+    assert max(n for _, _, n in wanted) > 20 and counted_links(spark, rows) == wanted
+
+
+def test_links_of_several_texts_under_one_id(spark):
+    rng = random.Random(13)
+    a, b = words(rng, 80).split(), words(rng, 80).split()
+    texts = [(1, a), (5, a), (5, b + ["x"]), (5, [*b, "y", "z"]), (9, b), (12, a[:-1]), (12, b[:-2])]
+    rows = [(d, " ".join(text)) for d, text in texts] * 2 + [(20, " ".join(words(rng, 60).split())), (20, "alone")]
+    assert counted_links(spark, rows) == expected_links(rows)
+
+
 @settings(max_examples=200, deadline=None)
 @given(n=st.integers(1, 3000), other=st.integers(1, 3000), data=st.data())
 def test_prefixes_of_linked_sets_meet(n, other, data):
