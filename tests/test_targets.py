@@ -348,3 +348,22 @@ def test_a_write_leaves_no_shuffle_files(spark):
         target._write(target._with_month(rows), targets._PartitionedState(buckets=4))
     target._append_places(target._pairs(rows, targets._PartitionedState(buckets=4)), targets._PartitionedState(buckets=4))
     assert files() <= before and spark.conf.get(targets._CLEANUP, None) == setting
+
+
+@pytest.mark.parametrize("policy", ["latest", "keep_all"])
+def test_a_merge_adds_to_months_that_it_does_not_match(spark, by_month, policy):
+    """Months that a batch only adds to keep their files; later merges match the rows of both versions."""
+    before = {f for f in by_month.read().inputFiles()}
+    wanted, first = spark.createDataFrame(rows_of(40), SCHEMA), [("k1", "new", date(2020, 3, 5), "SAGE", at(90)), ("more", "new", date(2020, 4, 9), "SAGE", at(95))]
+    second = [("more", "newer", date(2020, 4, 9), "SAGE", at(50)), ("k3", "newer", date(2020, 4, 1), "SAGE", at(51)), ("last", "new", None, "NETSUITE", at(52))]
+    for batch, kept, newest in ((first, ("2020-01", "2020-03", "2020-04"), at(95)), (second, ("2020-01", "2020-03"), at(90))):
+        rows = spark.createDataFrame(batch, SCHEMA)
+        wanted = spark.createDataFrame(op.upsert(wanted, rows, "k", policy).collect(), SCHEMA)
+        found = by_month.merge(rows, policy)
+        assert bag(found) == bag(wanted)
+        assert before & set(found.inputFiles()) == {f for f in before if any(f"_month={month}" in f for month in kept)}
+        assert by_month.newest() == newest and by_month.watermarks(["SAGE"]) == {"SAGE": newest}
+        by_month.drop_old_versions()
+        assert bag(PartitionedTarget(spark, by_month.name, "k", "d").read()) == bag(wanted)
+    by_month.compact()
+    assert bag(by_month.read()) == bag(wanted) and by_month.places().count() == 42
